@@ -36,20 +36,24 @@ def merge_upsert(
             raise ValueError(f"source lacks the target columns {kept}")
         source, added = source.drop(*added), []
 
-    source_keys = source.select(*map(named, keys))
+    # Rows without a key match nothing, so they skip the joins (and their one hash value).
+    target_keyed, target_keyless = split_null_keys(target, keys)
+    source_keyed, source_keyless = split_null_keys(source, keys)
+    source_keys = source_keyed.select(*map(named, keys))
     if unique_target:
-        untouched = target.join(source_keys, keys, "left_anti")
-        fresh = source
+        untouched = target_keyed.join(source_keys, keys, "left_anti")
+        fresh = source_keyed
         if kept:
-            old = target.select(*map(named, keys + kept)).join(source_keys, keys, "left_semi")
-            fresh = source.join(old, keys, "left_outer")
+            columns = map(named, keys + kept)
+            old = target_keyed.select(*columns).join(source_keys, keys, "left_semi")
+            fresh = fresh.join(old, keys, "left_outer")
     else:
-        renamed = source.select(
+        renamed = source_keyed.select(
             *map(named, keys),
             *[named(c).alias(f"__new_{c}") for c in source.columns if c not in keys],
             F.lit(True).alias("__hit"),
         )
-        joined = target.join(renamed, keys, "left_outer")
+        joined = target_keyed.join(renamed, keys, "left_outer")
         values = [
             (
                 F.when(F.col("__hit"), named(f"__new_{c}")).otherwise(named(c)).alias(c)
@@ -59,10 +63,13 @@ def merge_upsert(
             for c in target.columns
         ]
         untouched = joined.select(*values, *[named(f"__new_{c}").alias(c) for c in added])
-        hit = target.select(*map(named, keys)).join(source_keys, keys, "left_semi").distinct()
-        fresh = source.join(hit, keys, "left_anti")
+        old_keys = target_keyed.select(*map(named, keys))
+        hit = old_keys.join(source_keys, keys, "left_semi").distinct()
+        fresh = source_keyed.join(hit, keys, "left_anti")
 
-    merged = untouched.unionByName(fresh, allowMissingColumns=True)
+    merged = untouched
+    for part in (target_keyless, fresh, source_keyless):
+        merged = merged.unionByName(part, allowMissingColumns=True)
     return merged.select(*map(named, target.columns + added))
 
 

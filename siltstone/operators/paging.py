@@ -24,9 +24,10 @@ def pages_to_fetch(spark: SparkSession, resume: int, total_pages: int) -> DataFr
 
 
 def page_stats(envelopes: DataFrame) -> DataFrame:
-    """One narrow row per landed page: its item count."""
+    """One narrow row per landed page: its item count and the page total it reported."""
     return envelopes.groupBy("page").agg(
-        F.sum(F.coalesce(F.size("items"), F.lit(0))).cast("long").alias("n_items")
+        F.sum(F.coalesce(F.array_size("items"), F.lit(0))).cast("long").alias("n_items"),
+        F.max("totalPages").alias("total_pages"),
     )
 
 

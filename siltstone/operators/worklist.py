@@ -29,6 +29,12 @@ def unprocessed(landed: DataFrame, processed: DataFrame, name: str) -> DataFrame
     return _presence(landed, processed, name).filter("in_left and not in_right").select(name)
 
 
+def folder_state(landed: DataFrame, processed: DataFrame, name: str) -> DataFrame:
+    """Distinct landed names with ``processed`` 0 or 1."""
+    state = _presence(landed, processed, name).filter("in_left")
+    return state.select(name, F.col("in_right").cast("int").alias("processed"))
+
+
 def chunk_folders(folders: DataFrame, size: int = 10, width: int = WIDTH) -> DataFrame:
     """Number the folders by first page and name, and cut the list into chunks of ``size``."""
     segment = F.coalesce(segment_of(folder_first_page("folder"), width), F.lit(-1))

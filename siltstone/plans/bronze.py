@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from siltstone.config import RunConfig
 from siltstone.functions.names import label_folder
-from siltstone.operators.worklist import unprocessed
+from siltstone.operators.worklist import folder_state
 from siltstone.schemas import BRONZE_SCHEMA, LEDGER_SCHEMA, RAW_SCHEMA
 from siltstone.scratch import materialize
 from siltstone.sources.json_folders import list_folders, scan_period
@@ -51,17 +51,21 @@ def bronze_run(
 ) -> int:
     """Append every unprocessed folder of ``period`` in one job; returns their number.
 
+    The folder is a partition column of the raw files, so folders already processed are
+    pruned by the semi join (dynamic partition pruning) and not read.
+
     The ledger is written after the append, so a failed append leaves the folders pending.
     """
     period = period or cfg.period
     landed = list_folders(spark, raw_root, period).select("folder")
-    pending = materialize(
-        unprocessed(landed, processed_folders(spark, cfg, ledger_path, bronze_path), "folder"),
-        "pending",
-    )
-    count = pending.count()
+    processed = processed_folders(spark, cfg, ledger_path, bronze_path)
+    state = materialize(folder_state(landed, processed, "folder"), "folders")
+    pending = state.filter("processed = 0").select("folder")
+    total, count = state.agg(F.count(F.lit(1)), F.count_if(F.col("processed") == 0)).first()
     if count:
-        rows = scan_period(spark, raw_root, period, schema).join(pending, "folder", "left_semi")
+        rows = scan_period(spark, raw_root, period, schema)
+        if count < total:
+            rows = rows.join(pending, "folder", "left_semi")
         stamped = rows.drop("period", "folder").withColumn("DTPROC", F.lit(cfg.stamp))
         append_batch(stamped, bronze_path, "DTPROC")
         entry = pending.withColumn("DTPROC", F.lit(cfg.stamp)).withColumn("period", F.lit(period))

@@ -50,12 +50,15 @@ def raw_ingestion(
     The last landed page is taken again, as it may have grown since.
     """
     resume = resume_page(list_folders(spark, raw_root)).first()["resume_page"]
-    counted = read_envelopes(spark, landing_path, COUNT_SCHEMA, multi_line)
-    total = counted.agg(F.max("totalPages")).first()[0]
+    counted = page_stats(read_envelopes(spark, landing_path, COUNT_SCHEMA, multi_line))
+    pages = materialize(counted, "pages")
+    total = pages.agg(F.max("total_pages")).first()[0]
     if total is None or resume > total:
         return resume
-    pages = page_stats(counted.filter(F.col("page") >= resume))
-    slots = materialize(slot_ranges(pages, total, cfg.pages_per_folder), "slots")
+    slots = slot_ranges(pages.filter(F.col("page") >= resume), total, cfg.pages_per_folder)
     envelopes = read_envelopes(spark, landing_path, record, multi_line)
-    write_folders(label_pages(envelopes.filter(F.col("page") >= resume), slots, cfg), raw_root)
+    labelled = label_pages(
+        envelopes.filter(F.col("page") >= resume), materialize(slots, "slots"), cfg
+    )
+    write_folders(labelled, raw_root)
     return resume

@@ -1,0 +1,47 @@
+"""Feed pages fetched by executors and landed as page envelopes."""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterator
+from urllib.request import urlopen
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+
+from siltstone.operators.paging import pages_to_fetch
+
+
+def fetch_page(url: str, timeout: float = 60.0) -> dict:
+    """One page of the feed; an HTTP error is raised, and Spark tries the task again."""
+    with urlopen(url, timeout=timeout) as answer:
+        return json.load(answer)
+
+
+def fetch_pages(pages: DataFrame, url_template: str, parallel: int = 8) -> DataFrame:
+    """Answers for the ``page`` numbers, as one line of JSON text each.
+
+    ``url_template`` holds ``{page}``. ``parallel`` is the number of simultaneous requests,
+    whatever the size of the cluster.
+    """
+
+    def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for page in batch["page"]:
+                body = json.dumps(fetch_page(url_template.format(page=page)))
+                yield pd.DataFrame({"value": [body]})
+
+    return pages.repartition(parallel, "page").mapInPandas(fetch, "value string")
+
+
+def land_pages(
+    spark: SparkSession, url_template: str, resume: int, landing_path: str, parallel: int = 8
+) -> int:
+    """Fetch the resume page to the last one into ``landing_path``; returns the page count.
+
+    Nothing is fetched beyond the first answer when the feed is shorter than ``resume``.
+    """
+    total = int(fetch_page(url_template.format(page=1))["totalPages"])
+    pages = pages_to_fetch(spark, resume, total)
+    fetch_pages(pages, url_template, parallel).write.mode("overwrite").text(landing_path)
+    return total

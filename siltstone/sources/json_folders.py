@@ -54,10 +54,11 @@ def list_folders(spark: SparkSession, root: str, period: str | None = None) -> D
 
     Only file paths are read, no file content.
     """
-    pattern = "*" if period is None else "{" + f"period={period},{period}" + "}"
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.json*")
+    # Only the period level is a wildcard; Spark lists the levels below in a job of its own.
+    level = "" if period is None else "/{" + f"period={period},{period}" + "}"
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     try:
-        files = reader.load(f"{root}/{pattern}/*/*")
+        files = reader.option("pathGlobFilter", "*.json*").load(root + level)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

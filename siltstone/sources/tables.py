@@ -124,26 +124,46 @@ def append_batch(df: DataFrame, path: str, partition: str) -> None:
 def compact(spark: SparkSession, name: str, path: str, partition: str, values: Sequence[str]) -> None:
     """Rewrite the files of the given partitions at the advisory size."""
     rows = spark.table(name).filter(named(partition).isin(list(values)))
-    apply_partitions(materialize(rows, "compact"), name, path, partition, values)
+    apply_partitions(materialize(rows, "compact"), name, path, partition)
 
 
 def apply_partitions(
-    staged: DataFrame, name: str, path: str, partition: str, values: Sequence[str]
+    staged: DataFrame, name: str, path: str, partition: str, may_be_empty: Sequence[str] = ()
 ) -> None:
-    """Make ``values`` hold exactly the rows of ``staged``; other partitions are not touched.
+    """Make each partition of ``staged`` hold exactly its staged rows; others are not touched.
 
-    May be repeated with the same staged rows, for instance after a lost driver.
-    Dynamic overwrite leaves a partition without new rows as it was, so those are emptied.
+    Dynamic overwrite leaves a partition without new rows as it was, so those of
+    ``may_be_empty`` that got none are emptied. The call may be repeated with the same staged
+    rows, for instance after a lost driver.
     """
     spark = staged.sparkSession
-    filled = {r[0] for r in staged.select(partition).distinct().collect()}
     _write_partitions(staged, path, partition)
-    for value in sorted(set(values) - filled):
-        empty = staged.drop(partition).limit(0)
-        empty.write.mode("overwrite").parquet(f"{path}/{partition}={value}")
+    if may_be_empty:
+        candidates = staged.filter(named(partition).isin(list(may_be_empty))).select(partition)
+        filled = {r[0] for r in candidates.distinct().collect()}
+        for value in sorted(set(may_be_empty) - filled):
+            empty = staged.drop(partition).limit(0)
+            empty.write.mode("overwrite").parquet(f"{path}/{partition}={value}")
     refresh_partitions(spark, name)
 
 
+def _touched(
+    source: DataFrame, target: DataFrame, keys: Sequence[str], partition: str
+) -> tuple[list[str], list[str]]:
+    """(partitions that receive a source row, other partitions that hold a matched key).
+
+    Reads only key columns of the target. The result is at most one value per partition.
+    """
+    hit = source.select(partition, F.lit(True).alias("own"))
+    if partition not in keys:
+        source_keys = source.select(*map(named, keys))
+        old = target.select(*map(named, [*keys, partition])).join(source_keys, list(keys), "left_semi")
+        hit = hit.union(old.select(partition, F.lit(False)))
+    rows = hit.groupBy(partition).agg(F.bool_or("own").alias("own")).collect()
+    own = sorted(r[0] for r in rows if r["own"])
+    return own, sorted(r[0] for r in rows if not r["own"])
+
+
 def save_merged(
     source: DataFrame,
     name: str,
@@ -163,18 +183,16 @@ def save_merged(
     target = ensure_table(spark, name, path, schema, partition)
     add_columns(spark, name, [f for f in source.schema if f.name not in target.columns])
     target = spark.table(name)
-
-    hit = source.select(partition)
-    if partition not in keys:
-        source_keys = source.select(*map(named, keys))
-        old = target.select(*map(named, [*keys, partition])).join(source_keys, list(keys), "left_semi")
-        hit = hit.union(old.select(partition))
-    values = sorted(r[0] for r in hit.distinct().collect())
-
-    rows = merge_upsert(target.filter(named(partition).isin(values)), source, keys)
-    staged = materialize(conform(rows, spark.table(name).schema), "merged")
-    apply_partitions(staged, name, path, partition, values)
-    return values
+    if not spark.sql(f"SHOW PARTITIONS {name}").take(1):
+        own = sorted(r[0] for r in source.select(partition).distinct().collect())
+        apply_partitions(conform(source, target.schema), name, path, partition)
+        return own
+
+    own, others = _touched(source, target, keys, partition)
+    rows = merge_upsert(target.filter(named(partition).isin(own + others)), source, keys)
+    staged = materialize(conform(rows, target.schema), "merged")
+    apply_partitions(staged, name, path, partition, may_be_empty=others)
+    return sorted(own + others)
 
 
 def merge_into(source: DataFrame, name: str, keys: Sequence[str]) -> None:
