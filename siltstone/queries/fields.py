@@ -101,7 +101,7 @@ def run_time_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", *map(named, chosen), *map(named, map_columns(events)))
 
 
-@query("SELECT event_id, len(json_keys(props)) AS n_keys FROM events")
+@query("SELECT event_id, CAST(len(json_keys(props)) AS INTEGER) AS n_keys FROM events")
 def columns_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns picked by their map type."""
     events = json_columns_to_maps(table(spark, sf_dir, "events"), ["props", "no_such_column"])

@@ -65,16 +65,17 @@ def folder_of_each_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-  SELECT o_orderkey, strftime(o_orderdate, '%Y%m') AS period, o_orderpriority AS folder
+  SELECT o_orderkey, strftime(o_orderdate, '%Y%m') AS period, 'orders_199801' AS folder
   FROM orders WHERE strftime(o_orderdate, '%Y%m') = '199801'
 """)
 def period_selector(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders written by month, one month read; the other months are not listed."""
     root = new_folder(spark, "periods")
+    period = F.date_format("o_orderdate", "yyyyMM")
     rows = table(spark, sf_dir, "orders").select(
         "o_orderkey",
-        F.date_format("o_orderdate", "yyyyMM").alias("period"),
-        F.col("o_orderpriority").alias("folder"),
+        period.alias("period"),
+        F.concat(F.lit("orders_"), period).alias("folder"),
     )
     json_folders.write_folders(rows, root)
     schema = T.StructType([T.StructField("o_orderkey", T.LongType())])
