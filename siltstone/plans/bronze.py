@@ -13,6 +13,7 @@ from siltstone.operators.worklist import folder_state
 from siltstone.schemas import BRONZE_SCHEMA, LEDGER_SCHEMA, RAW_SCHEMA
 from siltstone.scratch import materialize
 from siltstone.sources.json_folders import list_folders, scan_period
+from siltstone.sources.listing import partition_values
 from siltstone.sources.tables import append_batch, ensure_table, read_path, refresh_partitions
 
 
@@ -30,13 +31,19 @@ def processed_folders(
 ) -> DataFrame:
     """Folders of the ledger, and of batches appended by a run lost before its ledger entry.
 
-    The second part reads only batch partitions newer than the ledger's last one.
+    Only batch partitions newer than the ledger's last one are looked into; there are none
+    unless a run was lost.
     """
     ledger = _read_or_empty(spark, ledger_path, LEDGER_SCHEMA)
     last = ledger.agg(F.max("DTPROC")).first()[0] or ""
-    newer = _read_or_empty(spark, bronze_path, BRONZE_SCHEMA).filter(F.col("DTPROC") > last)
-    lost = newer.select(label_folder(cfg.folder_prefix, "PAGE").alias("folder")).distinct()
-    return ledger.select("folder").union(lost)
+    newer = [v for v in partition_values(spark, bronze_path, "DTPROC") if v > last]
+    folders = ledger.select("folder")
+    if newer:
+        paths = [f"{bronze_path}/DTPROC={value}" for value in newer]
+        lost = spark.read.schema(BRONZE_SCHEMA).parquet(*paths)
+        lost = lost.select(label_folder(cfg.folder_prefix, "PAGE").alias("folder"))
+        folders = folders.union(lost.distinct())
+    return folders
 
 
 def bronze_run(
@@ -73,5 +80,5 @@ def bronze_run(
     table_schema = T.StructType([*schema.fields, BRONZE_SCHEMA["DTPROC"]])
     ensure_table(spark, name, bronze_path, table_schema, "DTPROC")
     if count:
-        refresh_partitions(spark, name)
+        refresh_partitions(spark, name, "DTPROC", [cfg.stamp])
     return count

@@ -12,7 +12,7 @@ from siltstone.operators.paging import page_slot, page_stats, resume_page, slot_
 from siltstone.schemas import RECORD_SCHEMA
 from siltstone.scratch import materialize
 from siltstone.sources.envelopes import read_envelopes
-from siltstone.sources.json_folders import list_folders, write_folders
+from siltstone.sources.json_folders import newest_folders, write_folders
 
 # Enough of an envelope to count its items; the parser skips the other fields.
 COUNT_SCHEMA = T.StructType([T.StructField("id", T.LongType())])
@@ -49,7 +49,7 @@ def raw_ingestion(
 
     The last landed page is taken again, as it may have grown since.
     """
-    resume = resume_page(list_folders(spark, raw_root)).first()["resume_page"]
+    resume = resume_page(newest_folders(spark, raw_root)).first()["resume_page"]
     counted = page_stats(read_envelopes(spark, landing_path, COUNT_SCHEMA, multi_line))
     pages = materialize(counted, "pages")
     total = pages.agg(F.max("total_pages")).first()[0]

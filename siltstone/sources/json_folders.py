@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 
 from siltstone.functions.names import path_folder, path_period
 from siltstone.schemas import RAW_SCHEMA
+from siltstone.sources.listing import child_names
 
 PARTITIONS = T.StructType(
     [T.StructField("period", T.StringType()), T.StructField("folder", T.StringType())]
@@ -68,6 +69,15 @@ def list_folders(spark: SparkSession, root: str, period: str | None = None) -> D
     ).distinct()
 
 
+def newest_folders(spark: SparkSession, root: str) -> DataFrame:
+    """The folders of the newest period only, newest by text order."""
+    periods = [name.removeprefix("period=") for name in child_names(spark, root)]
+    periods = [p for p in periods if p[:1] not in ("_", ".")]
+    if not periods:
+        return spark.createDataFrame([], PARTITIONS)
+    return list_folders(spark, root, max(periods))
+
+
 def folder_from_metadata(df: DataFrame) -> DataFrame:
     """Add the folder name of each row's file (batch or stream)."""
     return df.withColumn("folder", path_folder(F.col("_metadata.file_path")))

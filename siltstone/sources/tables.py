@@ -23,10 +23,13 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def path_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    """Union of the file schemas below ``path``, or None when there is no table there."""
+def path_schema(spark: SparkSession, path: str, merge: bool = True) -> T.StructType | None:
+    """Union of the file schemas below ``path``, or None when there is no table there.
+
+    Without ``merge`` one file footer is read instead of all.
+    """
     try:
-        return spark.read.option("mergeSchema", True).parquet(path).schema
+        return spark.read.option("mergeSchema", merge).parquet(path).schema
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -34,7 +37,7 @@ def path_schema(spark: SparkSession, path: str) -> T.StructType | None:
 
 
 def has_table(spark: SparkSession, path: str) -> bool:
-    return path_schema(spark, path) is not None
+    return path_schema(spark, path, merge=False) is not None
 
 
 def read_path(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -85,9 +88,18 @@ def ensure_table(
     return spark.table(name)
 
 
-def refresh_partitions(spark: SparkSession, name: str) -> None:
-    """Take up partitions written to the table's path."""
-    spark.catalog.recoverPartitions(name)
+def refresh_partitions(
+    spark: SparkSession, name: str, partition: str | None = None, values: Sequence[str] = ()
+) -> None:
+    """Take up partitions written to the table's path.
+
+    With ``values`` only those are registered; otherwise the whole path is listed.
+    """
+    if partition is None:
+        spark.catalog.recoverPartitions(name)
+    elif values:
+        added = " ".join(f"PARTITION ({quoted(partition)}='{value}')" for value in values)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
     spark.catalog.refreshTable(name)
 
 
@@ -124,13 +136,18 @@ def append_batch(df: DataFrame, path: str, partition: str) -> None:
 def compact(spark: SparkSession, name: str, path: str, partition: str, values: Sequence[str]) -> None:
     """Rewrite the files of the given partitions at the advisory size."""
     rows = spark.table(name).filter(named(partition).isin(list(values)))
-    apply_partitions(materialize(rows, "compact"), name, path, partition)
+    apply_partitions(materialize(rows, "compact"), name, path, partition, values)
 
 
 def apply_partitions(
-    staged: DataFrame, name: str, path: str, partition: str, may_be_empty: Sequence[str] = ()
+    staged: DataFrame,
+    name: str,
+    path: str,
+    partition: str,
+    values: Sequence[str],
+    may_be_empty: Sequence[str] = (),
 ) -> None:
-    """Make each partition of ``staged`` hold exactly its staged rows; others are not touched.
+    """Make the partitions ``values`` hold exactly their staged rows; others are not touched.
 
     Dynamic overwrite leaves a partition without new rows as it was, so those of
     ``may_be_empty`` that got none are emptied. The call may be repeated with the same staged
@@ -144,7 +161,7 @@ def apply_partitions(
         for value in sorted(set(may_be_empty) - filled):
             empty = staged.drop(partition).limit(0)
             empty.write.mode("overwrite").parquet(f"{path}/{partition}={value}")
-    refresh_partitions(spark, name)
+    refresh_partitions(spark, name, partition, values)
 
 
 def _touched(
@@ -185,13 +202,13 @@ def save_merged(
     target = spark.table(name)
     if not spark.sql(f"SHOW PARTITIONS {name}").take(1):
         own = sorted(r[0] for r in source.select(partition).distinct().collect())
-        apply_partitions(conform(source, target.schema), name, path, partition)
+        apply_partitions(conform(source, target.schema), name, path, partition, own)
         return own
 
     own, others = _touched(source, target, keys, partition)
     rows = merge_upsert(target.filter(named(partition).isin(own + others)), source, keys)
     staged = materialize(conform(rows, target.schema), "merged")
-    apply_partitions(staged, name, path, partition, may_be_empty=others)
+    apply_partitions(staged, name, path, partition, own + others, may_be_empty=others)
     return sorted(own + others)
 
 

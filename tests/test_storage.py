@@ -82,6 +82,7 @@ def test_json_folders_replace_only_their_own_name(spark, folder):
     assert rows(json_folders.list_folders(spark, folder)) == [
         ("202401", "f_1"), ("202401", "f_2"), ("202402", "f_3")]
     assert rows(json_folders.list_folders(spark, folder, "202402")) == [("202402", "f_3")]
+    assert rows(json_folders.newest_folders(spark, folder)) == [("202402", "f_3")]
 
 
 def test_listing_of_plain_period_folders_and_of_nothing(spark, folder):
@@ -91,6 +92,8 @@ def test_listing_of_plain_period_folders_and_of_nothing(spark, folder):
     assert rows(json_folders.list_folders(spark, folder, "202411")) == [
         ("202411", "f_11_to_20_x"), ("202411", "f_1_to_10_x")]
     assert json_folders.list_folders(spark, f"{folder}/absent").count() == 0
+    assert json_folders.newest_folders(spark, f"{folder}/absent").count() == 0
+    assert json_folders.newest_folders(spark, folder).count() == 2
     tagged = json_folders.folder_from_metadata(json_folders.scan_paths(spark, f"{folder}/202411/*"))
     assert rows(tagged.select("folder")) == [("f_11_to_20_x",), ("f_1_to_10_x",)]
 
@@ -153,7 +156,7 @@ def test_staged_rows_can_be_applied_again(spark, db, folder):
     tables.save_merged(daily(spark, [(1, "a", "202401"), (2, "b", "202402")]), name, path, DAILY, ["id"])
     staged = materialize(daily(spark, [(1, "A", "202402"), (2, "b", "202402")]), "staged")
     for _ in range(2):
-        tables.apply_partitions(staged, name, path, "dt", may_be_empty=["202401"])
+        tables.apply_partitions(staged, name, path, "dt", ["202401", "202402"], may_be_empty=["202401"])
         assert rows(spark.table(name)) == [(1, "A", "202402"), (2, "b", "202402")]
 
 
