@@ -13,7 +13,6 @@ from siltstone.functions.stamps import instant_day_between, month_start, wall_cl
 from siltstone.operators.bounds import read_bound
 from siltstone.operators.map_pivot import json_columns_to_maps, map_pivot
 from siltstone.schemas import GOLD_BASE_SCHEMA
-from siltstone.scratch import materialize
 from siltstone.sources.tables import ensure_table, read_table, save_merged
 
 
@@ -62,5 +61,5 @@ def save_gold(
     silver = read_table(spark, silver_name)
     gold = ensure_table(spark, name, path, GOLD_BASE_SCHEMA, "dt")
     chosen = silver_range(silver, cfg, gold_start(cfg, gold, silver))
-    staged = materialize(gold_rows(chosen, cfg, json_columns, mode), "gold")
-    return save_merged(staged, name, path, GOLD_BASE_SCHEMA, ["id", "dt"])
+    rows = gold_rows(chosen, cfg, json_columns, mode)
+    return save_merged(rows, name, path, GOLD_BASE_SCHEMA, ["id", "dt"], own=[cfg.period])

@@ -81,8 +81,7 @@ def save_silver(
     bronze = read_table(spark, bronze_name)
     silver = ensure_table(spark, name, path, SILVER_SCHEMA, "dt")
     rows = silver_rows(bronze, cfg, silver_start(spark, cfg, silver, bronze))
-    staged = materialize(rows, "silver")
     if reject_path is not None:
-        staged, rejects = split_null_keys(staged, ["id"])
+        rows, rejects = split_null_keys(materialize(rows, "silver"), ["id"])
         rejects.write.mode("append").parquet(reject_path)
-    return save_merged(staged, name, path, SILVER_SCHEMA, ["id"])
+    return save_merged(rows, name, path, SILVER_SCHEMA, ["id"], own=[cfg.period])

@@ -28,12 +28,16 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, split_by: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back.
 
     The result has no lineage beyond its files, and Catalyst knows its true size, so a
     later join broadcasts it only when it is below the session's broadcast threshold.
+    ``split_by`` stores the rows by that column, in files of the advisory size.
     """
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    if split_by is None:
+        df.write.parquet(path)
+    else:
+        df.hint("rebalance", split_by).write.partitionBy(split_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from siltstone.operators.columns import conform, named, quoted
 from siltstone.operators.merge import merge_upsert
 from siltstone.scratch import materialize
+from siltstone.sources.listing import partition_values
 
 
 def create_database(spark: SparkSession, db: str, location: str | None = None) -> None:
@@ -115,20 +116,16 @@ def add_columns(spark: SparkSession, name: str, fields: Sequence[T.StructField])
 
 
 def _write_partitions(df: DataFrame, path: str, partition: str) -> None:
-    (
-        df.hint("rebalance", partition)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(partition).parquet(path)
 
 
 def append_batch(df: DataFrame, path: str, partition: str) -> None:
     """Append rows under a partition value of their own, such as the batch stamp.
 
-    Repeating a failed batch replaces its partition, so no row is appended twice. The
-    rebalance keeps files near the advisory size although a batch is a single partition.
+    Repeating a failed batch replaces its partition, so no row is appended twice. A scan
+    already packs small input files into tasks of full size, each of which writes one file,
+    so there is no shuffle for the sake of file sizes; ``compact`` is there for the rest.
     """
     _write_partitions(df, path, partition)
 
@@ -136,7 +133,8 @@ def append_batch(df: DataFrame, path: str, partition: str) -> None:
 def compact(spark: SparkSession, name: str, path: str, partition: str, values: Sequence[str]) -> None:
     """Rewrite the files of the given partitions at the advisory size."""
     rows = spark.table(name).filter(named(partition).isin(list(values)))
-    apply_partitions(materialize(rows, "compact"), name, path, partition, values)
+    staged = materialize(rows, "compact", split_by=partition)
+    apply_partitions(staged, name, path, partition, values)
 
 
 def apply_partitions(
@@ -161,7 +159,8 @@ def apply_partitions(
         for value in sorted(set(may_be_empty) - filled):
             empty = staged.drop(partition).limit(0)
             empty.write.mode("overwrite").parquet(f"{path}/{partition}={value}")
-    refresh_partitions(spark, name, partition, values)
+    written = set(partition_values(spark, path, partition))
+    refresh_partitions(spark, name, partition, [v for v in values if v in written])
 
 
 def _touched(
@@ -188,28 +187,35 @@ def save_merged(
     schema: T.StructType,
     keys: Sequence[str],
     partition: str = "dt",
+    own: Sequence[str] | None = None,
 ) -> list[str]:
     """Upsert ``source`` into the table and return the partitions rewritten.
 
-    ``source`` is read several times, so pass a materialized frame. Only partitions that
-    hold a matched key or receive a row are read in full and rewritten; they are found from
-    the key columns alone. The merged rows are complete in the shared folder before the
-    table is touched.
+    ``own`` names the partitions the source rows go to, if the caller knows them. When no
+    target row can match, because the table or (with the partition in the key) these
+    partitions are new, the rows are written in one pass.
+
+    Otherwise only partitions that hold a matched key or receive a row are read in full and
+    rewritten; they are found from the key columns alone. The merged rows are complete in
+    the shared folder before the table is touched.
     """
     spark = source.sparkSession
     target = ensure_table(spark, name, path, schema, partition)
     add_columns(spark, name, [f for f in source.schema if f.name not in target.columns])
     target = spark.table(name)
-    if not spark.sql(f"SHOW PARTITIONS {name}").take(1):
-        own = sorted(r[0] for r in source.select(partition).distinct().collect())
+    existing = set(partition_values(spark, path, partition))
+    if own is not None and not (existing & set(own) if partition in keys else existing):
         apply_partitions(conform(source, target.schema), name, path, partition, own)
-        return own
+        return sorted(own)
 
+    source = materialize(source, "source")
     own, others = _touched(source, target, keys, partition)
     rows = merge_upsert(target.filter(named(partition).isin(own + others)), source, keys)
-    staged = materialize(conform(rows, target.schema), "merged")
-    apply_partitions(staged, name, path, partition, own + others, may_be_empty=others)
-    return sorted(own + others)
+    values = sorted(own + others)
+    split_by = partition if len(values) > 1 else None
+    staged = materialize(conform(rows, target.schema), "merged", split_by)
+    apply_partitions(staged, name, path, partition, values, may_be_empty=others)
+    return values
 
 
 def merge_into(source: DataFrame, name: str, keys: Sequence[str]) -> None:

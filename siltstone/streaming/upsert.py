@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from siltstone.operators.latest import latest_per_key
-from siltstone.scratch import materialize
 from siltstone.sources.tables import save_merged
 
 
@@ -29,7 +28,7 @@ def upsert_stream(
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        newest = materialize(latest_per_key(batch, keys, order(batch)), "microbatch")
+        newest = latest_per_key(batch, keys, order(batch))
         save_merged(newest, name, path, schema, keys, partition)
 
     return (

@@ -213,6 +213,17 @@ def test_gold_has_a_row_per_id_and_month_and_a_column_per_key(layers, spark):
         layers.table("gold").select("id", "dt"))
 
 
+def test_runs_without_rows(layers, spark):
+    assert layers.load_bronze(cfg(1)) == 0
+    layers.load_silver(cfg(1))
+    layers.load_gold(cfg(1))
+    assert layers.table("silver").count() == layers.table("gold").count() == 0
+    layers.run(cfg(2), {1: [item(1)]})
+    layers.load_silver(cfg(4, day=1, hour=1))  # nothing new in bronze since
+    assert rows(layers.table("silver").select("id", "dt")) == [(1, "202403")]
+    assert rows(layers.table("gold").select("id", "dt")) == [(1, "202402")]
+
+
 def test_gold_reads_only_the_months_of_its_range(layers):
     layers.run(cfg(1), {1: [item(1)]})
     layers.land(cfg(3), {1: [item(2)]})
