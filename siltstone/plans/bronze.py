@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,35 +18,35 @@ from siltstone.sources.listing import partition_values
 from siltstone.sources.tables import append_batch, ensure_table, read_path, refresh_partitions
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
-        return read_path(spark, path, schema)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def processed_folders(
-    spark: SparkSession, cfg: RunConfig, ledger_path: str, bronze_path: str
+    spark: SparkSession, cfg: RunConfig, ledger_path: str, bronze_path: str, period: str
 ) -> DataFrame:
     """Folders of the ledger, and of batches appended by a run lost before its ledger entry.
 
-    Only batch partitions newer than the ledger's last one are looked into; there are none
-    unless a run was lost.
+    Ledger and bronze both have one partition per batch stamp, so two listings show which
+    batches the ledger lacks; only those are looked into.
     """
-    ledger = _read_or_empty(spark, ledger_path, LEDGER_SCHEMA)
-    last = ledger.agg(F.max("DTPROC")).first()[0] or ""
-    newer = [v for v in partition_values(spark, bronze_path, "DTPROC") if v > last]
-    folders = ledger.select("folder")
-    if newer:
-        paths = [f"{bronze_path}/DTPROC={value}" for value in newer]
-        lost = spark.read.schema(BRONZE_SCHEMA).parquet(*paths)
-        lost = lost.select(label_folder(cfg.folder_prefix, "PAGE").alias("folder"))
-        folders = folders.union(lost.distinct())
+    known = partition_values(spark, ledger_path, "DTPROC")
+    folders = spark.createDataFrame([], "folder string")
+    if known:
+        ledger = read_path(spark, ledger_path, LEDGER_SCHEMA)
+        folders = ledger.filter(F.col("period") == period).select("folder")
+    lost = sorted(set(partition_values(spark, bronze_path, "DTPROC")) - set(known))
+    if lost:
+        paths = [f"{bronze_path}/DTPROC={stamp}" for stamp in lost]
+        labels = spark.read.schema(BRONZE_SCHEMA).parquet(*paths).select("PAGE").distinct()
+        folders = folders.union(labels.select(label_folder(cfg.folder_prefix, "PAGE")))
     return folders
 
 
+def batch_stamp(cfg: RunConfig, used: list[str]) -> str:
+    """The run's stamp, or the next second no batch has: a batch never shares its partition."""
+    ts = cfg.local_ts
+    while (stamp := ts.strftime("%Y%m%d_%H%M%S")) in used:
+        ts += timedelta(seconds=1)
+    return stamp
+
+
 def bronze_run(
     spark: SparkSession,
     cfg: RunConfig,
@@ -65,20 +66,21 @@ def bronze_run(
     """
     period = period or cfg.period
     landed = list_folders(spark, raw_root, period).select("folder")
-    processed = processed_folders(spark, cfg, ledger_path, bronze_path)
+    processed = processed_folders(spark, cfg, ledger_path, bronze_path, period)
     state = materialize(folder_state(landed, processed, "folder"), "folders")
     pending = state.filter("processed = 0").select("folder")
     total, count = state.agg(F.count(F.lit(1)), F.count_if(F.col("processed") == 0)).first()
     if count:
+        stamp = batch_stamp(cfg, partition_values(spark, bronze_path, "DTPROC"))
         rows = scan_period(spark, raw_root, period, schema)
         if count < total:
             rows = rows.join(pending, "folder", "left_semi")
-        stamped = rows.drop("period", "folder").withColumn("DTPROC", F.lit(cfg.stamp))
+        stamped = rows.drop("period", "folder").withColumn("DTPROC", F.lit(stamp))
         append_batch(stamped, bronze_path, "DTPROC")
-        entry = pending.withColumn("DTPROC", F.lit(cfg.stamp)).withColumn("period", F.lit(period))
-        entry.hint("rebalance").write.mode("append").partitionBy("period").parquet(ledger_path)
+        entry = pending.select("folder", F.lit(period).alias("period"), F.lit(stamp).alias("DTPROC"))
+        append_batch(entry, ledger_path, "DTPROC")
     table_schema = T.StructType([*schema.fields, BRONZE_SCHEMA["DTPROC"]])
     ensure_table(spark, name, bronze_path, table_schema, "DTPROC")
     if count:
-        refresh_partitions(spark, name, "DTPROC", [cfg.stamp])
+        refresh_partitions(spark, name, "DTPROC", [stamp])
     return count

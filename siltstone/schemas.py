@@ -79,7 +79,7 @@ BRONZE_SCHEMA = T.StructType([*RAW_SCHEMA.fields, T.StructField("DTPROC", T.Stri
 SILVER_SCHEMA = _schema(SILVER_COLUMNS)
 GOLD_BASE_SCHEMA = SILVER_SCHEMA
 LEDGER_SCHEMA = T.StructType(
-    [T.StructField(f, T.StringType()) for f in ("folder", "DTPROC", "period")]
+    [T.StructField(f, T.StringType()) for f in ("folder", "period", "DTPROC")]
 )
 
 

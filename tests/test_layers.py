@@ -108,6 +108,16 @@ def test_folder_known_only_to_the_ledger_is_no_work(layers, spark):
     assert layers.load_bronze(cfg(2), period="202401") == 0
 
 
+def test_batches_of_one_run_do_not_share_a_partition(layers):
+    layers.land(cfg(1), {1: [item(1)]})
+    layers.land(cfg(2), {1: [item(1)], 2: [item(2)]})
+    run = cfg(3)
+    assert [layers.load_bronze(run, period=p) for p in ("202401", "202402")] == [1, 1]
+    assert rows(layers.table("bronze").groupBy("DTPROC").count()) == [
+        ("20240310_120000", 1), ("20240310_120001", 2)]
+    assert [layers.load_bronze(run, period=p) for p in ("202401", "202402")] == [0, 0]
+
+
 def test_run_lost_before_its_ledger_entry_is_not_appended_again(layers, spark):
     layers.land(cfg(1), {1: [item(1)], 2: [item(2)]})
     layers.load_bronze(cfg(1))
