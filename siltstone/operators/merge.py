@@ -63,8 +63,8 @@ def merge_upsert(
             for c in target.columns
         ]
         untouched = joined.select(*values, *[named(f"__new_{c}").alias(c) for c in added])
-        old_keys = target_keyed.select(*map(named, keys))
-        hit = old_keys.join(source_keys, keys, "left_semi").distinct()
+        old_keys = target_keyed.select(*map(named, keys)).distinct()
+        hit = old_keys.join(source_keys, keys, "left_semi")
         fresh = source_keyed.join(hit, keys, "left_anti")
 
     merged = untouched

@@ -25,17 +25,17 @@ def global_row_number(
     df: DataFrame, segment: Column, order: Sequence[Column | str], name: str = "row_number"
 ) -> DataFrame:
     """1-based position of every row under ``order``; ``segment`` must not decrease along it."""
-    seg = df.withColumn("__seg", segment)
+    inside = Window.partitionBy("__seg").orderBy(*order)
+    local = df.withColumn("__seg", segment).withColumn("__i", F.row_number().over(inside))
     before = Window.orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)
+    # Counted on the windowed rows, whose partitioning it shares, so the input is read once.
     offsets = (
-        seg.groupBy("__seg")
-        .agg(F.count(F.lit(1)).alias("__n"))
+        local.groupBy("__seg")
+        .agg(F.max("__i").alias("__n"))
         .select("__seg", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     )
-    inside = Window.partitionBy("__seg").orderBy(*order)
     return (
-        seg.withColumn("__i", F.row_number().over(inside))
-        .join(offsets, "__seg")
+        local.join(offsets, "__seg")
         .withColumn(name, F.col("__before") + F.col("__i"))
         .drop("__seg", "__i", "__before")
     )

@@ -36,8 +36,12 @@ def folder_state(landed: DataFrame, processed: DataFrame, name: str) -> DataFram
 
 
 def chunk_folders(folders: DataFrame, size: int = 10, width: int = WIDTH) -> DataFrame:
-    """Number the folders by first page and name, and cut the list into chunks of ``size``."""
-    segment = F.coalesce(segment_of(folder_first_page("folder"), width), F.lit(-1))
-    order = [segment, F.coalesce(folder_first_page("folder"), F.lit(-1)), "folder"]
-    numbered = global_row_number(folders, segment, order, "__n")
+    """Number the folders by first page and name, and cut the list into chunks of ``size``.
+
+    Names without a page number come first, spread over segments by their hash.
+    """
+    page = folder_first_page("folder")
+    unnumbered = F.lit(-1) - F.pmod(F.xxhash64("folder"), F.lit(4096))
+    segment = F.coalesce(segment_of(page, width), unnumbered)
+    numbered = global_row_number(folders, segment, [segment, page, "folder"], "__n")
     return numbered.withColumn("chunk", F.floor((F.col("__n") - 1) / size).cast("long")).drop("__n")

@@ -123,6 +123,14 @@ def test_chunks_hold_ten_each(spark):
     assert counts == [(0, 10), (1, 10), (2, 10), (3, 10), (4, 7)]
 
 
+def test_names_without_a_page_are_chunked_too(spark):
+    names = [f"other{i}" for i in range(25)] + [f"f_{i}_to_{i}_20240101_000000" for i in range(1, 9)]
+    df = spark.createDataFrame([(n,) for n in names], "folder string")
+    chunks = chunk_folders(df, 10, width=3)
+    assert rows(chunks.groupBy("chunk").count()) == [(0, 10), (1, 10), (2, 10), (3, 3)]
+    assert chunks.filter("chunk < 2 and folder like 'f!_%' escape '!'").count() == 0
+
+
 def test_global_row_number_over_segments(spark):
     keys = random.Random(3).sample(range(5000), 400)
     df = spark.createDataFrame([(k,) for k in keys], "k long")
