@@ -24,7 +24,7 @@ def segment_of(key: Column | str, width: int = WIDTH) -> Column:
 def global_row_number(
     df: DataFrame, segment: Column, order: Sequence[Column | str], name: str = "row_number"
 ) -> DataFrame:
-    """1-based position of every row under ``order``; ``segment`` must not decrease along it."""
+    """1-based position of every row by segment, then by ``order`` inside it."""
     inside = Window.partitionBy("__seg").orderBy(*order)
     local = df.withColumn("__seg", segment).withColumn("__i", F.row_number().over(inside))
     before = Window.orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)

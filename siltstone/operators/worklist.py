@@ -42,6 +42,7 @@ def chunk_folders(folders: DataFrame, size: int = 10, width: int = WIDTH) -> Dat
     """
     page = folder_first_page("folder")
     unnumbered = F.lit(-1) - F.pmod(F.xxhash64("folder"), F.lit(4096))
-    segment = F.coalesce(segment_of(page, width), unnumbered)
-    numbered = global_row_number(folders, segment, [segment, page, "folder"], "__n")
+    # The last term never applies; it lets Spark see that the segment is never null.
+    segment = F.coalesce(segment_of(page, width), unnumbered, F.lit(-1))
+    numbered = global_row_number(folders, segment, [page, "folder"], "__n")
     return numbered.withColumn("chunk", F.floor((F.col("__n") - 1) / size).cast("long")).drop("__n")
