@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, exact_dedup
+from siltstone.llm import (
+    bpe,
+    decontamination,
+    exact_dedup,
+    line_dedup,
+    quality,
+    token_files,
+    toxicity,
+    warc,
+)
 from siltstone.llm.registry import query, table, tokenizer_path
 
 
@@ -26,3 +35,68 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(encoded, path).select(
         "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+@query()
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query()
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query()
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model)
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("""
+  WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+       s AS (SELECT page_id, strlen(html) AS payload_bytes, unhex(sha1(html))::BIT::VARCHAR AS bits,
+                    min(page_id) OVER (PARTITION BY sha256(html)) AS response
+             FROM p)
+  SELECT page_id, payload_bytes,
+         array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + 16 * substr(bits, 5 * i + 1, 1)::INT + 8 * substr(bits, 5 * i + 2, 1)::INT
+             + 4 * substr(bits, 5 * i + 3, 1)::INT + 2 * substr(bits, 5 * i + 4, 1)::INT
+             + substr(bits, 5 * i + 5, 1)::INT, 1) FOR i IN range(32)], '') AS payload_digest,
+         CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+         CASE WHEN page_id <> response THEN response END AS refers_to
+  FROM s
+""")
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+@query("""
+  WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+       l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
+       k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+       o AS (SELECT key, min(doc_id) AS owner FROM k WHERE length(key) >= 10
+             GROUP BY key HAVING min(doc_id) <> max(doc_id)),
+       m AS (SELECT k.doc_id, k.line, k.pos, coalesce(o.owner <> k.doc_id, false) AS gone
+             FROM k LEFT JOIN o ON k.key = o.key)
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+         sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+  FROM m GROUP BY doc_id
+""")
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
