@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CELLS = 1024
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
+MOST_READERS = 10_000
 
 
 def shard_bounds(rows: DataFrame, key: str, weight: Column, target: int = SHARD_BYTES) -> list[int]:
@@ -55,7 +56,7 @@ def shard_of(key: str, bounds: list[int]) -> Column:
     return F.coalesce(F.size(F.filter(known, lambda b: b <= F.col(key))), F.lit(0))
 
 
-def in_shards(rows: DataFrame, key: str, bounds: list[int], *order: str) -> DataFrame:
+def in_shards(rows: DataFrame, key: str, bounds: list[int], *order: str | Column) -> DataFrame:
     """Rows dealt out by shard, each shard whole in one partition and sorted by ``key, *order``."""
     return (
         rows.withColumn("__shard", shard_of(key, bounds))
@@ -64,6 +65,11 @@ def in_shards(rows: DataFrame, key: str, bounds: list[int], *order: str) -> Data
     )
 
 
+def one_each(manifest: DataFrame) -> DataFrame:
+    """The manifest's rows in partitions of their own, so that each file is read by its own task."""
+    return manifest.repartitionByRange(min(MOST_READERS, max(1, manifest.count())), "file")
+
+
 class FileSet:
     """Files of one folder on any file system that pyarrow knows by URI, seen only when complete."""
 

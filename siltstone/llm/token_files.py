@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.bpe import pretoken_starts
-from siltstone.llm.shards import FileSet, in_shards, shard_bounds
+from siltstone.llm.shards import FileSet, in_shards, one_each, shard_bounds
 from siltstone.scratch import materialize, new_folder
 
 END_ID = 0
@@ -221,7 +221,7 @@ def read_files(manifest: DataFrame, folder: str) -> DataFrame:
                     [pa.array(keys, pa.int64()), pa.array(starts + row["offset"]), pa.array(ends - starts), pa.array(crc, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return placed.repartition("file").mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return one_each(placed).mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def round_trip(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

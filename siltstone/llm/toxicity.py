@@ -1,22 +1,23 @@
 """Toxicity: a support vector machine over a gap-weighted subsequence kernel, by Nystrom landmarks.
 
-A text is cut into sentences of at most ``PIECE_WORDS`` words. A word is the letters of a stretch
-without white space, so that signs put between letters vanish, accents are folded and letters
-standing alone side by side are one word. ``^`` marks a word's start. A word's features are its
-subsequences of four letters within ``SPAN``, each gap weighing ``DECAY``; the kernel of two
-sentences is the inner product of these features summed over their words.
-
-Training: letter groups that are far more frequent in toxic than in other texts point out the
-sentences of toxic texts that carry the label and the landmark words. The SVM (squared hinge) is
-fitted on the landmarks' kernel values times the inverse root of the landmark matrix; then the
-highest-scoring sentence of every sample text is added with its text's label and the fit is
-repeated. As the kernel is an inner product, the sum over landmarks is one weight per subsequence,
-so a text is scored by table look-ups and not by kernel values against each landmark.
-A text's margin is that of its highest sentence, turned into 0 to 1 by a logistic fit.
+A text is cut into sentences and words. A word is the letters of a stretch without white space, so that
+signs put between letters vanish, accents are folded, and letters standing alone side by side in a
+sentence are one word. ``^`` marks a word's start. A word's features are its subsequences of four
+symbols within ``SPAN``, each gap weighing ``DECAY``; the kernel of two words is the inner product of
+these features. A sentence scores as its highest word does, and a text as its highest sentence.
+
+Training: letter groups that are far more frequent in toxic than in other texts point out the words
+that carry the label of a toxic sentence, and the landmarks; of sentences of other texts every word may be drawn.
+The SVM (squared hinge) is fitted on the landmarks' kernel values times the inverse root of the landmark
+matrix. Then the highest word of every sample text is found; those of other texts, and those of
+toxic texts that score as toxic, are added and the fit is repeated. As the kernel is an
+inner product, the sum over landmarks is one weight per subsequence, so a text is scored by table
+look-ups and not by kernel values against each landmark. A logistic fit turns a text's margin into 0 to 1.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -27,20 +28,22 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.labelled import held_out, labelled_sample
 from siltstone.llm.textbytes import Block, blocks
+from siltstone.scratch import materialize
 
 SPAN = 7
-DECAY = 0.5
-PIECE_WORDS = 32
+DECAY = 0.35
 LONGEST_WORD = 32
 _BITS = 5
 FEATURES = 1 << (4 * _BITS)
 _OTHER, _START = 27, 28
 
-#: Bounds of the training: labelled texts of each label, sentences, landmarks.
+#: Bounds of the training: labelled texts of each label, words of each label, landmarks, groups.
 PER_CLASS = {0: 4_000, 1: 2_500}
-SENTENCES = 12_000
-LANDMARKS = 256
+WORDS = 10_000
+LANDMARKS = 384
 GROUPS = 2_000
+LIFT, LEAST_SHARE = 25, 0.02
+ROUNDS = 3
 
 
 def _letter_codes() -> tuple[np.ndarray, np.ndarray]:
@@ -66,20 +69,19 @@ _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?"]] = True
 
 
-class Pieces(NamedTuple):
-    """Symbols of a block, the word of each, its piece, and the text of each piece."""
+class Words(NamedTuple):
+    """Symbols of a block, the word of each, and the text of each word."""
 
     symbols: np.ndarray
     word: np.ndarray
-    piece: np.ndarray
     text: np.ndarray
 
 
-def pieces_of(data: np.ndarray, offsets: np.ndarray) -> Pieces:
+def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
     n = len(data)
     none = np.zeros(0, np.int64)
     if n == 0:
-        return Pieces(none.astype(np.int32), none, none, none)
+        return Words(none.astype(np.int32), none, none)
     code = _CODE[data]
     after = np.flatnonzero(data[:-1] == 0xC3) + 1
     code[after] = _LATIN[data[after]]
@@ -99,7 +101,7 @@ def pieces_of(data: np.ndarray, offsets: np.ndarray) -> Pieces:
 
     at = np.flatnonzero(code)
     if len(at) == 0:
-        return Pieces(none.astype(np.int32), none, none, none)
+        return Words(none.astype(np.int32), none, none)
     mine = stretch[at]
     begins = np.flatnonzero(np.append(True, mine[1:] != mine[:-1]))
     length = np.diff(np.append(begins, len(at)))
@@ -112,13 +114,7 @@ def pieces_of(data: np.ndarray, offsets: np.ndarray) -> Pieces:
     new = place % LONGEST_WORD == 0
     begins = np.flatnonzero(new)
     word = np.cumsum(new) - 1
-    said = sentence[at[begins]]
-    changes = np.append(True, said[1:] != said[:-1])
-    run = np.flatnonzero(changes)
-    order = np.arange(len(said)) - np.repeat(run, np.diff(np.append(run, len(said))))
-    piece = np.cumsum(order % PIECE_WORDS == 0) - 1
-    head = np.append(True, piece[1:] != piece[:-1])
-    text = np.searchsorted(offsets, at[begins[head]], side="right") - 1
+    text = np.searchsorted(offsets, at[begins], side="right") - 1
 
     total = len(at) + len(begins)
     symbols = np.full(total, _START, np.int32)
@@ -126,8 +122,7 @@ def pieces_of(data: np.ndarray, offsets: np.ndarray) -> Pieces:
     marks = begins + np.arange(len(begins))
     words = np.zeros(total, np.int64)
     words[marks[1:]] = 1
-    words = np.cumsum(words)
-    return Pieces(symbols, words, piece[words], text)
+    return Words(symbols, np.cumsum(words), text)
 
 
 def subsequences(symbols: np.ndarray, word: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
@@ -145,6 +140,21 @@ def subsequences(symbols: np.ndarray, word: np.ndarray) -> Iterator[tuple[np.nda
                 yield at, high | (inner[b] << _BITS), DECAY ** (reach - 3)
 
 
+def _lengths_norm() -> np.ndarray:
+    """Norm of a word's features by its number of symbols, each subsequence counted once."""
+    n = np.arange(LONGEST_WORD + 2)
+    square = sum(np.maximum(n - reach, 0) * ((reach - 1) * (reach - 2) // 2) * DECAY ** (2 * (reach - 3))
+                 for reach in range(3, SPAN))
+    return np.sqrt(np.maximum(square, 1.0)).astype(np.float32)
+
+
+_NORM = _lengths_norm()
+
+
+def norms(p: Words) -> np.ndarray:
+    return _NORM[np.bincount(p.word, minlength=len(p.text))]
+
+
 class Model(NamedTuple):
     weights: np.ndarray
     bias: float
@@ -152,19 +162,19 @@ class Model(NamedTuple):
     shift: float
 
 
-def piece_margins(weights: np.ndarray, bias: float, p: Pieces) -> np.ndarray:
-    """The SVM's margin of every piece."""
+def word_margins(weights: np.ndarray, bias: float, p: Words) -> np.ndarray:
+    """The SVM's margin of every word."""
     value = np.zeros(len(p.symbols), np.float32)
     for at, feature, weight in subsequences(p.symbols, p.word):
         # Each start occurs once in ``at``.
         value[at] += np.float32(weight) * weights[feature]
-    return np.bincount(p.piece, value, minlength=len(p.text)) + bias
+    return np.bincount(p.word, value, minlength=len(p.text)) / norms(p) + bias
 
 
-def text_margins(weights: np.ndarray, bias: float, p: Pieces, texts: int) -> np.ndarray:
-    """The highest margin of each text's pieces; the bias alone for a text without letters."""
+def text_margins(weights: np.ndarray, bias: float, p: Words, texts: int) -> np.ndarray:
+    """The highest margin of each text's words; the bias alone for a text without letters."""
     out = np.full(texts, -np.inf)
-    np.maximum.at(out, p.text, piece_margins(weights, bias, p))
+    np.maximum.at(out, p.text, word_margins(weights, bias, p))
     return np.where(np.isneginf(out), bias, out)
 
 
@@ -175,16 +185,17 @@ def _labels(block: Block) -> np.ndarray:
 
 def _groups(block: Block) -> tuple[np.ndarray, np.ndarray]:
     """Distinct pairs of (text, four neighbouring letters)."""
-    p = pieces_of(block.data, block.offsets)
+    p = words_of(block.data, block.offsets)
     if len(p.symbols) < 4:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     at, feature, _ = next(subsequences(p.symbols, p.word))
-    pair = np.unique(p.text[p.piece[at]] * FEATURES + feature)
+    pair = np.unique(p.text[p.word[at]] * FEATURES + feature)
     return pair // FEATURES, pair % FEATURES
 
 
 def telling_groups(sample: DataFrame, totals: dict[int, int]) -> np.ndarray:
-    """Letter groups of at least three toxic texts, and at least eight times as frequent in them.
+    """Letter groups at least ``LIFT`` times as frequent in toxic texts, beyond chance among all groups
+    looked at, and in at least ``LEAST_SHARE`` of the toxic texts, so that no few copies bring them in.
 
     At most ``GROUPS`` of them, those with the most evidence.
     """
@@ -212,102 +223,100 @@ def telling_groups(sample: DataFrame, totals: dict[int, int]) -> np.ndarray:
     schema = "g bigint, other bigint, toxic bigint"
     toxic = sample.filter("label = 1").mapInArrow(count, schema)
     others = sample.filter("label = 0").mapInArrow(clean, schema)
-    rate = F.lit(totals.get(0, 0) / max(1, totals.get(1, 0)))
-    found = (
+    counts = materialize(
         toxic.union(others).groupBy("g").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
-        .filter("toxic >= 3")
-        .withColumn("lift", F.col("toxic") * rate / (F.col("other") + F.lit(0.5)))
-        .filter("lift >= 8")
-        .orderBy((F.col("toxic") * F.log("lift")).desc(), "g")
+        .filter("toxic >= 3"), "groups")
+    base = totals[1] / (totals[0] + totals[1])
+    both = F.col("toxic") + F.col("other")
+    share = F.col("toxic") / both
+    # Chernoff's bound on so many toxic ones of ``both`` by chance.
+    evidence = F.col("toxic") * F.log(share / base) + F.when(
+        share < 1, F.col("other") * F.log((1 - share) / (1 - base))).otherwise(0)
+    found = (
+        counts.filter(F.col("toxic") >= LEAST_SHARE * totals[1])
+        .withColumn("lift", F.col("toxic") / totals[1] * totals[0] / (F.col("other") + 0.5))
+        .withColumn("evidence", evidence)
+        .filter((F.col("lift") >= LIFT) & (F.col("evidence") >= np.log(max(1, counts.count()) / 0.01)))
+        .orderBy(F.col("evidence").desc(), "g")
         .limit(GROUPS)
     )
     return np.array([r["g"] for r in found.select("g").collect()], np.int64)
 
 
 def _carriers(sample: DataFrame, telling: np.ndarray, share: dict[int, float]) -> DataFrame:
-    """Training sentences: of toxic texts those with a telling group, of others a hashed share."""
+    """Training words: of toxic texts those with a telling group, of others any, a hashed share of each."""
     flag = np.zeros(FEATURES, bool)
     flag[telling] = True
     shared = sample.sparkSession.sparkContext.broadcast(np.packbits(flag))
 
-    def sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flag = np.unpackbits(shared.value).astype(bool)
         for block in blocks(batches, "text"):
-            p = pieces_of(block.data, block.offsets)
+            p = words_of(block.data, block.offsets)
             if len(p.text) == 0:
                 continue
             label = _labels(block)[p.text]
             told = np.zeros(len(p.text), bool)
             for at, feature, _ in subsequences(p.symbols, p.word):
-                told[p.piece[at[flag[feature]]]] = True
+                told[p.word[at[flag[feature]]]] = True
                 break
-            bounds = np.searchsorted(p.piece, np.arange(len(p.text) + 1))
+            bounds = np.searchsorted(p.word, np.arange(len(p.text) + 1))
             weight = np.add.reduceat(p.symbols.astype(np.int64) * (np.arange(len(p.symbols)) % 9973 + 1), bounds[:-1])
             lot = (weight * 2654435761 % (1 << 32)) / (1 << 32)
             keep = np.flatnonzero(np.where(label == 1, told & (lot < share[1]), lot < share[0]))
             yield _rows(p, bounds, keep, label)
 
-    return sample.mapInArrow(sentences, "symbols binary, word binary, label int, told boolean")
-
-
-def _rows(p: Pieces, bounds: np.ndarray, keep: np.ndarray, label: np.ndarray) -> pa.RecordBatch:
-    cut = [(slice(bounds[i], bounds[i + 1])) for i in keep]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([p.symbols[c].astype(np.uint8).tobytes() for c in cut], pa.binary()),
-         pa.array([(p.word[c] - p.word[c.start]).astype(np.uint8).tobytes() for c in cut], pa.binary()),
-         pa.array(label[keep], pa.int32()), pa.array(np.zeros(len(cut), bool))],
-        names=["symbols", "word", "label", "told"])
-
-
-def _joined(rows: Iterable) -> Pieces:
-    """Collected sentences end to end."""
-    symbols, words, piece, last = [], [], [], 0
-    for i, (s, w) in enumerate(rows):
-        s, w = np.frombuffer(s, np.uint8).astype(np.int32), np.frombuffer(w, np.uint8).astype(np.int64)
-        symbols.append(s)
-        words.append(w + last)
-        piece.append(np.full(len(s), i))
-        last += int(w[-1]) + 1 if len(w) else 0
-    return Pieces(np.concatenate(symbols), np.concatenate(words), np.concatenate(piece), np.arange(len(symbols)))
-
-
-def landmark_words(p: Pieces, label: np.ndarray, telling: np.ndarray, most: int = LANDMARKS) -> Pieces:
-    """Words of the sentences: for each telling group the commonest that holds it, then common words."""
-    bounds = np.flatnonzero(np.append(True, p.word[1:] != p.word[:-1]))
-    bounds = np.append(bounds, len(p.symbols))
-    words: dict[bytes, int] = {}
-    for a, b in zip(bounds, bounds[1:], strict=False):
-        w = p.symbols[a:b].astype(np.uint8).tobytes()
-        words[w] = words.get(w, 0) + 1
-    by_count = sorted(words, key=lambda w: (-words[w], w))
+    return sample.mapInArrow(words, "symbols binary, label int").groupBy("symbols", "label").count()
+
+
+def _rows(p: Words, bounds: np.ndarray, keep: np.ndarray, label: np.ndarray) -> pa.RecordBatch:
+    words = [p.symbols[bounds[i] : bounds[i + 1]].astype(np.uint8).tobytes() for i in keep]
+    return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(label[keep], pa.int32())],
+                                      names=["symbols", "label"])
+
+
+def _joined(words: Iterable[bytes]) -> Words:
+    """Collected words end to end."""
+    words = list(words)
+    lengths = np.array([len(w) for w in words])
+    symbols = np.frombuffer(b"".join(words), np.uint8).astype(np.int32)
+    return Words(symbols, np.repeat(np.arange(len(words)), lengths), np.arange(len(words)))
+
+
+def landmark_words(
+    words: list[tuple[bytes, int]], telling: np.ndarray, hard: list[bytes], most: int = LANDMARKS
+) -> Words:
+    """For each telling group the shortest word that holds it, then the hard words of other texts, then
+    any of their words."""
+    order = sorted({w for w, _ in words if len(w) >= 4}, key=lambda w: (len(w), w))
     by_group: dict[int, bytes] = {}
-    for w in by_count:
+    for w in order:
         s = np.frombuffer(w, np.uint8).astype(np.int64)
-        if len(s) >= 4:
-            for g in (s[:-3] << 15) | (s[1:-2] << 10) | (s[2:-1] << 5) | s[3:]:
-                by_group.setdefault(int(g), w)
-    chosen: dict[bytes, None] = {}
-    for g in telling.tolist():
-        if g in by_group and len(chosen) < most // 2:
-            chosen[by_group[g]] = None
-    for w in by_count:
-        if len(chosen) >= most:
-            break
-        if len(w) >= 4:
-            chosen[w] = None
-    return _joined((w, bytes(len(w))) for w in chosen)
+        for g in (s[:-3] << 15) | (s[1:-2] << 10) | (s[2:-1] << 5) | s[3:]:
+            by_group.setdefault(int(g), w)
+    chosen = dict.fromkeys(by_group[g] for g in telling.tolist() if g in by_group)
+    chosen = dict.fromkeys(list(chosen)[: most // 2])
+    others = sorted({w for w, y in words if y == 0 and len(w) >= 4}, key=lambda w: (zlib.crc32(w), w))
+    chosen.update(dict.fromkeys(hard[: most // 3]))
+    chosen.update(dict.fromkeys(others[: max(0, most - len(chosen))]))
+    return _joined(chosen)
+
+
+def inserted(word: bytes) -> list[bytes]:
+    """The word with a letter put in at each inner place, the letter drawn by a hash."""
+    return [word[:i] + bytes([1 + zlib.crc32(word + bytes([i])) % 26]) + word[i:] for i in range(2, len(word))]
 
 
 class Nystrom:
     """Landmark words as rows of subsequence weights, and the map to the features of the SVM."""
 
-    def __init__(self, marks: Pieces):
+    def __init__(self, marks: Words):
         parts = [(p, f, np.full(len(f), w)) for a, f, w in subsequences(marks.symbols, marks.word)
-                 for p in [marks.piece[a]]]
-        piece, feature, weight = (np.concatenate(x) for x in zip(*parts, strict=True))
+                 for p in [marks.word[a]]]
+        word, feature, weight = (np.concatenate(x) for x in zip(*parts, strict=True))
         self.used, column = np.unique(feature, return_inverse=True)
         self.phi = np.zeros((len(marks.text), len(self.used)))
-        np.add.at(self.phi, (piece, column), weight)
+        np.add.at(self.phi, (word, column), weight)
         self.phi /= np.maximum(np.linalg.norm(self.phi, axis=1, keepdims=True), 1e-9)
         values, vectors = np.linalg.eigh(self.phi @ self.phi.T)
         root = np.where(values > 1e-6, 1 / np.sqrt(np.maximum(values, 1e-6)), 0)
@@ -315,24 +324,24 @@ class Nystrom:
         self.column = np.full(FEATURES, -1, np.int32)
         self.column[self.used] = np.arange(len(self.used))
 
-    def features(self, p: Pieces) -> np.ndarray:
-        """Kernel values of sentences with the landmarks, times the inverse root."""
+    def features(self, p: Words) -> np.ndarray:
+        """Kernel values of words with the landmarks, times the inverse root."""
         n, k = len(p.text), len(self.used)
         out = np.zeros((n, len(self.phi)), np.float32)
         parts = []
         for at, feature, weight in subsequences(p.symbols, p.word):
             column = self.column[feature]
             hit = column >= 0
-            parts.append((p.piece[at[hit]], column[hit], np.full(int(hit.sum()), weight)))
-        piece, column, weight = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.argsort(piece, kind="stable")
-        piece, column, weight = piece[order], column[order], weight[order]
+            parts.append((p.word[at[hit]], column[hit], np.full(int(hit.sum()), weight)))
+        word, column, weight = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(word, kind="stable")
+        word, column, weight = word[order], column[order], weight[order]
         for lo in range(0, n, 512):
-            a, b = np.searchsorted(piece, [lo, lo + 512])
+            a, b = np.searchsorted(word, [lo, lo + 512])
             rows = min(512, n - lo)
-            dense = np.bincount((piece[a:b] - lo) * k + column[a:b], weight[a:b], minlength=rows * k)
+            dense = np.bincount((word[a:b] - lo) * k + column[a:b], weight[a:b], minlength=rows * k)
             out[lo : lo + rows] = dense.reshape(rows, k) @ self.phi.T @ self.half
-        return out
+        return out / norms(p)[:, None]
 
     def weights(self, v: np.ndarray) -> np.ndarray:
         """One weight per subsequence: the landmark expansion of the SVM's vector."""
@@ -341,11 +350,13 @@ class Nystrom:
         return table
 
 
-def svm(x: np.ndarray, label: np.ndarray, c: float = 20.0, rounds: int = 40) -> tuple[np.ndarray, float]:
-    """Linear SVM with squared hinge loss and balanced classes, by Newton steps on the primal."""
+def svm(
+    x: np.ndarray, label: np.ndarray, often: np.ndarray, c: float = 20.0, rounds: int = 40
+) -> tuple[np.ndarray, float]:
+    """Linear SVM with squared hinge loss, rows weighted and classes balanced, by Newton steps."""
     y = np.where(label == 1, 1.0, -1.0)
-    weight = np.where(label == 1, 0.5 / max(1, (label == 1).sum()), 0.5 / max(1, (label == 0).sum()))
-    weight = c * weight * len(y) / 2
+    sums = np.array([often[label == 0].sum(), often[label == 1].sum()])
+    weight = c * often / sums[label] * often.sum() / 2
     x1 = np.hstack([x.astype(np.float64), np.ones((len(x), 1))])
     w = np.zeros(x1.shape[1])
     ridge = np.ones(len(w))
@@ -383,28 +394,27 @@ def logistic(margin: np.ndarray, label: np.ndarray, rounds: int = 50) -> tuple[f
 
 
 def _highest(sample: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
-    """Of every sample text its label, margin and highest-scoring sentence."""
+    """Of every sample text its label, margin and highest-scoring word."""
     shared = sample.sparkSession.sparkContext.broadcast((weights, bias))
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = shared.value
         for block in blocks(batches, "text"):
             label, texts = _labels(block), block.hi - block.lo
-            p = pieces_of(block.data, block.offsets)
-            m = piece_margins(weights, bias, p) if len(p.text) else np.zeros(0)
-            order = np.lexsort((np.arange(len(m)), -m, p.text))
+            p = words_of(block.data, block.offsets)
+            m = word_margins(weights, bias, p) if len(p.text) else np.zeros(0)
+            order = np.lexsort((-m, p.text))
             top = order[np.append(True, p.text[order][1:] != p.text[order][:-1])] if len(m) else order
-            bounds = np.searchsorted(p.piece, np.arange(len(p.text) + 1))
+            bounds = np.searchsorted(p.word, np.arange(len(p.text) + 1))
             rows = _rows(p, bounds, top, label[p.text] if len(m) else label[:0])
             bare = np.setdiff1d(np.arange(texts), p.text)
-            margin = np.append(m[top], np.full(len(bare), bias))
-            empty = pa.array([b""] * len(bare), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([rows.column(0), empty]), pa.concat_arrays([rows.column(1), empty]),
-                 pa.concat_arrays([rows.column(2), pa.array(label[bare], pa.int32())]),
-                 pa.array(margin, pa.float64())], names=["symbols", "word", "label", "margin"])
+                [pa.concat_arrays([rows.column(0), pa.array([b""] * len(bare), pa.binary())]),
+                 pa.concat_arrays([rows.column(1), pa.array(label[bare], pa.int32())]),
+                 pa.array(np.append(m[top], np.full(len(bare), bias)), pa.float64())],
+                names=["symbols", "label", "margin"])
 
-    return sample.mapInArrow(best, "symbols binary, word binary, label int, margin double")
+    return sample.mapInArrow(best, "symbols binary, label int, margin double")
 
 
 def fit(
@@ -415,7 +425,7 @@ def fit(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> Model:
-    """Learn from labelled texts outside the fold: a bounded sample of texts and sentences.
+    """Learn from labelled texts outside the fold: a bounded sample of texts and words.
 
     If one of the labels is missing there, or nothing tells toxic texts from others, every
     text gets the share of toxic rows in the sample (0 without any row).
@@ -429,25 +439,36 @@ def fit(
     telling = telling_groups(sample, totals)
     if len(telling) == 0:
         return flat
-    # About half of SENTENCES from either side; a text has some 20 sentences.
-    share = {0: min(1.0, SENTENCES / 2 / (20 * totals[0])), 1: min(1.0, SENTENCES / 2 / (4 * totals[1]))}
-    rows = _carriers(sample, telling, share).select("symbols", "word", "label").limit(2 * SENTENCES).collect()
-    train = [(bytes(r["symbols"]), bytes(r["word"]), r["label"]) for r in rows if len(r["symbols"])]
-    train.sort()
-    if len({r[2] for r in train}) < 2:
+    # A word is some six bytes long; toxic texts name a few telling words each.
+    size = sample.filter("label = 0").agg(F.sum(F.octet_length("text"))).head()[0] / 6
+    share = {0: min(1.0, WORDS / max(1, size)), 1: min(1.0, WORDS / (10 * totals[1]))}
+    rows = _carriers(sample, telling, share).limit(4 * WORDS).collect()
+    train = {(bytes(r["symbols"]), r["label"]): r["count"] for r in rows}
+    if len({y for _, y in train}) < 2:
         return flat
-    pieces = _joined(r[:2] for r in train)
-    nystrom = Nystrom(landmark_words(pieces, np.array([r[2] for r in train]), telling))
-    weights, bias = np.zeros(0), 0.0
-    for again in range(2):
-        x = nystrom.features(_joined(r[:2] for r in train))
-        v, bias = svm(x, np.array([r[2] for r in train]))
+    for (w, y), n in list(train.items()):
+        if y == 1:
+            for v in inserted(w):
+                train[v, 1] = train.get((v, 1), 0) + max(1, n // 8)
+    hard: list[bytes] = []
+    for _ in range(ROUNDS):
+        words = sorted(train)
+        nystrom = Nystrom(landmark_words(words, telling, hard))
+        x = nystrom.features(_joined(w for w, _ in words))
+        v, bias = svm(x, np.array([y for _, y in words]), np.sqrt([train[w] for w in words]))
         weights = nystrom.weights(v)
-        top = _highest(sample, weights, bias).collect()
-        if not again:
-            # Every text's highest sentence, with its text's label: the clean ones are the hard cases.
-            train += [(bytes(r["symbols"]), bytes(r["word"]), r["label"]) for r in top if len(r["symbols"])]
-            train.sort()
+        # A toxic text without any toxic word teaches nothing.
+        top = [r for r in _highest(sample, weights, bias).collect() if r["label"] == 0 or r["margin"] > 0]
+        worst: dict[bytes, float] = {}
+        for r in top:
+            w = bytes(r["symbols"])
+            if len(w) >= 4:
+                train[w, r["label"]] = train.get((w, r["label"]), 0) + 1
+                if r["label"] == 0:
+                    worst[w] = r["margin"]
+        hard += sorted(worst, key=lambda w: (-worst[w], w))[: LANDMARKS // 8]
+    if len({r["label"] for r in top}) < 2:
+        return flat
     slope, shift = logistic(np.array([r["margin"] for r in top]), np.array([r["label"] for r in top]))
     return Model(weights, bias, slope, shift)
 
@@ -472,7 +493,7 @@ def _scorer(docs: DataFrame, model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for block in blocks(batches, "__text"):
-            margin = text_margins(m.weights, m.bias, pieces_of(block.data, block.offsets), block.hi - block.lo)
+            margin = text_margins(m.weights, m.bias, words_of(block.data, block.offsets), block.hi - block.lo)
             p = 1 / (1 + np.exp(-np.clip(m.slope * margin + m.shift, -30, 30)))
             yield pa.RecordBatch.from_arrays(
                 [block.batch.column(0).slice(block.lo, block.hi - block.lo), pa.array(p, pa.float64())],
@@ -495,7 +516,7 @@ def drop_toxic(
         batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], names=["t"])
         m = shared.value
         for block in blocks([batch], "t"):
-            margin = text_margins(m.weights, m.bias, pieces_of(block.data, block.offsets), block.hi - block.lo)
+            margin = text_margins(m.weights, m.bias, words_of(block.data, block.offsets), block.hi - block.lo)
             out.append(1 / (1 + np.exp(-np.clip(m.slope * margin + m.shift, -30, 30))))
         return pd.Series(np.concatenate(out) if out else [], dtype="float64")
 

@@ -23,13 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.exact_dedup import exact_groups
-from siltstone.llm.shards import FileSet, in_shards, shard_bounds
+from siltstone.llm.shards import SHARD_BYTES, FileSet, in_shards, one_each, shard_bounds
 from siltstone.scratch import materialize, new_folder
 
 ROLL_BYTES = 16 << 20
 #: The rows have no capture time; records carry this one unless the caller names another.
 DATE = "2024-01-01T00:00:00Z"
 _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the public name space for URLs
+_STEP = 1 << 14
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _MANIFEST = "file string, shard bigint, number bigint, n_records bigint, n_bytes bigint, sha256 string"
 
@@ -72,12 +73,15 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
 
 def members(data: bytes) -> Iterator[bytes]:
     """The gzip members of a file, one after the other."""
-    rest = memoryview(data)
-    while rest:
-        unpacker = zlib.decompressobj(wbits=31)
-        out = unpacker.decompress(rest) + unpacker.flush()
-        rest = rest[len(rest) - len(unpacker.unused_data) :]
-        yield out
+    view, at = memoryview(data), 0
+    while at < len(view):
+        # Bounded steps: what a member leaves over is copied each time.
+        unpacker, out = zlib.decompressobj(wbits=31), []
+        while not unpacker.eof and at < len(view):
+            step = view[at : at + _STEP]
+            out.append(unpacker.decompress(step))
+            at += len(step) - len(unpacker.unused_data)
+        yield b"".join(out)
 
 
 def parse(raw: bytes) -> tuple[dict[str, str], bytes, int]:
@@ -105,6 +109,7 @@ def write_archives(
     payload_column: str = "html",
     min_revisit_bytes: int = 0,
     roll_bytes: int = ROLL_BYTES,
+    shard_bytes: int = SHARD_BYTES,
     date: str = DATE,
 ) -> DataFrame:
     """Write one record per row and return the manifest, a row per file.
@@ -123,16 +128,15 @@ def write_archives(
         .select(F.col("id").alias("copy"), F.col("keep_id").alias("refers_to"), F.col("text_sha256").alias("copy_hash"))
         .distinct()
     )
-    rows = rows.withColumn("hash", F.sha2("payload", 256))
-    on = rows["id"].eqNullSafe(copies["copy"]) & (rows["hash"] == copies["copy_hash"])
-    again = F.col("copy_hash").isNotNull() & (F.octet_length("payload") >= min_revisit_bytes)
-    marked = rows.join(copies, on, "left").select(
-        "id", "url", "payload", "hash", again.alias("revisit"), F.when(again, F.col("refers_to")).alias("refers_to"))
-    bounds = shard_bounds(rows, "id", F.octet_length("payload") + 512)
+    bounds = shard_bounds(rows, "id", F.octet_length("payload") + 512, shard_bytes)
+    # A copy's mark travels to its shard with the pages and comes before them, instead of a join
+    # that would shuffle the payloads once more.
+    marks = copies.select(F.col("copy").alias("id"), F.col("copy_hash").alias("hash"), F.lit(True).alias("mark"), "refers_to")
+    every = rows.withColumn("hash", F.sha2("payload", 256)).unionByName(marks, allowMissingColumns=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = FileSet(folder)
-        shard, number, parts, held = None, 0, [], 0
+        shard, number, parts, held, mark = None, 0, [], 0, (None, None, None)
 
         def close() -> pa.RecordBatch:
             data = b"".join(parts)
@@ -144,19 +148,24 @@ def write_archives(
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 for row in batch.slice(at, 64).to_pylist():
+                    if row["mark"]:
+                        mark = (row["id"], row["hash"], row["refers_to"])
+                        continue
                     if parts and (row["__shard"] != shard or held >= roll_bytes):
                         yield close()
                         number = number + 1 if row["__shard"] == shard else 0
                         parts, held = [], 0
                     shard = row["__shard"]
                     packer = zlib.compressobj(6, zlib.DEFLATED, 31)
-                    raw = record(row["id"], row["url"], row["payload"].encode(), row["refers_to"], row["revisit"], date)
+                    payload = row["payload"].encode()
+                    again = mark[:2] == (row["id"], row["hash"]) and len(payload) >= min_revisit_bytes
+                    raw = record(row["id"], row["url"], payload, mark[2], again, date)
                     parts.append(packer.compress(raw) + packer.flush())
                     held += len(parts[-1])
         if parts:
             yield close()
 
-    dealt = in_shards(marked, "id", bounds, "hash", "url").withColumn("__shard", F.col("__shard").cast("long")).drop("hash")
+    dealt = in_shards(every, "id", bounds, "hash", F.col("mark").desc_nulls_last(), "url").withColumn("__shard", F.col("__shard").cast("long"))
     return materialize(dealt.mapInArrow(run, _MANIFEST), "manifest")
 
 
@@ -187,7 +196,7 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
                 if out:
                     yield _batch(out)
 
-    return manifest.repartition("file").mapInArrow(
+    return one_each(manifest).mapInArrow(
         run, "page_id bigint, url string, payload binary, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
 
 
