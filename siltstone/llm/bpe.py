@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 CHUNK = 1 << 16
 OVERLAP = 1 << 10
-CACHE = 1 << 17
+CACHE = 1 << 18
+LONG = 64
 BLOCK_CHARS = 1 << 20
 
 _LETTER, _NUMBER, _OTHER, _SPACE = 1, 2, 3, 4
@@ -95,30 +96,66 @@ class Bpe:
     """Merges by rank, with a bounded cache of pre-tokens."""
 
     def __init__(self, path: str):
+        """Rank files of up to 65,536 tokens with all 256 bytes among them."""
         with open(path, "rb") as lines:
             pairs = [line.split() for line in lines if line.strip()]
         self.ranks = {base64.b64decode(a): int(b) for a, b in pairs}
         self.bytes_of = {b: a for a, b in self.ranks.items()}
+        self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        self.none = np.int32(1 << 30)
+        # Every way to make a token of two tokens.
+        pairs = sorted(
+            (self.ranks[t[:i]] << 16 | self.ranks[t[i:]], r)
+            for t, r in self.ranks.items() for i in range(1, len(t))
+            if t[:i] in self.ranks and t[i:] in self.ranks
+        )
+        self.pairs = np.array([p for p, _ in pairs], np.int64)
+        self.made = np.array([r for _, r in pairs], np.int32)
         self.cache: dict[str, tuple[int, ...]] = {}
 
-    def merge(self, piece: bytes) -> tuple[int, ...]:
-        """Ids of one pre-token: the pair of lowest rank is joined first, the leftmost of equals."""
-        if piece in self.ranks:
-            return (self.ranks[piece],)
-        if len(piece) > 256:
-            return self._merge_long(piece)
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        get = self.ranks.get
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                rank = get(parts[i] + parts[i + 1])
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if best is None:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return tuple(self.ranks[p] for p in parts)
+    def merge(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """Ids of pre-tokens: in each, the adjacent pair of lowest rank is joined until none has a rank,
+        the leftmost of equals first. All pieces take their next step at once."""
+        out: list[tuple[int, ...]] = [()] * len(pieces)
+        sizes = np.array([len(p) for p in pieces], np.int64)
+        symbol = self.single[np.frombuffer(b"".join(pieces), np.uint8)]
+        piece = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
+        rank = self._ranks(symbol, piece)
+        while len(symbol):
+            starts = np.flatnonzero(np.append(True, piece[1:] != piece[:-1]))
+            least = np.minimum.reduceat(rank, starts)
+            done = least == self.none
+            if done.any():
+                ends = np.append(starts[1:], len(symbol))
+                for i, a, b in zip(piece[starts[done]].tolist(), starts[done].tolist(), ends[done].tolist(), strict=True):
+                    out[i] = tuple(symbol[a:b].tolist())
+                keep = np.repeat(~done, ends - starts)
+                symbol, piece, rank = symbol[keep], piece[keep], rank[keep]
+                continue
+            least = np.repeat(least, np.diff(np.append(starts, len(symbol))))
+            at = np.flatnonzero(rank == least)
+            at = at[np.append(True, piece[at][1:] != piece[at][:-1])]
+            # The rank of a pair is the id of what it makes.
+            symbol[at] = least[at]
+            keep = np.ones(len(symbol), bool)
+            keep[at + 1] = False
+            at = at - np.arange(len(at))
+            symbol, piece, rank = symbol[keep], piece[keep], rank[keep]
+            for left in (at[at > 0] - 1, at):
+                rank[left] = self._ranks(symbol, piece, left)
+        return out
+
+    def _ranks(self, symbol: np.ndarray, piece: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+        """Rank of each symbol's pair with the next one of its piece."""
+        at = np.arange(len(symbol)) if at is None else at
+        out = np.full(len(at), self.none, np.int32)
+        inner = at + 1 < len(symbol)
+        inner[inner] = piece[at[inner]] == piece[at[inner] + 1]
+        left = at[inner]
+        key = symbol[left].astype(np.int64) << 16 | symbol[left + 1]
+        place = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        out[inner] = np.where(self.pairs[place] == key, self.made[place], self.none)
+        return out
 
     def _merge_long(self, piece: bytes) -> tuple[int, ...]:
         """The same order of merges with a heap over linked parts, for very long pre-tokens."""
@@ -153,19 +190,13 @@ class Bpe:
         return tuple(out)
 
     def encode(self, pieces: list[str]) -> list[tuple[int, ...]]:
+        if len(self.cache) > CACHE:
+            self.cache.clear()
+        missing = [p for p in set(pieces).difference(self.cache) if len(p) <= LONG]
+        self.cache.update(zip(missing, self.merge([p.encode() for p in missing]), strict=True))
         found = list(map(self.cache.get, pieces))
         if None in found:
-            if len(self.cache) > CACHE:
-                self.cache.clear()
-            for i, ids in enumerate(found):
-                if ids is None:
-                    piece = pieces[i]
-                    ids = self.cache.get(piece)
-                    if ids is None:
-                        ids = self.merge(piece.encode())
-                        if len(piece) <= 64:
-                            self.cache[piece] = ids
-                    found[i] = ids
+            found = [self._merge_long(p.encode()) if x is None else x for p, x in zip(pieces, found, strict=True)]
         return found
 
     def decode(self, ids: Iterable[int]) -> bytes:

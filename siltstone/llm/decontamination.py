@@ -3,8 +3,7 @@
 Texts are words (runs of letters and digits, lower-cased). A mask names the word positions that count and
 skips the others, so a hash of the counted words survives substitutions at the skipped places.
 Hashes of benchmark and documents under the same mask are joined; a hit fixes how the two texts lie to
-each other. On that alignment, and on those up to ``SHIFT`` words beside it, the words that agree are counted
-within every window of ``WINDOW`` words of the item (of the whole item if shorter); a share of
+each other. On that alignment the words that agree are counted within every window of ``WINDOW`` words of the item (of the whole item if shorter); a share of
 ``SIMILARITY`` in one window contaminates the document.
 """
 
@@ -25,31 +24,18 @@ BROADCAST_SEEDS = 1_000_000
 
 def words_of(text: Column) -> Column:
     """Words of a text as 64-bit hashes; null and empty texts have none."""
-    words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", -1)
-    return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
+    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
 def seeds_of(words: Column) -> Column:
-    """Array of (seed hash, first word) over all masks. Texts shorter than the first mask have
-    one seed of all their words."""
-
-    def one(number: int, mask: tuple[int, ...]) -> Column:
-        last = F.size(words) - 1 - mask[-1]
-        return F.when(
-            last >= 0,
-            F.transform(
-                F.sequence(F.lit(0), last),
-                lambda i: F.struct(
-                    F.xxhash64(F.lit(number), *[F.get(words, i + F.lit(o)) for o in mask]).alias("seed"),
-                    i.cast("int").alias("at")),
-            ),
-        ).otherwise(F.array())
-
-    short = F.when(
-        (F.size(words) > 0) & (F.size(words) < len(MASKS[0])),
-        F.array(F.struct(F.xxhash64(F.lit(-1), words).alias("seed"), F.lit(0).alias("at"))),
-    ).otherwise(F.array())
-    return F.concat(short, *[one(i, m) for i, m in enumerate(MASKS)])
+    """Seed hashes at every word for each mask in turn: number ``m * size(words) + i`` is mask m at
+    word i. Where a mask reaches beyond the text its seed covers fewer words."""
+
+    def under(m: int, mask: tuple[int, ...]) -> Column:
+        return F.transform(words, lambda w, i: F.xxhash64(F.lit(m), w, *[F.get(words, i + F.lit(o)) for o in mask[1:]]))
+
+    return F.concat(*[under(m, mask) for m, mask in enumerate(MASKS)])
 
 
 def _best_share(item: Column, doc: Column, shift: Column) -> Column:
@@ -84,17 +70,25 @@ def contaminated(
     items = materialize(
         benchmark.select(F.col(item_id_column).alias("item"), words_of(F.col(item_text_column)).alias("item_words"))
         .filter(F.size("item_words") > 0), "items")
-    item_seeds = items.select("item", F.inline(seeds_of(F.col("item_words")))).select(
-        "item", "seed", F.col("at").alias("item_at")).distinct()
+    size = F.size("item_words")
+    reach = F.element_at(F.array(*[F.lit(m[-1]) for m in MASKS]), (F.floor(F.col("pos") / size) + 1).cast("int"))
+    item_at = F.col("pos") % size
+    item_seeds = (
+        items.select("item", "item_words", F.posexplode(seeds_of(F.col("item_words"))).alias("pos", "seed"))
+        # Whole masks only, but for items that are shorter than the first one.
+        .filter((item_at + reach < size) | ((size < len(MASKS[0])) & (F.col("pos") == 0)))
+        .select("item", "seed", item_at.alias("item_at"))
+        .distinct()
+    )
     if item_seeds.count() <= BROADCAST_SEEDS:
         item_seeds = F.broadcast(item_seeds)
-    rows = docs.select(F.col(id_column).alias("id"), F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("text_hash"),
-                       words_of(F.col(text_column)).alias("words"))
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    rows = docs.select(F.col(id_column).alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     hits = (
-        rows.select("id", "text_hash", F.explode(seeds_of(F.col("words"))).alias("s"))
-        .select("id", "text_hash", F.col("s.seed").alias("seed"), F.col("s.at").alias("at"))
+        rows.select("id", "text_hash", words_of(F.col("text")).alias("words"))
+        .select("id", "text_hash", F.size("words").alias("n"), F.posexplode(seeds_of(F.col("words"))).alias("pos", "seed"))
         .join(item_seeds, "seed")
-        .select("id", "text_hash", "item", (F.col("at") - F.col("item_at")).alias("shift"))
+        .select("id", "text_hash", "item", (F.col("pos") % F.col("n") - F.col("item_at")).alias("shift"))
         .distinct()
     )
     found = hits.groupBy("id", "text_hash").agg(F.collect_list(F.struct("item", "shift")).alias("hits"))
@@ -103,8 +97,10 @@ def contaminated(
     on = rows["id"].eqNullSafe(found["hit_id"]) & (rows["text_hash"] == found["hit_hash"])
     return (
         rows.join(found, on)
+        .select("id", words_of(F.col("text")).alias("words"), "hits")
         .select("id", "words", F.inline("hits"))
         .join(items, "item")
+        .filter((F.size("item_words") >= len(MASKS[0])) | (F.size("item_words") == F.size("words")))
         .withColumn("similarity", _best_share(F.col("item_words"), F.col("words"), F.col("shift")))
         .filter(F.col("similarity") >= SIMILARITY)
         .groupBy("id", "item")
