@@ -18,24 +18,27 @@ from siltstone.scratch import materialize
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 4, 6), (0, 2, 3, 5, 6), (0, 1, 4, 5, 7))
 WINDOW = 25
 SIMILARITY = 0.8
-#: Seeds of the benchmark are broadcast up to so many rows of 24 bytes; beyond, both sides are shuffled.
+#: Seeds of the benchmark are broadcast up to so many rows of 32 bytes; beyond, both sides are shuffled.
 BROADCAST_SEEDS = 1_000_000
 
 
 def words_of(text: Column) -> Column:
-    """Words of a text as 64-bit hashes; null and empty texts have none."""
-    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    return F.transform(words, lambda w: F.xxhash64(w))
+    """Words of a text; null and empty texts have none."""
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", -1), "")
 
 
-def seeds_of(words: Column) -> Column:
-    """Seed hashes at every word for each mask in turn: number ``m * size(words) + i`` is mask m at
-    word i. Where a mask reaches beyond the text its seed covers fewer words."""
+def seeds_of(rows: DataFrame, *keep: str) -> DataFrame:
+    """For each word of the column ``words`` and each mask a row of ``keep``, ``at``, ``mask`` and ``seed``.
 
-    def under(m: int, mask: tuple[int, ...]) -> Column:
-        return F.transform(words, lambda w, i: F.xxhash64(F.lit(m), w, *[F.get(words, i + F.lit(o)) for o in mask[1:]]))
-
-    return F.concat(*[under(m, mask) for m, mask in enumerate(MASKS)])
+    The words are exploded beside their array and hashed from it, which Spark compiles into one
+    loop. Where a mask reaches beyond the text its seed covers fewer words.
+    """
+    words, at = F.col("words"), F.col("at")
+    hashes = [F.xxhash64(F.lit(m), *[F.get(words, at + F.lit(o)) for o in mask]) for m, mask in enumerate(MASKS)]
+    return (
+        rows.select(*keep, "words", F.posexplode("words").alias("at", "__word"))
+        .select(*keep, "at", F.posexplode(F.array(*hashes)).alias("mask", "seed"))
+    )
 
 
 def _best_share(item: Column, doc: Column, shift: Column) -> Column:
@@ -52,32 +55,20 @@ def _best_share(item: Column, doc: Column, shift: Column) -> Column:
     return F.array_max(counts) / window
 
 
-def contaminated(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    item_id_column: str = "item_id",
-    item_text_column: str = "text",
+def matches(
+    docs: DataFrame, benchmark: DataFrame, id_column: str, text_column: str, item_id_column: str, item_text_column: str
 ) -> DataFrame:
-    """One row per document and benchmark item found in it: ids, ``similarity`` and ``at``, the
-    document's word where the item starts (below 0 if the item's start is cut off).
-
-    Null and empty texts and items contain nothing. Items shorter than five words are found only in
-    documents that are nothing but them. Rows that repeat an id are read together: the row of the
-    best match counts. Null ids take part and come back as null. Other columns are not read.
-    """
+    """``id``, ``text_hash``, ``item``, ``similarity`` and ``shift`` of verified alignments."""
     items = materialize(
         benchmark.select(F.col(item_id_column).alias("item"), words_of(F.col(item_text_column)).alias("item_words"))
         .filter(F.size("item_words") > 0), "items")
-    size = F.size("item_words")
-    reach = F.element_at(F.array(*[F.lit(m[-1]) for m in MASKS]), (F.floor(F.col("pos") / size) + 1).cast("int"))
-    item_at = F.col("pos") % size
+    size, at = F.col("n"), F.col("at")
+    reach = F.element_at(F.array(*[F.lit(m[-1]) for m in MASKS]), F.col("mask") + 1)
     item_seeds = (
-        items.select("item", "item_words", F.posexplode(seeds_of(F.col("item_words"))).alias("pos", "seed"))
+        seeds_of(items.select("item", F.size("item_words").alias("n"), F.col("item_words").alias("words")), "item", "n")
         # Whole masks only, but for items that are shorter than the first one.
-        .filter((item_at + reach < size) | ((size < len(MASKS[0])) & (F.col("pos") == 0)))
-        .select("item", "seed", item_at.alias("item_at"))
+        .filter((at + reach < size) | ((size < len(MASKS[0])) & (at == 0) & (F.col("mask") == 0)))
+        .select("item", "seed", at.alias("item_at"))
         .distinct()
     )
     if item_seeds.count() <= BROADCAST_SEEDS:
@@ -85,10 +76,9 @@ def contaminated(
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = docs.select(F.col(id_column).alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     hits = (
-        rows.select("id", "text_hash", words_of(F.col("text")).alias("words"))
-        .select("id", "text_hash", F.size("words").alias("n"), F.posexplode(seeds_of(F.col("words"))).alias("pos", "seed"))
+        seeds_of(rows.select("id", "text_hash", words_of(F.col("text")).alias("words")), "id", "text_hash")
         .join(item_seeds, "seed")
-        .select("id", "text_hash", "item", (F.col("pos") % F.col("n") - F.col("item_at")).alias("shift"))
+        .select("id", "text_hash", "item", (F.col("at") - F.col("item_at")).alias("shift"))
         .distinct()
     )
     found = hits.groupBy("id", "text_hash").agg(F.collect_list(F.struct("item", "shift")).alias("hits"))
@@ -97,14 +87,48 @@ def contaminated(
     on = rows["id"].eqNullSafe(found["hit_id"]) & (rows["text_hash"] == found["hit_hash"])
     return (
         rows.join(found, on)
-        .select("id", words_of(F.col("text")).alias("words"), "hits")
-        .select("id", "words", F.inline("hits"))
+        .select("id", "text_hash", words_of(F.col("text")).alias("words"), "hits")
+        .select("id", "text_hash", "words", F.inline("hits"))
         .join(items, "item")
         .filter((F.size("item_words") >= len(MASKS[0])) | (F.size("item_words") == F.size("words")))
         .withColumn("similarity", _best_share(F.col("item_words"), F.col("words"), F.col("shift")))
         .filter(F.col("similarity") >= SIMILARITY)
-        .groupBy("id", "item")
-        .agg(F.max(F.struct("similarity", -F.col("shift"))).alias("best"))
-        .select(F.col("id").alias(id_column), F.col("item").alias(item_id_column),
-                F.col("best.similarity").alias("similarity"), (-F.col("best.col2")).alias("at"))
+        .select("id", "text_hash", "item", "similarity", "shift")
     )
+
+
+def contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    item_id_column: str = "item_id",
+    item_text_column: str = "text",
+) -> DataFrame:
+    """One row per document and benchmark item found in it: ids, ``similarity`` and ``at``, the
+    document's word where the item starts (below 0 if the item's start is cut off).
+
+    Null and empty texts and items contain nothing. Items shorter than five words are found only in
+    documents that are nothing but them. Rows that repeat an id are read together: the row of the
+    best match counts. Null ids take part and come back as null. Other columns are not read.
+    """
+    found = matches(docs, benchmark, id_column, text_column, item_id_column, item_text_column)
+    best = found.groupBy("id", "item").agg(F.max(F.struct("similarity", (-F.col("shift")).alias("early"))).alias("best"))
+    return best.select(F.col("id").alias(id_column), F.col("item").alias(item_id_column),
+                       F.col("best.similarity").alias("similarity"), (-F.col("best.early")).alias("at"))
+
+
+def drop_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    item_id_column: str = "item_id",
+    item_text_column: str = "text",
+) -> DataFrame:
+    """The documents in which no benchmark item is found, with all their columns."""
+    gone = matches(docs, benchmark, id_column, text_column, item_id_column, item_text_column).select(
+        F.col("id").alias("__gone"), F.col("text_hash").alias("__gone_hash")).distinct()
+    text_hash = F.xxhash64(F.coalesce(docs[text_column], F.lit("")))
+    on = docs[id_column].eqNullSafe(F.col("__gone")) & (text_hash == F.col("__gone_hash"))
+    return docs.join(materialize(gone, "gone"), on, "left_anti")
