@@ -338,8 +338,8 @@ def encode(
 
 
 def decode(encoded: DataFrame, ranks_path: str, id_column: str = "doc_id") -> DataFrame:
-    """One row per row of ``encoded``: the id, ``n_tokens``, ``ids_sha256`` over the decimal ids
-    joined by a space, and ``decoded``, the concatenated bytes of the ids. Null ids count as none.
+    """One row per row of ``encoded``: the id, its ``ids``, ``n_tokens``, ``ids_sha256`` over the decimal
+    ids joined by a space, and ``decoded``, the concatenated bytes of the ids. Null ids count as none.
     """
     kind = encoded.schema[id_column].dataType.simpleString()
 
@@ -357,11 +357,11 @@ def decode(encoded: DataFrame, ranks_path: str, id_column: str = "doc_id") -> Da
                     digest.append(hashlib.sha256(said.encode()).hexdigest())
                     decoded.append(bpe.decode(ids))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(digest), pa.array(decoded, pa.binary())],
-                    names=["__id", "n_tokens", "ids_sha256", "decoded"])
+                    [part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(digest), pa.array(decoded, pa.binary())],
+                    names=["__id", "ids", "n_tokens", "ids_sha256", "decoded"])
 
     return (
         encoded.select(F.col(id_column).alias("__id"), "ids")
-        .mapInArrow(back, f"__id {kind}, n_tokens bigint, ids_sha256 string, decoded binary")
+        .mapInArrow(back, f"__id {kind}, ids binary, n_tokens bigint, ids_sha256 string, decoded binary")
         .withColumnRenamed("__id", id_column)
     )

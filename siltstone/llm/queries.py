@@ -10,6 +10,7 @@ from siltstone.llm import (
     decontamination,
     exact_dedup,
     line_dedup,
+    ngram_join,
     quality,
     token_files,
     toxicity,
@@ -37,6 +38,11 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_texts(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
