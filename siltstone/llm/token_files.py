@@ -2,11 +2,12 @@
 
 A file holds consecutive documents in ascending id order:
 
-    magic ``EFTOK001``, then little-endian unsigned 64-bit: documents n, ids m, low bits l,
-    bytes of the bound's high part, bytes of the document-id column;
+    magic ``EFTOK001``, then little-endian unsigned 64-bit: documents n, ids m, bytes per id, low
+    bits l, bytes of the bound's high part, bytes of the document-id column;
     the n bounds (ends of the documents in the id array) in Elias-Fano form: low parts of l bits each,
     then the high parts in unary, both as bit strings padded to whole bytes;
-    the document ids (Arrow IPC, for they may be null or repeat); the m ids as unsigned 32-bit.
+    the document ids (Arrow IPC, for they may be null or repeat); the m ids, unsigned, little-endian, in two
+    bytes each where all fit and else in four.
 
 Bounds take about ``2 + log2(m / n)`` bits each. ``Bounds.select`` gives the end of any
 document from the position of a one in the high part, found by counts kept for every
@@ -30,11 +31,12 @@ from siltstone.scratch import materialize, new_folder
 
 END_ID = 0
 FILE_IDS = 4 << 20
-CACHE = 1 << 17
+#: Distinct pre-tokens a worker remembers, some 160 bytes each.
+CACHE = 1 << 20
 BLOCK_CHARS = 1 << 20
 SAMPLE = 256
 _MAGIC = b"EFTOK001"
-_HEAD = struct.Struct("<8s5Q")
+_HEAD = struct.Struct("<8s6Q")
 
 
 class Bounds:
@@ -86,13 +88,14 @@ def pack(keys: list, lengths: list[int], ids: np.ndarray, kind: pa.DataType) ->
     with pa.ipc.new_stream(sink, batch.schema) as out:
         out.write_batch(batch)
     column = sink.getvalue().to_pybytes()
-    head = _HEAD.pack(_MAGIC, len(ends), len(ids), low_bits, len(high), len(column))
-    return b"".join([head, low, high, column, ids.astype("<u4").tobytes()])
+    width = 2 if not len(ids) or ids.max() < 1 << 16 else 4
+    head = _HEAD.pack(_MAGIC, len(ends), len(ids), width, low_bits, len(high), len(column))
+    return b"".join([head, low, high, column, ids.astype(f"<u{width}").tobytes()])
 
 
 def unpack(data: bytes) -> tuple[list, Bounds, np.ndarray]:
     """Document ids, bounds and token ids of a file."""
-    magic, n, m, low_bits, high, column = _HEAD.unpack_from(data)
+    magic, n, m, width, low_bits, high, column = _HEAD.unpack_from(data)
     if magic != _MAGIC:
         raise ValueError("not a token file")
     at = _HEAD.size
@@ -100,7 +103,7 @@ def unpack(data: bytes) -> tuple[list, Bounds, np.ndarray]:
     bounds = Bounds(n, low_bits, data[at : at + low], data[at + low : at + low + high])
     at += low + high
     keys = pa.ipc.open_stream(data[at : at + column]).read_all().column(0).to_pylist()
-    return keys, bounds, np.frombuffer(data, "<u4", count=m, offset=at + column)
+    return keys, bounds, np.frombuffer(data, f"<u{width}", count=m, offset=at + column).astype("<u4")
 
 
 _encoders: dict[str, tuple] = {}
