@@ -12,6 +12,7 @@ from siltstone.llm import (
     line_dedup,
     ngram_join,
     quality,
+    suffix_array,
     token_files,
     toxicity,
     warc,
@@ -19,6 +20,11 @@ from siltstone.llm import (
 from siltstone.llm.registry import query, table, tokenizer_path
 
 
+@query()
+def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query("""
   SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
          doc_id = max(doc_id) OVER same AS kept, text_sha256
