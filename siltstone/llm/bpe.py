@@ -16,7 +16,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +24,8 @@ from pyspark.sql import functions as F
 
 CHUNK = 1 << 16
 OVERLAP = 1 << 10
-CACHE = 1 << 18
+#: Distinct pre-tokens a worker remembers, some 160 bytes each.
+CACHE = 1 << 19
 LONG = 64
 BLOCK_CHARS = 1 << 20
 
@@ -111,12 +111,12 @@ class Bpe:
         )
         self.pairs = np.array([p for p, _ in pairs], np.int64)
         self.made = np.array([r for _, r in pairs], np.int32)
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.cache: dict[str, bytes] = {}
 
-    def merge(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of pre-tokens: in each, the adjacent pair of lowest rank is joined until none has a rank,
         the leftmost of equals first. All pieces take their next step at once."""
-        out: list[tuple[int, ...]] = [()] * len(pieces)
+        out = [b""] * len(pieces)
         sizes = np.array([len(p) for p in pieces], np.int64)
         symbol = self.single[np.frombuffer(b"".join(pieces), np.uint8)]
         piece = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
@@ -128,7 +128,7 @@ class Bpe:
             if done.any():
                 ends = np.append(starts[1:], len(symbol))
                 for i, a, b in zip(piece[starts[done]].tolist(), starts[done].tolist(), ends[done].tolist(), strict=True):
-                    out[i] = tuple(symbol[a:b].tolist())
+                    out[i] = symbol[a:b].tobytes()
                 keep = np.repeat(~done, ends - starts)
                 symbol, piece, rank = symbol[keep], piece[keep], rank[keep]
                 continue
@@ -157,7 +157,7 @@ class Bpe:
         out[inner] = np.where(self.pairs[place] == key, self.made[place], self.none)
         return out
 
-    def _merge_long(self, piece: bytes) -> tuple[int, ...]:
+    def _merge_long(self, piece: bytes) -> bytes:
         """The same order of merges with a heap over linked parts, for very long pre-tokens."""
         import heapq
 
@@ -187,9 +187,10 @@ class Bpe:
         while i < n:
             out.append(self.ranks[piece[i : end[i]]])
             i = end[i]
-        return tuple(out)
+        return np.array(out, "<i4").tobytes()
 
-    def encode(self, pieces: list[str]) -> list[tuple[int, ...]]:
+    def encode(self, pieces: list[str]) -> list[bytes]:
+        """Packed ids of each pre-token."""
         if len(self.cache) > CACHE:
             self.cache.clear()
         missing = [p for p in set(pieces).difference(self.cache) if len(p) <= LONG]
@@ -213,8 +214,8 @@ def bpe_of(path: str) -> Bpe:
     return _bpe[path]
 
 
-def encode_texts(bpe: Bpe, texts: list[str]) -> Iterator[list[int]]:
-    """Ids of every text, a block of texts at a time."""
+def encode_texts(bpe: Bpe, texts: list[str]) -> Iterator[bytes]:
+    """Ids of every text, little-endian 32-bit, a block of texts at a time."""
     lo = 0
     while lo < len(texts):
         hi, chars = lo, 0
@@ -229,7 +230,7 @@ def encode_texts(bpe: Bpe, texts: list[str]) -> Iterator[list[int]]:
         found = bpe.encode([whole[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
         bounds = np.searchsorted(starts, offsets).tolist()
         for a, b in zip(bounds, bounds[1:], strict=False):
-            yield list(chain.from_iterable(found[a:b]))
+            yield b"".join(found[a:b])
         lo = hi
 
 
@@ -243,7 +244,7 @@ def _sync(text: str, lo: int, hi: int) -> int:
 
 def chunk_ids(
     bpe: Bpe, text: str, at: int, chunk: int, overlap: int, last: bool
-) -> tuple[list[int] | None, str | None, bool]:
+) -> tuple[bytes | None, str | None, bool]:
     """Ids of chunk number ``at`` between the places where it meets its neighbours.
 
     ``text`` starts one character before the chunk (none for the first) and reaches ``overlap``
@@ -258,10 +259,6 @@ def chunk_ids(
     return None, text[lo if lo >= 0 else lead : hi if hi >= 0 else lead + chunk], hi >= 0
 
 
-def _packed(ids: list[int]) -> bytes:
-    return np.asarray(ids, "<u4").tobytes()
-
-
 def encode(
     docs: DataFrame,
     ranks_path: str,
@@ -285,7 +282,7 @@ def encode(
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                ids = [_packed(x) for x in encode_texts(bpe, part.column(1).to_pylist())]
+                ids = list(encode_texts(bpe, part.column(1).to_pylist()))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())],
                                                  names=["__id", "ids"])
 
@@ -314,7 +311,7 @@ def encode(
                                               row["__at"] == row["__n"] - 1)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("__id"), part.column("__doc"), part.column("__at"),
-                     pa.array([None if ids is None else _packed(ids)], pa.binary()),
+                     pa.array([ids], pa.binary()),
                      pa.array([left], pa.string()), pa.array([closed], pa.bool_())],
                     names=["__id", "__doc", "__at", "ids", "left", "closed"])
 
@@ -329,7 +326,7 @@ def encode(
                 continue
             pending.append(row["left"])
             if row["closed"]:
-                out.append(_packed(next(encode_texts(bpe, ["".join(pending)]))))
+                out.append(next(encode_texts(bpe, ["".join(pending)])))
                 pending = []
         return pa.table({"__id": table.column("__id").slice(0, 1), "ids": pa.array([b"".join(out)], pa.binary())})
 
