@@ -88,6 +88,8 @@ ITEMS = "item_id bigint, text string, id string, words string, item string, seed
 def best_by_hand(doc, item):
     words = lambda t: [w for w in re.split(r"[^\w]|_", (t or "").lower()) if w]
     d, b = words(doc), words(item)
+    if not b:
+        return 0.0
     window, best = min(25, len(b)), 0.0
     for shift in range(-len(b) + 1, len(d)):
         agree = [0 <= shift + i < len(d) and d[shift + i] == b[i] for i in range(len(b))]
