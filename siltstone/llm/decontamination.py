@@ -61,14 +61,15 @@ def matches(
     """``id``, ``text_hash``, ``item``, ``similarity`` and ``shift`` of verified alignments."""
     items = materialize(
         benchmark.select(F.col(item_id_column).alias("item"), words_of(F.col(item_text_column)).alias("item_words"))
-        .filter(F.size("item_words") > 0), "items")
+        .filter(F.size("item_words") > 0)
+        .withColumn("item_row", F.monotonically_increasing_id()), "items")
     size, at = F.col("n"), F.col("at")
     reach = F.element_at(F.array(*[F.lit(m[-1]) for m in MASKS]), F.col("mask") + 1)
     item_seeds = (
-        seeds_of(items.select("item", F.size("item_words").alias("n"), F.col("item_words").alias("words")), "item", "n")
+        seeds_of(items.select("item_row", F.size("item_words").alias("n"), F.col("item_words").alias("words")), "item_row", "n")
         # Whole masks only, but for items that are shorter than the first one.
         .filter((at + reach < size) | ((size < len(MASKS[0])) & (at == 0) & (F.col("mask") == 0)))
-        .select("item", "seed", at.alias("item_at"))
+        .select("item_row", "seed", at.alias("item_at"))
         .distinct()
     )
     if item_seeds.count() <= BROADCAST_SEEDS:
@@ -78,10 +79,10 @@ def matches(
     hits = (
         seeds_of(rows.select("id", "text_hash", words_of(F.col("text")).alias("words")), "id", "text_hash")
         .join(item_seeds, "seed")
-        .select("id", "text_hash", "item", (F.col("at") - F.col("item_at")).alias("shift"))
+        .select("id", "text_hash", "item_row", (F.col("at") - F.col("item_at")).alias("shift"))
         .distinct()
     )
-    found = hits.groupBy("id", "text_hash").agg(F.collect_list(F.struct("item", "shift")).alias("hits"))
+    found = hits.groupBy("id", "text_hash").agg(F.collect_list(F.struct("item_row", "shift")).alias("hits"))
     found = materialize(found, "hits").withColumnsRenamed({"id": "hit_id", "text_hash": "hit_hash"})
     # Documents without a hit end here; of the others each alignment is looked at once.
     on = rows["id"].eqNullSafe(found["hit_id"]) & (rows["text_hash"] == found["hit_hash"])
@@ -89,7 +90,7 @@ def matches(
         rows.join(found, on)
         .select("id", "text_hash", words_of(F.col("text")).alias("words"), "hits")
         .select("id", "text_hash", "words", F.inline("hits"))
-        .join(items, "item")
+        .join(items, "item_row")
         .filter((F.size("item_words") >= len(MASKS[0])) | (F.size("item_words") == F.size("words")))
         .withColumn("similarity", _best_share(F.col("item_words"), F.col("words"), F.col("shift")))
         .filter(F.col("similarity") >= SIMILARITY)

@@ -111,6 +111,7 @@ def test_contaminated(spark):
         for i, b in items:
             if (share := best_by_hand(t, b)) >= 0.8:
                 want[d, i] = max(share, want.get((d, i), 0))
+    assert set(got) == set(want)
     assert got == pytest.approx(want)
     kept = decontamination.drop_contaminated(docs_frame(spark, rows), bench)
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter(
