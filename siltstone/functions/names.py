@@ -23,16 +23,16 @@ def page_label(first: Column | str, last: Column | str, stamp: Column) -> Column
 
 
 def folder_first_page(folder: Column | str) -> Column:
-    return F.split_part(_col(folder), F.lit("_"), F.lit(2)).try_cast("int")
+    return F.split_part(_col(folder), F.lit("_"), F.lit(2)).try_cast("bigint")
 
 
 def folder_last_page(folder: Column | str) -> Column:
     """Field 3, counted from 0, of the folder name; null when it is not a number."""
-    return F.split_part(_col(folder), F.lit("_"), F.lit(4)).try_cast("int")
+    return F.split_part(_col(folder), F.lit("_"), F.lit(4)).try_cast("bigint")
 
 
 def label_last_page(label: Column | str) -> Column:
-    return F.split_part(_col(label), F.lit(" - "), F.lit(3)).try_cast("int")
+    return F.split_part(_col(label), F.lit(" - "), F.lit(3)).try_cast("bigint")
 
 
 def label_stamp(label: Column | str) -> Column:

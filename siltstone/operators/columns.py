@@ -18,6 +18,18 @@ def named(name: str) -> Column:
     return F.col(quoted(name))
 
 
+def folded(df: DataFrame, name: str) -> str:
+    """The name as the session compares it: lower-cased unless names are case-sensitive."""
+    sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
+    return name if sensitive else name.lower()
+
+
+def spelled_as(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """``df`` with those columns that the session finds among ``names`` spelled as there."""
+    spelling = {folded(df, n): n for n in names}
+    return df.select(*[named(c).alias(spelling.get(folded(df, c), c)) for c in df.columns])
+
+
 def rename_cast(df: DataFrame, mapping: Mapping[str, str], kind: str = "string") -> list[Column]:
     """Target columns of a source→target map. Nested values become JSON text, not display text."""
     out = []
@@ -36,11 +48,13 @@ def map_columns(df: DataFrame) -> list[str]:
 
 def present(df: DataFrame, wanted: Iterable[str]) -> list[str]:
     """The wanted names that the frame has."""
-    return [c for c in wanted if c in df.columns]
+    have = {folded(df, c) for c in df.columns}
+    return [c for c in wanted if folded(df, c) in have]
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` first, in order and type (null where absent), others behind."""
+    df = spelled_as(df, schema.names)
     fixed = [
         (named(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in schema

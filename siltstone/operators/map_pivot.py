@@ -26,10 +26,10 @@ def _key_pairs(column: str) -> Column:
     return F.transform(keys, pair)
 
 
-def all_keys(df: DataFrame, columns: Sequence[str], max_keys: int = 1000) -> dict[str, list[str]]:
+def all_keys(df: DataFrame, columns: Sequence[str], max_keys: int | None = None) -> dict[str, list[str]]:
     """Every key of each map column. One scan of those columns; keys are merged per task.
 
-    The keys become columns, so their number must be small: more than ``max_keys`` is an
+    The keys become columns, so their number must be small: with ``max_keys`` more of them are an
     error rather than a cut.
     """
     if not columns:
@@ -37,8 +37,8 @@ def all_keys(df: DataFrame, columns: Sequence[str], max_keys: int = 1000) -> dic
     pairs = [_key_pairs(c) for c in columns]
     tagged = F.concat(*pairs) if len(pairs) > 1 else pairs[0]
     found = df.select(F.explode(tagged).alias("e")).select("e.m", "e.k").distinct()
-    rows = found.limit(max_keys + 1).collect()
-    if len(rows) > max_keys:
+    rows = (found if max_keys is None else found.limit(max_keys + 1)).collect()
+    if max_keys is not None and len(rows) > max_keys:
         raise ValueError(f"more than {max_keys} distinct keys in {list(columns)}")
     return {c: sorted(r.k for r in rows if r.m == c) for c in columns}
 
@@ -71,7 +71,7 @@ def map_pivot(
     fixed: Sequence[str],
     mode: str = "all_keys",
     columns: Sequence[str] | None = None,
-    max_keys: int = 1000,
+    max_keys: int | None = None,
 ) -> DataFrame:
     """``fixed`` columns plus one string column per key of every map column."""
     columns = map_columns(df) if columns is None else list(columns)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.operators.columns import named
+from siltstone.operators.columns import named, spelled_as
 
 
 def merge_upsert(
@@ -15,20 +15,23 @@ def merge_upsert(
     source: DataFrame,
     keys: Sequence[str],
     evolve: bool = True,
-    unique_target: bool = True,
+    unique_target: bool = False,
 ) -> DataFrame:
     """Rows of ``target`` after merging ``source`` on ``keys``.
 
-    Null keys never match, so such source rows are added and such target rows kept.
+    Null keys never match, so such source rows are added and such target rows kept. Column names
+    are compared as the session does, and the target's spelling stays.
     With ``evolve``, source-only columns are added; target-only columns keep their value on
     update and are null on insert. ``source`` must be unique on non-null keys.
 
-    Only key columns of the source meet the full target, in an anti join. For a small batch
-    Catalyst broadcasts those keys and the target is not shuffled; for a large one AQE can
-    split a skewed target partition, which a full outer join would not allow.
-    ``unique_target=False`` also updates each of several target rows with one key.
+    Each of several target rows with one key is updated. Where the caller knows that the target's
+    keys are unique, ``unique_target`` allows a plan that reads the target once: only key columns of
+    the source meet it, in an anti join. For a small batch Catalyst broadcasts those keys and the
+    target is not shuffled; for a large one AQE can split a skewed target partition, which a
+    full outer join would not allow.
     """
     keys = list(keys)
+    source = spelled_as(source, target.columns)
     kept = [c for c in target.columns if c not in source.columns]
     added = [c for c in source.columns if c not in target.columns]
     if not evolve:
@@ -36,24 +39,20 @@ def merge_upsert(
             raise ValueError(f"source lacks the target columns {kept}")
         source, added = source.drop(*added), []
 
-    # Rows without a key match nothing, so they skip the joins (and their one hash value).
-    target_keyed, target_keyless = split_null_keys(target, keys)
-    source_keyed, source_keyless = split_null_keys(source, keys)
-    source_keys = source_keyed.select(*map(named, keys))
+    # An anti join keeps rows whose key is null, and an outer join from the source keeps its own.
+    source_keys = source.select(*map(named, keys))
     if unique_target:
-        untouched = target_keyed.join(source_keys, keys, "left_anti")
-        fresh = source_keyed
+        untouched = target.join(source_keys, keys, "left_anti")
+        fresh = source
         if kept:
-            columns = map(named, keys + kept)
-            old = target_keyed.select(*columns).join(source_keys, keys, "left_semi")
-            fresh = fresh.join(old, keys, "left_outer")
+            fresh = fresh.join(target.select(*map(named, keys + kept)), keys, "left_outer")
     else:
-        renamed = source_keyed.select(
+        renamed = source.select(
             *map(named, keys),
             *[named(c).alias(f"__new_{c}") for c in source.columns if c not in keys],
             F.lit(True).alias("__hit"),
         )
-        joined = target_keyed.join(renamed, keys, "left_outer")
+        joined = target.join(renamed, keys, "left_outer")
         values = [
             (
                 F.when(F.col("__hit"), named(f"__new_{c}")).otherwise(named(c)).alias(c)
@@ -63,13 +62,9 @@ def merge_upsert(
             for c in target.columns
         ]
         untouched = joined.select(*values, *[named(f"__new_{c}").alias(c) for c in added])
-        old_keys = target_keyed.select(*map(named, keys)).distinct()
-        hit = old_keys.join(source_keys, keys, "left_semi")
-        fresh = source_keyed.join(hit, keys, "left_anti")
+        fresh = source.join(target.select(*map(named, keys)), keys, "left_anti")
 
-    merged = untouched
-    for part in (target_keyless, fresh, source_keyless):
-        merged = merged.unionByName(part, allowMissingColumns=True)
+    merged = untouched.unionByName(fresh, allowMissingColumns=True)
     return merged.select(*map(named, target.columns + added))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions.names import folder_last_page
-from siltstone.operators.segments import WIDTH, next_flagged
+from siltstone.operators.segments import WIDTH, floor_div, next_flagged
 
 
 def resume_page(folders: DataFrame, first_page: int = 1) -> DataFrame:
@@ -34,7 +34,7 @@ def page_stats(envelopes: DataFrame) -> DataFrame:
 def page_slot(page: Column | str, per_folder: int) -> Column:
     """Slot 0 holds pages 1..n, slot 1 pages n+1..2n, and so on."""
     page = F.col(page) if isinstance(page, str) else page
-    return F.floor((page - 1) / F.lit(per_folder)).cast("long")
+    return floor_div(page - 1, per_folder)
 
 
 def slot_ranges(

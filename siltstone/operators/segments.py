@@ -18,7 +18,13 @@ WIDTH = 1_000_000
 
 def segment_of(key: Column | str, width: int = WIDTH) -> Column:
     key = F.col(key) if isinstance(key, str) else key
-    return F.floor(key / F.lit(width)).cast("long")
+    return floor_div(key, width)
+
+
+def floor_div(key: Column, by: int) -> Column:
+    """Whole quotient rounded down, exact for every long; ``/`` would go through double."""
+    key = key.cast("long")
+    return F.call_function("div", key - F.pmod(key, F.lit(by).cast("long")), F.lit(by).cast("long"))
 
 
 def global_row_number(

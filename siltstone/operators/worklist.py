@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.names import folder_first_page
-from siltstone.operators.segments import WIDTH, global_row_number, segment_of
+from siltstone.operators.segments import WIDTH, floor_div, global_row_number, segment_of
 
 
 def _presence(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
@@ -45,4 +45,4 @@ def chunk_folders(folders: DataFrame, size: int = 10, width: int = WIDTH) -> Dat
     # The last term never applies; it lets Spark see that the segment is never null.
     segment = F.coalesce(segment_of(page, width), unnumbered, F.lit(-1))
     numbered = global_row_number(folders, segment, [page, "folder"], "__n")
-    return numbered.withColumn("chunk", F.floor((F.col("__n") - 1) / size).cast("long")).drop("__n")
+    return numbered.withColumn("chunk", floor_div(F.col("__n") - 1, size)).drop("__n")

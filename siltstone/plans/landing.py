@@ -44,12 +44,13 @@ def raw_ingestion(
     raw_root: str,
     record: T.StructType = RECORD_SCHEMA,
     multi_line: bool = False,
+    first_page: int = 1,
 ) -> int:
     """Land the pages from the resume page on; returns that page.
 
     The last landed page is taken again, as it may have grown since.
     """
-    resume = resume_page(newest_folders(spark, raw_root)).first()["resume_page"]
+    resume = resume_page(newest_folders(spark, raw_root), first_page).first()["resume_page"]
     counted = page_stats(read_envelopes(spark, landing_path, COUNT_SCHEMA, multi_line))
     pages = materialize(counted, "pages")
     total = pages.agg(F.max("total_pages")).first()[0]

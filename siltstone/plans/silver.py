@@ -22,8 +22,8 @@ from siltstone.operators.columns import rename_cast
 from siltstone.operators.latest import latest_per_key, total_order
 from siltstone.operators.merge import split_null_keys
 from siltstone.schemas import PUBLICATION_FORMAT, RENAMES, SILVER_SCHEMA
-from siltstone.scratch import materialize
-from siltstone.sources.tables import ensure_table, read_table, save_merged
+from siltstone.sources.listing import partition_values
+from siltstone.sources.tables import append_batch, ensure_table, read_table, save_merged
 
 
 def silver_start(
@@ -54,7 +54,11 @@ def newest_first(df: DataFrame) -> list[Column]:
 def silver_rows(bronze: DataFrame, cfg: RunConfig, start: date) -> DataFrame:
     """The run's silver rows: batches from ``start`` to the run date, newest per id, typed."""
     df = bronze.filter(stamp_text_between("DTPROC", start, cfg.run_date))
-    df = latest_per_key(df, ["id"], newest_first(df))
+    return typed_rows(latest_per_key(df, ["id"], newest_first(df)), cfg)
+
+
+def typed_rows(df: DataFrame, cfg: RunConfig, *carry: str) -> DataFrame:
+    """Bronze rows with the names and types of silver, and ``carry`` columns."""
     return df.select(
         month_start(parse_date("data_publicacao", PUBLICATION_FORMAT)).alias("referenceMonthDate"),
         "id",
@@ -62,7 +66,14 @@ def silver_rows(bronze: DataFrame, cfg: RunConfig, start: date) -> DataFrame:
         parse_instant("data_publicacao", PUBLICATION_FORMAT, cfg.zone).alias("publicationDate"),
         F.lit(cfg.run_ts).alias("dateIngestion"),
         F.lit(cfg.period).alias("dt"),
-    ).select(*SILVER_SCHEMA.names)
+        *carry,
+    ).select(*SILVER_SCHEMA.names, *carry)
+
+
+def batches_of(spark: SparkSession, bronze_name: str) -> list[str]:
+    """Batch stamps of bronze, one per run, from the catalog's partitions."""
+    rows = spark.sql(f"SHOW PARTITIONS {bronze_name}").collect()
+    return sorted(r[0].partition("=")[2] for r in rows)
 
 
 def save_silver(
@@ -72,16 +83,36 @@ def save_silver(
     name: str,
     path: str,
     reject_path: str | None = None,
+    ledger_path: str | None = None,
 ) -> list[str]:
     """Upsert the run's rows on id; returns the partitions rewritten.
 
+    The range starts at the month of silver's newest ingestion, or earlier at the day of the oldest
+    batch that silver has not taken yet: a batch made up later under an old stamp is read, and
+    with it all later ones, so that the newest row per id still wins. The batches taken are
+    remembered beside the table (``ledger_path``), after the merge.
+
     Rows without an id never match and are added by each run, as in SQL MERGE. With
-    ``reject_path`` they are appended there instead.
+    ``reject_path`` every one of them goes there instead, under its batch stamp, once.
     """
     bronze = read_table(spark, bronze_name)
     silver = ensure_table(spark, name, path, SILVER_SCHEMA, "dt")
-    rows = silver_rows(bronze, cfg, silver_start(spark, cfg, silver, bronze))
+    start = silver_start(spark, cfg, silver, bronze)
+    ledger_path = ledger_path or f"{path.rstrip('/')}_batches"
+    taken = set(partition_values(spark, ledger_path, "DTPROC"))
+    upto = f"{cfg.run_date:%Y%m%d}_999999"
+    missing = [b for b in batches_of(spark, bronze_name) if b not in taken and b <= upto]
+    if taken and missing:
+        day = missing[0][:8]
+        start = min(start, date(int(day[:4]), int(day[4:6]), int(day[6:])))
     if reject_path is not None:
-        rows, rejects = split_null_keys(materialize(rows, "silver"), ["id"])
-        rejects.write.mode("append").parquet(reject_path)
-    return save_merged(rows, name, path, SILVER_SCHEMA, ["id"], own=[cfg.period])
+        bronze, rejects = split_null_keys(bronze, ["id"])
+        rejects = rejects.filter(stamp_text_between("DTPROC", start, cfg.run_date))
+        append_batch(typed_rows(rejects, cfg, "DTPROC"), reject_path, "DTPROC")
+    rows = silver_rows(bronze, cfg, start)
+    # Newest per id: unique by construction.
+    written = save_merged(rows, name, path, SILVER_SCHEMA, ["id"], own=[cfg.period], unique_source=True)
+    if missing:
+        entries = spark.createDataFrame([(b, cfg.stamp) for b in missing], "DTPROC string, run string")
+        append_batch(entries, ledger_path, "DTPROC")
+    return written

@@ -42,7 +42,7 @@ def upsert_on_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matched rows are updated, others inserted or kept."""
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "props", "ts")
     target, source = _sides(events, ["user_id"])
-    return merge_upsert(target, source, ["user_id"]).drop("ts")
+    return merge_upsert(target, source, ["user_id"], unique_target=True).drop("ts")
 
 
 @query(_cte("user_id, event_id, event_type, strftime(ts, '%Y%m%d') AS dt", "user_id, dt") + """
@@ -56,7 +56,7 @@ def upsert_on_key_dt(spark: SparkSession, sf_dir: str) -> DataFrame:
     dt = F.date_format("ts", "yyyyMMdd").alias("dt")
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", dt, "ts")
     target, source = _sides(events, ["user_id", "dt"])
-    return merge_upsert(target, source, ["user_id", "dt"]).drop("ts")
+    return merge_upsert(target, source, ["user_id", "dt"], unique_target=True).drop("ts")
 
 
 @query(_cte("user_id, event_id, event_type, props", "user_id") + """
@@ -73,6 +73,7 @@ def upsert_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
         target.select("user_id", "event_id", "event_type"),
         source.select("user_id", "event_id", "props"),
         ["user_id"],
+        unique_target=True,
     )
 
 
@@ -98,7 +99,7 @@ def upsert_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, source = _sides(complete, ["user_id"])
     target = target.union(keyless.filter(_IN_TARGET))
     source = source.union(keyless.filter(_IN_SOURCE))
-    return merge_upsert(target, source, ["user_id"]).drop("ts")
+    return merge_upsert(target, source, ["user_id"], unique_target=True).drop("ts")
 
 
 @query(_cte("user_id, event_id, event_type, props", "user_id") + """

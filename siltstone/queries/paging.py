@@ -83,8 +83,8 @@ _FOLDER_NAMES = """
 
 
 @query(f"""
-  SELECT period, folder, CAST(split_part(folder, '_', 2) AS INTEGER) AS first_page,
-         CAST(split_part(folder, '_', 4) AS INTEGER) AS last_page
+  SELECT period, folder, CAST(split_part(folder, '_', 2) AS BIGINT) AS first_page,
+         CAST(split_part(folder, '_', 4) AS BIGINT) AS last_page
   FROM ({_FOLDER_NAMES})
 """)
 def folder_name_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +98,7 @@ def folder_name_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-  SELECT max(CAST(split_part(folder, '_', 4) AS INTEGER)) AS resume_page
+  SELECT max(CAST(split_part(folder, '_', 4) AS BIGINT)) AS resume_page
   FROM ({_FOLDER_NAMES}) WHERE period = (SELECT strftime(max(o_orderdate), '%Y%m') FROM orders)
 """)
 def resume_page_newest_period(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,8 +178,8 @@ def page_buckets_empty_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-  SELECT CAST(split_part(folder, '_', 2) AS INTEGER) AS first_page, folder,
-         (row_number() OVER (ORDER BY CAST(split_part(folder, '_', 2) AS INTEGER), folder) - 1) // 10 AS chunk
+  SELECT CAST(split_part(folder, '_', 2) AS BIGINT) AS first_page, folder,
+         (row_number() OVER (ORDER BY CAST(split_part(folder, '_', 2) AS BIGINT), folder) - 1) // 10 AS chunk
   FROM (SELECT DISTINCT 'feedpage_' || l_orderkey || '_to_' || l_linenumber || '_' ||
                strftime(l_shipdate, '%Y%m%d_%H%M%S') AS folder FROM lineitem)
 """)

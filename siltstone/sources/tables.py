@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.operators.columns import conform, named, quoted
-from siltstone.operators.merge import merge_upsert
+from siltstone.operators.columns import conform, named, quoted, spelled_as
+from siltstone.operators.merge import merge_upsert, require_unique
 from siltstone.scratch import materialize
 from siltstone.sources.listing import partition_values
 
@@ -82,7 +82,10 @@ def ensure_table(
         if db:
             create_database(spark, db)
         found = path_schema(spark, path)
-        extra = [f for f in found or [] if f.name not in schema.names]
+        sensitive = spark.conf.get("spark.sql.caseSensitive", "false") == "true"
+        fold = str if sensitive else str.lower
+        names = {fold(n) for n in schema.names}
+        extra = [f for f in found or [] if fold(f.name) not in names]
         create_external(spark, name, path, T.StructType([*schema.fields, *extra]), partition)
         if found is not None:
             refresh_partitions(spark, name)
@@ -188,9 +191,13 @@ def save_merged(
     keys: Sequence[str],
     partition: str = "dt",
     own: Sequence[str] | None = None,
+    unique_source: bool = False,
 ) -> list[str]:
     """Upsert ``source`` into the table and return the partitions rewritten.
 
+    Two source rows with one key would make the merge ambiguous and are an error; a caller whose
+    rows are unique by construction says so with ``unique_source`` and saves the check.
+
     ``own`` names the partitions the source rows go to, if the caller knows them. When no
     target row can match, because the table or (with the partition in the key) these
     partitions are new, the rows are written in one pass.
@@ -201,6 +208,10 @@ def save_merged(
     """
     spark = source.sparkSession
     target = ensure_table(spark, name, path, schema, partition)
+    source = spelled_as(source, target.columns)
+    if not unique_source:
+        source = materialize(source, "source")
+        require_unique(source, keys)
     add_columns(spark, name, [f for f in source.schema if f.name not in target.columns])
     target = spark.table(name)
     existing = set(partition_values(spark, path, partition))
@@ -208,9 +219,11 @@ def save_merged(
         apply_partitions(conform(source, target.schema), name, path, partition, own)
         return sorted(own)
 
-    source = materialize(source, "source")
+    if unique_source:
+        source = materialize(source, "source")
     own, others = _touched(source, target, keys, partition)
-    rows = merge_upsert(target.filter(named(partition).isin(own + others)), source, keys)
+    # Tables made by this function hold a key once.
+    rows = merge_upsert(target.filter(named(partition).isin(own + others)), source, keys, unique_target=True)
     values = sorted(own + others)
     split_by = partition if len(values) > 1 else None
     staged = materialize(conform(rows, target.schema), "merged", split_by)
