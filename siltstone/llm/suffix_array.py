@@ -447,7 +447,8 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """
     texts = _texts(docs, id_column, text_column)
     found = materialize(anchor_rows(texts), "anchors")
-    twice = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    # Written, so that the join has two exchanges and Spark may split an anchor with very many places.
+    twice = materialize(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "twice")
     wanted = found.join(twice, "anchor").groupBy("id", "text_hash").agg(F.collect_set("at").alias("anchors_at"))
     wanted = wanted.withColumnsRenamed({"id": "wid", "text_hash": "whash"})
     same = texts["id"].eqNullSafe(wanted["wid"]) & (texts["text_hash"] == wanted["whash"])
