@@ -7,16 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.config import RunConfig
-from siltstone.functions.names import folder_name, page_label
-from siltstone.operators.paging import page_slot, page_stats, resume_page, slot_ranges
-from siltstone.schemas import RECORD_SCHEMA
+from siltstone.functions.names import folder_first_page, folder_last_page, folder_name, page_label
+from siltstone.operators.paging import page_slot, resume_page, slot_ranges
+from siltstone.schemas import CORRUPT
 from siltstone.scratch import materialize
-from siltstone.sources.envelopes import read_envelopes
-from siltstone.sources.json_folders import newest_folders, write_folders
-
-# Enough of an envelope to count its items; the parser skips the other fields.
-COUNT_SCHEMA = T.StructType([T.StructField("id", T.LongType())])
-
+from siltstone.sources.envelopes import bad_page, landed_record, read_envelopes
+from siltstone.sources.json_folders import list_folders, newest_folders, write_folders
+from siltstone.sources.listing import partition_values
+from siltstone.sources.tables import append_batch
 
 def label_pages(envelopes: DataFrame, slots: DataFrame, cfg: RunConfig) -> DataFrame:
     """Records of closed page groups with PAGE, period and folder.
@@ -42,24 +40,76 @@ def raw_ingestion(
     cfg: RunConfig,
     landing_path: str,
     raw_root: str,
-    record: T.StructType = RECORD_SCHEMA,
+    record: T.StructType | None = None,
     multi_line: bool = False,
     first_page: int = 1,
+    reject_path: str | None = None,
 ) -> int:
     """Land the pages from the resume page on; returns that page.
 
-    The last landed page is taken again, as it may have grown since.
+    The last landed page is taken again, as it may have grown since. Without ``record`` every field of the
+    items is landed, those beyond the declared ones as text.
+
+    A page that does not parse as declared, or says no number, is an error before anything is
+    written; with ``reject_path`` its text goes there under the run's stamp instead.
+
+    Folders are renamed one by one when a run commits, so a run lost in between may leave a gap. Each run
+    therefore notes its page ranges before it writes, and a run that finds noted folders missing
+    starts at the first missing page.
     """
+    record = landed_record(spark, landing_path, multi_line=multi_line) if record is None else record
     resume = resume_page(newest_folders(spark, raw_root), first_page).first()["resume_page"]
-    counted = page_stats(read_envelopes(spark, landing_path, COUNT_SCHEMA, multi_line))
-    pages = materialize(counted, "pages")
+    gap = first_gap(spark, raw_root)
+    resume = resume if gap is None else min(resume, gap)
+    envelopes = read_envelopes(spark, landing_path, record, multi_line)
+    n_items = F.coalesce(F.array_size("items"), F.lit(0)).cast("long")
+    text = F.when(bad_page(), F.coalesce(F.col(CORRUPT), F.to_json(F.struct("totalPages", "items"))))
+    seen = envelopes.select("page", "totalPages", n_items.alias("n_items"), text.alias("bad"))
+    seen = materialize(seen, "pages")
+    bad = seen.filter("bad IS NOT NULL").select("page", F.col("bad").alias("text"), F.lit(cfg.stamp).alias("stamp"))
+    if reject_path is not None:
+        append_batch(bad, reject_path, "stamp")
+    elif (n := bad.count()) > 0:
+        raise ValueError(f"{n} malformed pages in {landing_path}; name a reject path to go on without them")
+    pages = seen.filter("bad IS NULL").groupBy("page").agg(
+        F.sum("n_items").alias("n_items"), F.max("totalPages").alias("total_pages"))
     total = pages.agg(F.max("total_pages")).first()[0]
     if total is None or resume > total:
         return resume
     slots = slot_ranges(pages.filter(F.col("page") >= resume), total, cfg.pages_per_folder)
-    envelopes = read_envelopes(spark, landing_path, record, multi_line)
-    labelled = label_pages(
-        envelopes.filter(F.col("page") >= resume), materialize(slots, "slots"), cfg
-    )
-    write_folders(labelled, raw_root)
+    slots = materialize(slots, "slots")
+    note_ranges(ranges_with_items(pages, slots, cfg), cfg, raw_root)
+    good = envelopes.filter(~bad_page() & (F.col("page") >= resume))
+    write_folders(label_pages(good, slots, cfg), raw_root)
     return resume
+
+
+_NOTES = "first_page bigint, last_page bigint, period string, stamp string"
+
+
+def ranges_with_items(pages: DataFrame, slots: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Page ranges of the groups that get a folder; one whose pages are all empty gets none."""
+    slotted = pages.withColumn("slot", page_slot("page", cfg.pages_per_folder))
+    grouped = slotted.join(slots, "slot").groupBy("first_page", "last_page").agg(F.sum("n_items").alias("n"))
+    return grouped.filter("n > 0")
+
+
+def note_ranges(slots: DataFrame, cfg: RunConfig, raw_root: str) -> None:
+    """Write the run's page ranges, one narrow row per folder, beside the folders."""
+    notes = slots.select("first_page", "last_page", F.lit(cfg.period).alias("period"), F.lit(cfg.stamp).alias("stamp"))
+    append_batch(notes.distinct(), f"{raw_root.rstrip('/')}_ranges", "stamp")
+
+
+def first_gap(spark: SparkSession, raw_root: str) -> int | None:
+    """First page of the newest run's noted ranges that no folder of its period holds."""
+    path = f"{raw_root.rstrip('/')}_ranges"
+    stamps = partition_values(spark, path, "stamp")
+    if not stamps:
+        return None
+    notes = spark.read.schema(_NOTES).parquet(path).filter(F.col("stamp") == max(stamps))
+    period = notes.agg(F.max("period")).first()[0]
+    if period is None:
+        return None
+    held = list_folders(spark, raw_root, period).select(
+        folder_first_page("folder").alias("first_page"), folder_last_page("folder").alias("last_page"))
+    return notes.join(held, ["first_page", "last_page"], "left_anti").agg(F.min("first_page")).first()[0]

@@ -186,14 +186,15 @@ def stream_ingest_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
 """)
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events arriving in three parts, upserted per micro-batch: the newest row per user stays."""
+    """Events arriving in three parts, the oldest last, upserted per micro-batch: the newest row per
+    user stays."""
     base = new_folder(spark, "stream")
     db = new_database(spark, base)
     events = table(spark, sf_dir, "events").select(
         "user_id", "event_id", "event_type", F.date_format("ts", "yyyyMMdd").alias("dt"), "ts"
     )
     day = F.col("ts").cast("date")
-    parts = (day < "2024-01-11", day.between("2024-01-11", "2024-01-20"), day > "2024-01-20")
+    parts = (day.between("2024-01-11", "2024-01-20"), day > "2024-01-20", day < "2024-01-11")
     for part in parts:
         events.filter(part).write.mode("append").parquet(f"{base}/in")
         upsert_stream(

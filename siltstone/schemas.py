@@ -83,12 +83,17 @@ LEDGER_SCHEMA = T.StructType(
 )
 
 
+# Holds the text of a JSON row that does not parse, or not with the declared types.
+CORRUPT = "__corrupt"
+
+
 def envelope_schema(record: T.StructType = RECORD_SCHEMA) -> T.StructType:
-    """Page envelope: page number, page count, and the records of the page."""
+    """Page envelope: page number, page count, the records of the page, the text if malformed."""
     return T.StructType(
         [
             T.StructField("page", T.LongType()),
             T.StructField("totalPages", T.LongType()),
             T.StructField("items", T.ArrayType(record)),
+            T.StructField(CORRUPT, T.StringType()),
         ]
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.schemas import RECORD_SCHEMA, envelope_schema
+from siltstone.schemas import CORRUPT, RECORD_SCHEMA, envelope_schema
 
 
 def read_envelopes(
@@ -17,8 +17,33 @@ def read_envelopes(
     record: T.StructType = RECORD_SCHEMA,
     multi_line: bool = False,
 ) -> DataFrame:
-    """One row per page. Without ``multi_line`` a file holds one page per line and splits."""
-    return spark.read.schema(envelope_schema(record)).json(path, multiLine=multi_line)
+    """One row per page. Without ``multi_line`` a file holds one page per line and splits.
+
+    A page that is not JSON, or has a field of another type than declared, has its text in
+    ``CORRUPT``.
+    """
+    reader = spark.read.schema(envelope_schema(record)).option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.json(path, multiLine=multi_line)
+
+
+def landed_record(
+    spark: SparkSession, path: str | Sequence[str], record: T.StructType = RECORD_SCHEMA, multi_line: bool = False
+) -> T.StructType:
+    """``record`` and, as text, every other field that the landed items have.
+
+    One pass over the landing, in which Spark merges the fields of all pages.
+    """
+    found = spark.read.option("columnNameOfCorruptRecord", CORRUPT).json(path, multiLine=multi_line).schema
+    items = found["items"].dataType if "items" in found.names else None
+    element = items.elementType if isinstance(items, T.ArrayType) else None
+    names = element.names if isinstance(element, T.StructType) else []
+    known = {n.lower() for n in record.names}
+    return T.StructType([*record.fields, *(T.StructField(n, T.StringType()) for n in names if n.lower() not in known)])
+
+
+def bad_page() -> F.Column:
+    """True for a page that did not parse as declared or does not say its number."""
+    return F.col(CORRUPT).isNotNull() | F.col("page").isNull()
 
 
 def flatten_items(envelopes: DataFrame, *carry: str) -> DataFrame:
@@ -27,7 +52,16 @@ def flatten_items(envelopes: DataFrame, *carry: str) -> DataFrame:
     return exploded.select("page", "pos", *carry, "item.*")
 
 
-def parse_records(df: DataFrame, text: str, schema: T.StructType = RECORD_SCHEMA) -> DataFrame:
-    """Records from JSON text under a declared schema, next to the frame's other columns."""
-    parsed = df.withColumn("__record", F.from_json(text, schema))
+def parse_records(
+    df: DataFrame, text: str, schema: T.StructType = RECORD_SCHEMA, corrupt: str | None = None
+) -> DataFrame:
+    """Records from JSON text under a declared schema, next to the frame's other columns.
+
+    With ``corrupt`` a text that does not parse as declared is kept in a column of that name.
+    """
+    options = {}
+    if corrupt is not None:
+        schema = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+        options["columnNameOfCorruptRecord"] = corrupt
+    parsed = df.withColumn("__record", F.from_json(text, schema, options))
     return parsed.select(*[c for c in df.columns if c != text], "__record.*")

@@ -1,4 +1,4 @@
-"""Stream to table: newest row per key of each micro-batch, upserted."""
+"""Stream to table: the newest row per key of batch and table, upserted."""
 
 from __future__ import annotations
 
@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from siltstone.operators.columns import conform
 from siltstone.operators.latest import latest_per_key
-from siltstone.sources.tables import save_merged
+from siltstone.operators.merge import split_null_keys
+from siltstone.scratch import materialize
+from siltstone.sources.tables import ensure_table, save_merged
 
 
 def upsert_stream(
@@ -24,12 +27,19 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Upsert all available rows of ``stream``, then stop.
 
-    A replayed micro-batch upserts the same rows on the same keys again.
+    Rows compete under ``order`` with the table's row of the same key, so a late row does not replace a newer
+    one. A replayed micro-batch upserts the same rows on the same keys again; rows without a key
+    match nothing and are added again.
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        newest = latest_per_key(batch, keys, order(batch))
-        save_merged(newest, name, path, schema, keys, partition)
+        table = ensure_table(batch.sparkSession, name, path, schema, partition)
+        batch = materialize(conform(batch, table.schema), "batch")
+        keyed, keyless = split_null_keys(batch, keys)
+        held = table.join(keyed.select(*keys).distinct(), list(keys), "left_semi")
+        rivals = keyed.unionByName(conform(held, batch.schema))
+        newest = latest_per_key(rivals, keys, order(rivals)).unionByName(keyless)
+        save_merged(newest, name, path, schema, keys, partition, unique_source=True)
 
     return (
         stream.writeStream.foreachBatch(upsert)
