@@ -48,6 +48,22 @@ def _char_classes() -> np.ndarray:
     return _classes[0]
 
 
+def code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of UTF-8 bytes and where each starts."""
+    if data.max(initial=0) < 0x80:
+        return data.astype(np.uint32), np.arange(len(data))
+    at = np.flatnonzero((data & 0xC0) != 0x80)
+    codes = data[at].astype(np.uint32)
+    padded = np.append(data, np.zeros(3, np.uint8)).astype(np.uint32) & 0x3F
+    for lead, bits, extra in ((0xC0, 0x1F, 1), (0xE0, 0x0F, 2), (0xF0, 0x07, 3)):
+        here = np.flatnonzero((codes >= lead) & (codes < (lead | bits) + 1) & (codes < 0x100))
+        value = codes[here] & bits
+        for i in range(1, extra + 1):
+            value = value << 6 | padded[at[here] + i]
+        codes[here] = value | 0x80000000  # marked, as a small code point looks like a lead byte
+    return codes & 0x7FFFFFFF, at
+
+
 def pretoken_starts(codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where pre-tokens start in texts laid end to end; ``offsets`` are the texts' bounds.
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import binascii
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,15 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.bpe import pretoken_starts
+from siltstone.llm.bpe import code_points, pretoken_starts
 from siltstone.llm.shards import FileSet, in_shards, one_each, shard_bounds
+from siltstone.llm.textbytes import blocks
 from siltstone.scratch import materialize, new_folder
 
 END_ID = 0
 FILE_IDS = 4 << 20
 #: Distinct pre-tokens a worker remembers, some 160 bytes each.
 CACHE = 1 << 20
-BLOCK_CHARS = 1 << 20
 SAMPLE = 256
 _MAGIC = b"EFTOK001"
 _HEAD = struct.Struct("<8s6Q")
@@ -123,31 +124,30 @@ def _encoder(path: str) -> tuple:
     return _encoders[path]
 
 
-def token_ids(path: str, texts: list[str]) -> Iterator[np.ndarray]:
-    """Ids of every text. A byte-level tokenizer encodes each pre-token by itself, so each distinct
-    pre-token is given to it once."""
+def token_ids(path: str, data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
+    """Ids of every text of a block. A byte-level tokenizer encodes each pre-token by itself, so each
+    distinct pre-token is given to it once."""
     tokenizer, cache = _encoder(path)
-    lo = 0
-    while lo < len(texts):
-        hi, chars = lo, 0
-        while hi < len(texts) and (hi == lo or chars + len(texts[hi]) <= BLOCK_CHARS):
-            chars += len(texts[hi])
-            hi += 1
-        whole = "".join(texts[lo:hi])
-        offsets = np.cumsum([0, *map(len, texts[lo:hi])])
-        starts = pretoken_starts(np.frombuffer(whole.encode("utf-32-le"), np.uint32), offsets)
-        ends = np.append(starts, len(whole))[1:]
-        pieces = [whole[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-        if len(cache) > CACHE:
-            cache.clear()
-        missing = list(set(pieces).difference(cache))
-        said = tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        cache.update((p, np.asarray(e.ids, "<u4").tobytes()) for p, e in zip(missing, said, strict=True))
-        found = list(map(cache.__getitem__, pieces))
-        bounds = np.searchsorted(starts, offsets).tolist()
-        for a, b in zip(bounds, bounds[1:], strict=False):
-            yield np.frombuffer(b"".join(found[a:b]), "<u4")
-        lo = hi
+    if len(data) == 0:
+        yield from [np.zeros(0, "<u4")] * (len(offsets) - 1)
+        return
+    codes, at = code_points(data)
+    starts = pretoken_starts(codes, np.searchsorted(at, offsets))
+    # 0xFF is in no UTF-8 text: put before each pre-token it lets bytes.split cut them.
+    marked = np.full(len(data) + len(starts), 0xFF, np.uint8)
+    inside = np.ones(len(marked), bool)
+    inside[at[starts] + np.arange(len(starts))] = False
+    marked[inside] = data
+    pieces = marked.tobytes().split(b"\xff")[1:]
+    if len(cache) > CACHE:
+        cache.clear()
+    missing = list(set(pieces).difference(cache))
+    said = tokenizer.encode_batch_fast([p.decode() for p in missing], add_special_tokens=False)
+    cache.update((p, array("I", e.ids).tobytes()) for p, e in zip(missing, said, strict=True))
+    found = list(map(cache.__getitem__, pieces))
+    bounds = np.searchsorted(at[starts], offsets).tolist()
+    for a, b in zip(bounds, bounds[1:], strict=False):
+        yield np.frombuffer(b"".join(found[a:b]), "<u4")
 
 
 def write_files(
@@ -181,19 +181,19 @@ def write_files(
                 [pa.array([x]) for x in (name, shard, number, sum(lengths), len(keys), binascii.crc32(data))],
                 names=["file", "shard", "number", "n_ids", "n_docs", "crc32"])
 
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256).to_pydict()
-                for key, s, ids in zip(part["id"], part["__shard"], token_ids(tokenizer_path, part["text"]), strict=True):
-                    if keys and (s != shard or held >= file_ids):
-                        yield close()
-                        number = number + 1 if s == shard else 0
-                        keys, lengths, parts, held = [], [], [], 0
-                    shard = s
-                    keys.append(key)
-                    lengths.append(len(ids) + 1)
-                    parts += [ids, np.array([END_ID], "<u4")]
-                    held += len(ids) + 1
+        for block in blocks(batches, "text"):
+            part = block.batch.slice(block.lo, block.hi - block.lo)
+            keyed, shards = (part.column(n).to_pylist() for n in ("id", "__shard"))
+            for key, s, ids in zip(keyed, shards, token_ids(tokenizer_path, block.data, block.offsets), strict=True):
+                if keys and (s != shard or held >= file_ids):
+                    yield close()
+                    number = number + 1 if s == shard else 0
+                    keys, lengths, parts, held = [], [], [], 0
+                shard = s
+                keys.append(key)
+                lengths.append(len(ids) + 1)
+                parts += [ids, np.array([END_ID], "<u4")]
+                held += len(ids) + 1
         if keys:
             yield close()
 
