@@ -479,22 +479,27 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(batch.num_rows):
-            row = batch.slice(at, 1)
-            text = (row.column("text")[0].as_py() or "").encode()
-            hits = row.column("hits")[0].as_py()
-            first = np.array([h["first"] for h in hits], np.int64)
-            bits = np.unpackbits(np.frombuffer(b"".join(h["starts"] for h in hits), np.uint8), bitorder="little").reshape(-1, STARTS)
-            i, start = np.nonzero(bits)
-            edge = np.zeros(len(text) + 1, np.int32)
-            start = np.unique(first[i] + start)
-            np.add.at(edge, start, 1)
-            np.add.at(edge, start + LENGTH, -1)
-            gone = np.cumsum(edge)[: len(text)] > 0
-            kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-            spans = int((gone & ~np.append(False, gone[:-1])).sum())
-            yield pa.RecordBatch.from_arrays(
-                [row.column("id"), row.column("text_hash"), pa.array([int(gone.sum())], pa.int64()),
-                 pa.array([spans], pa.int64()), pa.array([kept], pa.binary())],
-                names=["id", "text_hash", "n_removed", "n_spans", "kept"])
+    for block in blocks(batches, "text"):
+        part = block.batch.slice(block.lo, block.hi - block.lo)
+        hits = part.column(part.schema.get_field_index("hits"))
+        bounds = np.concatenate([[0], np.cumsum(np.diff(hits.offsets.to_numpy()))])
+        flat = hits.flatten()
+        first = flat.field(0).to_numpy()
+        packed = np.frombuffer(b"".join(flat.field(1).to_pylist()), np.uint8).reshape(-1, STARTS // 8)
+        removed, spans, kept = [], [], []
+        for i, (lo, hi) in enumerate(zip(block.offsets, block.offsets[1:], strict=False)):
+            own = slice(bounds[i], bounds[i + 1])
+            at, start = np.nonzero(np.unpackbits(packed[own], axis=1, bitorder="little"))
+            repeated = np.zeros(hi - lo, np.int32)
+            repeated[first[own][at] + start] = 1
+            # A byte goes if one of the LENGTH starts up to it is repeated.
+            before = np.cumsum(repeated)
+            gone = before > 0
+            gone[LENGTH:] = before[LENGTH:] > before[:-LENGTH]
+            removed.append(int(gone.sum()))
+            spans.append(int((gone & ~np.append(False, gone[:-1])).sum()))
+            kept.append(block.data[lo:hi][~gone].tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [part.column(part.schema.get_field_index("id")), part.column(part.schema.get_field_index("text_hash")),
+             pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())],
+            names=["id", "text_hash", "n_removed", "n_spans", "kept"])
