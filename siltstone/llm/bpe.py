@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 CHUNK = 1 << 16
 OVERLAP = 1 << 10
 #: Distinct pre-tokens a worker remembers, some 160 bytes each.
-CACHE = 1 << 19
+CACHE = 1 << 18
 LONG = 64
 BLOCK_CHARS = 1 << 20
 

@@ -487,14 +487,17 @@ def score(
     return scored.select(F.col("__id").alias(id_column), held_out(F.col("__id")).alias("held_out"), "score")
 
 
+def _scores(m: Model, block: Block) -> np.ndarray:
+    margin = text_margins(m.weights, m.bias, words_of(block.data, block.offsets), block.hi - block.lo)
+    return 1 / (1 + np.exp(-np.clip(m.slope * margin + m.shift, -30, 30)))
+
+
 def _scorer(docs: DataFrame, model: Model):
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
         for block in blocks(batches, "__text"):
-            margin = text_margins(m.weights, m.bias, words_of(block.data, block.offsets), block.hi - block.lo)
-            p = 1 / (1 + np.exp(-np.clip(m.slope * margin + m.shift, -30, 30)))
+            p = _scores(shared.value, block)
             yield pa.RecordBatch.from_arrays(
                 [block.batch.column(0).slice(block.lo, block.hi - block.lo), pa.array(p, pa.float64())],
                 names=["__id", "score"])
@@ -508,16 +511,10 @@ def drop_toxic(
     """The documents scoring below ``threshold``, with all their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def toxicity(texts):
-        import pandas as pd
-
-        out = []
-        batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], names=["t"])
-        m = shared.value
-        for block in blocks([batch], "t"):
-            margin = text_margins(m.weights, m.bias, words_of(block.data, block.offsets), block.hi - block.lo)
-            out.append(1 / (1 + np.exp(-np.clip(m.slope * margin + m.shift, -30, 30))))
-        return pd.Series(np.concatenate(out) if out else [], dtype="float64")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows come back a block at a time, so neither side holds a batch of long texts twice.
+        for block in blocks(batches, text_column):
+            keep = pa.array(_scores(shared.value, block) < threshold)
+            yield block.batch.slice(block.lo, block.hi - block.lo).filter(keep)
 
-    return docs.filter(toxicity(F.col(text_column)) < threshold)
+    return docs.mapInArrow(run, docs.schema)
