@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.functions.json_maps import json_map, map_value
 from siltstone.operators.columns import map_columns, named, present
@@ -51,29 +53,64 @@ def greatest_keys(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]
     return {c: list(row[c] or []) for c in columns}
 
 
-def key_names(taken: Sequence[str], keys: dict[str, list[str]]) -> list[tuple[str, str, str]]:
-    """(map column, key, column name). A name already in use gets the map column as prefix."""
-    used = {c.lower() for c in taken}
+def key_names(
+    taken: Sequence[str], keys: dict[str, list[str]], known: Mapping[tuple[str, str], str] | None = None
+) -> list[tuple[str, str, str]]:
+    """(map column, key, column name). A name already in use gets the map column as prefix.
+
+    ``known`` holds the names of earlier runs by (map column, key): a key keeps its name, and no other
+    key gets it.
+    """
+    known = known or {}
+    in_any_case = {(c, k.lower()): (k, name) for (c, k), name in known.items()}
+    used = {c.lower() for c in [*taken, *known.values()]}
     out = []
     for column, found in keys.items():
         for key in found:
-            name, n = key, 1
-            while not name or name.lower() in used:
-                name = f"{column}_{key}" if n == 1 else f"{column}_{key}_{n}"
-                n += 1
-            used.add(name.lower())
+            name, n = known.get((column, key)), 1
+            if name is None:
+                # Column names have no case; so a key in another case goes on in the same column.
+                other, name = in_any_case.get((column, key.lower()), (None, None))
+                name = None if other in found else name
+            if name is None:
+                name = key
+                while not name or name.lower() in used:
+                    name = f"{column}_{key}" if n == 1 else f"{column}_{key}_{n}"
+                    n += 1
+                used.add(name.lower())
             out.append((column, key, name))
     return out
 
 
+def _origin(column: str, key: str) -> dict[str, str]:
+    """Column metadata that says which key of which map the column holds."""
+    return {"comment": json.dumps({"map": column, "key": key})}
+
+
+def known_names(schema: T.StructType) -> dict[tuple[str, str], str]:
+    """Names that earlier runs gave, from the comments of a table's columns."""
+    out = {}
+    for field in schema:
+        comment = (field.metadata or {}).get("comment", "")
+        if comment.startswith('{"map": '):
+            origin = json.loads(comment)
+            out[origin["map"], origin["key"]] = field.name
+    return out
+
+
 def map_pivot(
     df: DataFrame,
     fixed: Sequence[str],
     mode: str = "all_keys",
     columns: Sequence[str] | None = None,
     max_keys: int | None = None,
+    known: Mapping[tuple[str, str], str] | None = None,
 ) -> DataFrame:
-    """``fixed`` columns plus one string column per key of every map column."""
+    """``fixed`` columns plus one string column per key of every map column.
+
+    A new column's comment says its map and key; ``known`` (see ``known_names``) brings back the names
+    of earlier runs.
+    """
     columns = map_columns(df) if columns is None else list(columns)
     if mode == "all_keys":
         keys = all_keys(df, columns, max_keys)
@@ -81,5 +118,7 @@ def map_pivot(
         keys = greatest_keys(df, columns)
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    dynamic = [map_value(named(c), k).alias(n) for c, k, n in key_names(fixed, keys)]
+    dynamic = [
+        map_value(named(c), k).alias(n, metadata=_origin(c, k)) for c, k, n in key_names(fixed, keys, known)
+    ]
     return df.select(*map(named, fixed), *dynamic)

@@ -15,7 +15,7 @@ from siltstone.schemas import BRONZE_SCHEMA, LEDGER_SCHEMA, RAW_SCHEMA
 from siltstone.scratch import materialize
 from siltstone.sources.json_folders import list_folders, scan_period
 from siltstone.sources.listing import partition_values
-from siltstone.sources.tables import append_batch, ensure_table, read_path, refresh_partitions
+from siltstone.sources.tables import add_columns, append_batch, ensure_table, read_path, refresh_partitions
 
 
 def processed_folders(
@@ -47,6 +47,17 @@ def batch_stamp(cfg: RunConfig, used: list[str]) -> str:
     return stamp
 
 
+def raw_schema(spark: SparkSession, raw_root: str) -> T.StructType:
+    """The declared raw fields and, as text, every other field that a landing has noted."""
+    path = f"{raw_root.rstrip('/')}_fields"
+    if not partition_values(spark, path, "stamp"):
+        return RAW_SCHEMA
+    known = {n.lower() for n in RAW_SCHEMA.names}
+    noted = spark.read.schema("field string, stamp string").parquet(path).select("field").distinct().collect()
+    extra = {r[0].lower(): r[0] for r in sorted(noted, reverse=True) if r[0].lower() not in known}
+    return T.StructType([*RAW_SCHEMA.fields, *(T.StructField(extra[k], T.StringType()) for k in sorted(extra))])
+
+
 def bronze_run(
     spark: SparkSession,
     cfg: RunConfig,
@@ -55,15 +66,17 @@ def bronze_run(
     ledger_path: str,
     name: str,
     period: str | None = None,
-    schema: T.StructType = RAW_SCHEMA,
+    schema: T.StructType | None = None,
 ) -> int:
     """Append every unprocessed folder of ``period`` in one job; returns their number.
 
     The folder is a partition column of the raw files, so folders already processed are
     pruned by the semi join (dynamic partition pruning) and not read.
 
-    The ledger is written after the append, so a failed append leaves the folders pending.
+    The ledger is written after the append, so a failed append leaves the folders pending. Fields that the
+    table lacks are added to it; without ``schema`` they are those noted by the landing.
     """
+    schema = raw_schema(spark, raw_root) if schema is None else schema
     period = period or cfg.period
     landed = list_folders(spark, raw_root, period).select("folder")
     processed = processed_folders(spark, cfg, ledger_path, bronze_path, period)
@@ -80,7 +93,9 @@ def bronze_run(
         entry = pending.select("folder", F.lit(period).alias("period"), F.lit(stamp).alias("DTPROC"))
         append_batch(entry, ledger_path, "DTPROC")
     table_schema = T.StructType([*schema.fields, BRONZE_SCHEMA["DTPROC"]])
-    ensure_table(spark, name, bronze_path, table_schema, "DTPROC")
+    table = ensure_table(spark, name, bronze_path, table_schema, "DTPROC")
+    have = {c.lower() for c in table.columns}
+    add_columns(spark, name, [f for f in table_schema if f.name.lower() not in have])
     if count:
         refresh_partitions(spark, name, "DTPROC", [stamp])
     return count

@@ -7,11 +7,12 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.config import RunConfig
 from siltstone.functions.stamps import instant_day_between, month_start, wall_clock
 from siltstone.operators.bounds import read_bound
-from siltstone.operators.map_pivot import json_columns_to_maps, map_pivot
+from siltstone.operators.map_pivot import json_columns_to_maps, known_names, map_pivot
 from siltstone.schemas import GOLD_BASE_SCHEMA
 from siltstone.sources.tables import ensure_table, read_table, save_merged
 
@@ -39,13 +40,20 @@ def silver_range(silver: DataFrame, cfg: RunConfig, start: date) -> DataFrame:
 
 
 def gold_rows(
-    silver: DataFrame, cfg: RunConfig, json_columns: Sequence[str] = ("images",), mode: str = "all_keys"
+    silver: DataFrame,
+    cfg: RunConfig,
+    json_columns: Sequence[str] = ("images",),
+    mode: str = "all_keys",
+    max_keys: int | None = None,
+    table: T.StructType | None = None,
 ) -> DataFrame:
-    """Silver rows stamped with the run, JSON columns flattened."""
+    """Silver rows stamped with the run, JSON columns flattened under the names that ``table`` has."""
     stamped = silver.withColumns(
         {"dateIngestion": F.lit(cfg.run_ts), "dt": F.lit(cfg.period)}
     )
-    return map_pivot(json_columns_to_maps(stamped, json_columns), GOLD_BASE_SCHEMA.names, mode)
+    maps = json_columns_to_maps(stamped, json_columns)
+    known = known_names(table) if table is not None else None
+    return map_pivot(maps, GOLD_BASE_SCHEMA.names, mode, max_keys=max_keys, known=known)
 
 
 def save_gold(
@@ -56,10 +64,14 @@ def save_gold(
     path: str,
     json_columns: Sequence[str] = ("images",),
     mode: str = "all_keys",
+    max_keys: int | None = None,
 ) -> list[str]:
-    """Upsert the run's rows on (id, dt); only the run's own partition is rewritten."""
+    """Upsert the run's rows on (id, dt); only the run's own partition is rewritten.
+
+    A key keeps the column of its first run, whatever other keys a later run finds.
+    """
     silver = read_table(spark, silver_name)
     gold = ensure_table(spark, name, path, GOLD_BASE_SCHEMA, "dt")
     chosen = silver_range(silver, cfg, gold_start(cfg, gold, silver))
-    rows = gold_rows(chosen, cfg, json_columns, mode)
+    rows = gold_rows(chosen, cfg, json_columns, mode, max_keys, gold.schema)
     return save_merged(rows, name, path, GOLD_BASE_SCHEMA, ["id", "dt"], own=[cfg.period])

@@ -73,17 +73,27 @@ def raw_ingestion(
         raise ValueError(f"{n} malformed pages in {landing_path}; name a reject path to go on without them")
     pages = seen.filter("bad IS NULL").groupBy("page").agg(
         F.sum("n_items").alias("n_items"), F.max("totalPages").alias("total_pages"))
-    total = pages.agg(F.max("total_pages")).first()[0]
+    total, last = pages.agg(F.max("total_pages"), F.max("page")).first()
+    if total is not None and bad.count() > 0:
+        # A rejected last page closes no group, so the last good one does.
+        total = min(total, last)
     if total is None or resume > total:
         return resume
     slots = slot_ranges(pages.filter(F.col("page") >= resume), total, cfg.pages_per_folder)
     slots = materialize(slots, "slots")
+    note_fields(spark, record, cfg, raw_root)
     note_ranges(ranges_with_items(pages, slots, cfg), cfg, raw_root)
     good = envelopes.filter(~bad_page() & (F.col("page") >= resume))
     write_folders(label_pages(good, slots, cfg), raw_root)
     return resume
 
 
+def note_fields(spark: SparkSession, record: T.StructType, cfg: RunConfig, raw_root: str) -> None:
+    """Write the names of the landed fields, so that bronze need not look for them in the rows."""
+    names = spark.createDataFrame([(n, cfg.stamp) for n in record.names], "field string, stamp string")
+    append_batch(names, f"{raw_root.rstrip('/')}_fields", "stamp")
+
+
 _NOTES = "first_page bigint, last_page bigint, period string, stamp string"
 
 

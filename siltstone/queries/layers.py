@@ -13,17 +13,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.config import RunConfig
+from siltstone.functions.names import folder_last_page
 from siltstone.functions.stamps import wall_clock
+from siltstone.operators.map_pivot import json_columns_to_maps, known_names, map_pivot
 from siltstone.plans.bronze import bronze_run
 from siltstone.plans.gold import save_gold
 from siltstone.plans.landing import raw_ingestion
 from siltstone.plans.silver import save_silver
 from siltstone.queries.feed import FEED_SQL, envelopes, feed_records, last_page
 from siltstone.queries.registry import drop_database, new_database, query, table
-from siltstone.schemas import BRONZE_SCHEMA, RAW_SCHEMA
+from siltstone.schemas import BRONZE_SCHEMA, RAW_SCHEMA, RECORD_FIELDS
 from siltstone.scratch import new_folder
-from siltstone.sources.json_folders import PARTITIONS, scan_paths
-from siltstone.sources.tables import read_path
+from siltstone.sources.json_folders import PARTITIONS, scan_paths, write_folders
+from siltstone.sources.tables import ensure_table, read_path, save_merged
 from siltstone.streaming.ingest import ingest_stream
 from siltstone.streaming.upsert import upsert_stream
 
@@ -209,3 +211,134 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = spark.table(f"{db}.newest").schema
     drop_database(spark, db)
     return read_path(spark, f"{base}/newest", schema).drop("ts")
+
+
+_CUT = "page % 7 = 3"
+
+
+@query(f"""
+  SELECT page, count(*) AS n_items, bool_or({_CUT}) AS rejected FROM ({FEED_SQL}) GROUP BY page
+""")
+def landing_with_malformed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some pages are cut short in the landing: their text is rejected, all other records are landed."""
+    base = new_folder(spark, "malformed")
+    records = feed_records(spark, sf_dir)
+    total = last_page(records)
+    body = F.to_json(F.struct("page", "totalPages", "items"))
+    cut = F.when(F.expr(_CUT), F.expr("substring(body, 1, length(body) - 5)")).otherwise(F.col("body"))
+    envelopes(records, total).select("page", body.alias("body")).select(cut).write.text(f"{base}/landing")
+    raw_ingestion(spark, RUNS[0], f"{base}/landing", f"{base}/raw", reject_path=f"{base}/rejects")
+    schema = T.StructType([*RAW_SCHEMA.fields, *PARTITIONS.fields])
+    landed = scan_paths(spark, f"{base}/raw", schema).select(
+        (F.floor(F.col("produto_id").cast("long") / 100) + 1).cast("long").alias("page"), F.lit(False).alias("rejected"))
+    texts = spark.read.parquet(f"{base}/rejects").select("text")
+    rejected = texts.select(
+        F.regexp_extract("text", '"page":([0-9]+)', 1).cast("long").alias("page"), F.lit(True).alias("rejected"),
+        F.explode(F.regexp_extract_all("text", F.lit('"produto_id":'), F.lit(0))))
+    return landed.union(rejected.select("page", "rejected")).groupBy("page").agg(
+        F.count(F.lit(1)).alias("n_items"), F.bool_or("rejected").alias("rejected"))
+
+
+@query(f"SELECT id, event_id, event_type FROM ({FEED_SQL})")
+def landing_after_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run whose folders were not all renamed: the next run lands the missing pages again."""
+    base = new_folder(spark, "gap")
+    records = feed_records(spark, sf_dir)
+    total = last_page(records)
+    envelopes(records, total).write.json(f"{base}/landing")
+    # What a lost run leaves: all ranges noted, but only the last folder in place.
+    raw_ingestion(spark, RUNS[0], f"{base}/landing", f"{base}/whole")
+    schema = T.StructType([*RAW_SCHEMA.fields, *PARTITIONS.fields])
+    whole = scan_paths(spark, f"{base}/whole", schema)
+    ranges = read_path(spark, f"{base}/whole_ranges")
+    ranges.write.partitionBy("stamp").parquet(f"{base}/raw_ranges")
+    last = ranges.agg(F.max("last_page")).first()[0]
+    ends = folder_last_page("folder") == last
+    write_folders(whole.filter(ends), f"{base}/raw")
+    raw_ingestion(spark, RUNS[1], f"{base}/landing", f"{base}/raw")
+    landed = scan_paths(spark, f"{base}/raw", schema).select(
+        "id", F.col("produto_id").cast("long").alias("event_id"), F.col("destaque").alias("event_type"))
+    return landed.distinct()
+
+
+@query(f"""
+  WITH {_LANDED}
+  SELECT id, CAST(event_id AS VARCHAR) AS product_id FROM raw
+  QUALIFY row_number() OVER (
+    PARTITION BY id ORDER BY run, last_page DESC, published DESC,
+    strftime(published, '%d/%m/%Y %H:%M:%S') DESC, event_type DESC, props DESC, imagens DESC) = 1
+""")
+def silver_backfilled_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch made up after silver's March run under a February stamp is read by the next run.
+
+    Its rows are those of the second half of the pages, so ids known from the earlier March batch keep it.
+    """
+    base = new_folder(spark, "backfill")
+    db = new_database(spark, base)
+    records = feed_records(spark, sf_dir)
+    total = last_page(records)
+    half = (total + 1) // 2
+    late, march = (RunConfig(datetime(2024, m, d, 15, 0, tzinfo=timezone.utc)) for m, d in ((2, 20), (3, 5)))
+    again = RunConfig(datetime(2024, 3, 6, 15, 0, tzinfo=timezone.utc))
+    for cfg, part, raw in ((march, F.col("page") <= half, "raw_a"), (late, F.col("page") >= half, "raw_b")):
+        envelopes(records.filter(part), total if raw == "raw_b" else half).write.json(f"{base}/{raw}_landing")
+        raw_ingestion(spark, cfg, f"{base}/{raw}_landing", f"{base}/{raw}")
+        bronze_run(spark, cfg, f"{base}/{raw}", f"{base}/bronze", f"{base}/ledger", f"{db}.bronze")
+        save_silver(spark, march if raw == "raw_a" else again, f"{db}.bronze", f"{db}.silver", f"{base}/silver")
+    schema = spark.table(f"{db}.silver").schema
+    drop_database(spark, db)
+    return read_path(spark, f"{base}/silver", schema).select("id", "product_id")
+
+
+@query("""
+  SELECT event_id, CASE WHEN event_id % 2 = 1 THEN event_type END AS autor FROM events
+""")
+def bronze_new_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A field that only the second run's items have: bronze gets its column, older rows have null."""
+    base = new_folder(spark, "field")
+    db = new_database(spark, base)
+    events = feed_records(spark, sf_dir).withColumn("autor", F.col("destaque"))
+    even = F.col("produto_id").cast("long") % 2 == 0
+    for cfg, part, raw, fields in (
+        (RUNS[0], even, "raw_a", RECORD_FIELDS), (RUNS[1], ~even, "raw_b", [*RECORD_FIELDS, "autor"])):
+        rows = events.filter(part)
+        pages = rows.groupBy("page").agg(F.collect_list(F.struct(*fields)).alias("items"))
+        pages.withColumn("totalPages", F.lit(last_page(rows))).write.json(f"{base}/{raw}_landing")
+        raw_ingestion(spark, cfg, f"{base}/{raw}_landing", f"{base}/{raw}")
+        bronze_run(spark, cfg, f"{base}/{raw}", f"{base}/bronze", f"{base}/ledger", f"{db}.bronze")
+    schema = spark.table(f"{db}.bronze").schema
+    drop_database(spark, db)
+    return read_path(spark, f"{base}/bronze", schema).select(F.col("produto_id").cast("long").alias("event_id"), "autor")
+
+
+_SECOND = "event_type <> 'click'"
+
+
+@query(f"""
+  SELECT event_id, 1 AS run, CASE WHEN event_type <> 'error' THEN event_id END AS k,
+         json_extract_string(props, '$.k') AS second_k, event_type AS "Name"
+  FROM events
+  UNION ALL
+  SELECT event_id, 2, NULL, json_extract_string(props, '$.k'), event_type FROM events WHERE {_SECOND}
+""")
+def gold_keys_across_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two JSON columns with the key k, over two runs: in the second the first column lacks k, and a
+    key comes in another case. Every key stays in the column of its first run."""
+    base = new_folder(spark, "keys")
+    db = new_database(spark, base)
+    events = table(spark, sf_dir, "events").withColumn("dt", F.lit("a"))
+    name = f"{db}.keys"
+    fixed = T.StructType().add("event_id", T.LongType()).add("run", T.IntegerType()).add("dt", T.StringType())
+    for run, rows, first, key in (
+        (1, events, F.when(F.col("event_type") != "error", F.to_json(F.struct(F.col("event_id").alias("k")))), "Name"),
+        (2, events.filter(_SECOND), F.lit("{}"), "name")):
+        named_rows = rows.select(
+            "event_id", F.lit(run).alias("run"), F.lit(str(run)).alias("dt"), first.alias("one"),
+            F.to_json(F.struct(F.get_json_object("props", "$.k").alias("k"), F.col("event_type").alias(key))).alias("two"))
+        target = ensure_table(spark, name, f"{base}/keys", fixed, "dt")
+        flat = map_pivot(json_columns_to_maps(named_rows, ["one", "two"]), fixed.names, known=known_names(target.schema))
+        save_merged(flat, name, f"{base}/keys", fixed, ["event_id", "run"])
+    schema = spark.table(name).schema
+    drop_database(spark, db)
+    out = read_path(spark, f"{base}/keys", schema)
+    return out.select("event_id", "run", F.col("k").cast("long").alias("k"), F.col("two_dict_k").alias("second_k"), F.col("Name").alias("Name"))

@@ -54,7 +54,7 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 def _column_ddl(field: T.StructField) -> str:
     comment = (field.metadata or {}).get("comment")
-    tail = " COMMENT '" + comment.replace("'", "\\'") + "'" if comment else ""
+    tail = " COMMENT '" + comment.replace("\\", "\\\\").replace("'", "\\'") + "'" if comment else ""
     return f"{quoted(field.name)} {field.dataType.simpleString()}{tail}"
 
 
