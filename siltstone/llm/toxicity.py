@@ -496,7 +496,7 @@ def _scorer(docs: DataFrame, model: Model):
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "__text"):
+        for block in blocks(batches, "__text", 1 << 20):
             p = _scores(shared.value, block)
             yield pa.RecordBatch.from_arrays(
                 [block.batch.column(0).slice(block.lo, block.hi - block.lo), pa.array(p, pa.float64())],
@@ -513,7 +513,7 @@ def drop_toxic(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows come back a block at a time, so neither side holds a batch of long texts twice.
-        for block in blocks(batches, text_column):
+        for block in blocks(batches, text_column, 1 << 20):
             keep = pa.array(_scores(shared.value, block) < threshold)
             yield block.batch.slice(block.lo, block.hi - block.lo).filter(keep)
 
