@@ -6,11 +6,11 @@ sentence are one word. ``^`` marks a word's start. A word's features are its sub
 symbols within ``SPAN``, each gap weighing ``DECAY``; the kernel of two words is the inner product of
 these features. A sentence scores as its highest word does, and a text as its highest sentence.
 
-Training: letter groups that are far more frequent in toxic than in other texts point out the words
-that carry the label of a toxic sentence, and the landmarks; of sentences of other texts every word may be drawn.
-The SVM (squared hinge) is fitted on the landmarks' kernel values times the inverse root of the landmark
-matrix. Then the highest word of every sample text is found; those of other texts, and those of
-toxic texts that score as toxic, are added and the fit is repeated. As the kernel is an
+Training: letter groups and word starts that are more frequent in toxic than in other texts beyond chance
+tell which words of a toxic text carry its label first, and point out the landmarks; of other texts every
+word may be drawn. The SVM (squared hinge) is fitted on the landmarks' kernel values times the inverse root
+of the landmark matrix. Then the highest word of every sample text, whatever its label and margin, is
+added and the fit is repeated, so any word of a toxic text may come to carry its label. As the kernel is an
 inner product, the sum over landmarks is one weight per subsequence, so a text is scored by table
 look-ups and not by kernel values against each landmark. A logistic fit turns a text's margin into 0 to 1.
 """
@@ -37,13 +37,14 @@ _BITS = 5
 FEATURES = 1 << (4 * _BITS)
 _OTHER, _START = 27, 28
 
-#: Bounds of the training: labelled texts of each label, words of each label, landmarks, groups.
+#: Bounds of the training: labelled texts of each label, words of each label, landmarks.
 PER_CLASS = {0: 4_000, 1: 2_500}
 WORDS = 10_000
 LANDMARKS = 384
-GROUPS = 2_000
-LIFT, LEAST_SHARE = 25, 0.02
 ROUNDS = 3
+#: Symbols of the longest word start that is counted, and how far below a toxic text's most telling word others are taken.
+LONGEST_START = 9
+CLOSE = 0.7
 
 
 def _letter_codes() -> tuple[np.ndarray, np.ndarray]:
@@ -183,83 +184,111 @@ def _labels(block: Block) -> np.ndarray:
     return np.asarray(column.to_pylist()[block.lo : block.hi])
 
 
-def _groups(block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct pairs of (text, four neighbouring letters)."""
+def units(p: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(word, unit) of all four neighbouring symbols and of all longer word starts up to ``LONGEST_START``."""
+    none = np.zeros(0, np.int64)
+    words, found = [none], [none]
+    for at, feature, _ in subsequences(p.symbols, p.word):
+        words.append(p.word[at].astype(np.int64))
+        found.append(feature.astype(np.int64))
+        break
+    bounds = np.searchsorted(p.word, np.arange(len(p.text) + 1))
+    key = np.zeros(len(p.text), np.int64)
+    for n in range(LONGEST_START):
+        here = np.flatnonzero(np.diff(bounds) > n)
+        key[here] = (key[here] << _BITS) | p.symbols[bounds[here] + n]
+        if n >= 4:
+            words.append(here)
+            found.append(key[here] | ((n + 1) << (_BITS * LONGEST_START)))
+    return np.concatenate(words), np.concatenate(found)
+
+
+def _text_units(block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of (text, unit)."""
     p = words_of(block.data, block.offsets)
-    if len(p.symbols) < 4:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at, feature, _ = next(subsequences(p.symbols, p.word))
-    pair = np.unique(p.text[p.word[at]] * FEATURES + feature)
-    return pair // FEATURES, pair % FEATURES
+    word, unit = units(p)
+    values, number = np.unique(unit, return_inverse=True)
+    pair = np.unique(p.text[word] * max(1, len(values)) + number)
+    return pair // max(1, len(values)), values[pair % max(1, len(values))]
+
+
+class Telling(NamedTuple):
+    """Units in ascending order, the logarithm of how much more frequent each is in toxic texts, and its evidence."""
 
+    unit: np.ndarray
+    lift: np.ndarray
+    evidence: np.ndarray
 
-def telling_groups(sample: DataFrame, totals: dict[int, int]) -> np.ndarray:
-    """Letter groups at least ``LIFT`` times as frequent in toxic texts, beyond chance among all groups
-    looked at, and in at least ``LEAST_SHARE`` of the toxic texts, so that no few copies bring them in.
+    def of_words(self, p: Words) -> np.ndarray:
+        """The greatest lift of each word's units; 0 if none is telling."""
+        out = np.zeros(len(p.text))
+        word, unit = units(p)
+        at = np.minimum(np.searchsorted(self.unit, unit), len(self.unit) - 1)
+        hit = self.unit[at] == unit
+        np.maximum.at(out, word[hit], self.lift[at[hit]])
+        return out
 
-    At most ``GROUPS`` of them, those with the most evidence.
+
+def telling_units(sample: DataFrame, totals: dict[int, int]) -> Telling:
+    """Units more frequent in toxic texts than in others, beyond chance among all units looked at.
+
+    Neither a least lift nor a least share of all toxic texts is asked for, so words of a language with
+    few texts count too; a unit of fewer than three toxic texts does not.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros((2, FEATURES), np.int32)
         for block in blocks(batches, "text"):
-            text, group = _groups(block)
-            np.add.at(seen, (_labels(block)[text], group), 1)
-        at = np.flatnonzero(seen[1])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(at, pa.int64()), pa.array(seen[0][at], pa.int64()), pa.array(seen[1][at], pa.int64())],
-            names=["g", "other", "toxic"])
+            unit, often = np.unique(_text_units(block)[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(unit, pa.int64()), pa.array(often, pa.int64())], names=["u", "n"])
+
+    base = totals[1] / (totals[0] + totals[1])
+    counts = materialize(
+        sample.filter("label = 1").mapInArrow(count, "u bigint, n bigint").groupBy("u").agg(F.sum("n").alias("n"))
+        .filter("n >= 3"), "units")
+    least = np.log(max(1, counts.count()) / 0.01)
+    # Others can only take from the evidence, so a unit that falls short without them need not be counted there.
+    found = counts.filter(F.col("n") * -np.log(base) >= float(least)).orderBy("u").toArrow()
+    unit, toxic = (found.column(i).to_numpy().astype(np.int64) for i in range(2))
+    if len(unit) == 0:
+        return Telling(unit, np.zeros(0), np.zeros(0))
+    shared = sample.sparkSession.sparkContext.broadcast(unit)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(FEATURES, np.int32)
+        unit = shared.value
+        seen = np.zeros(len(unit), np.int64)
         for block in blocks(batches, "text"):
-            text, group = _groups(block)
-            np.add.at(seen, group[_labels(block)[text] == 0], 1)
+            mine = _text_units(block)[1]
+            at = np.minimum(np.searchsorted(unit, mine), len(unit) - 1)
+            seen += np.bincount(at[unit[at] == mine], minlength=len(unit))
         at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(at, pa.int64()), pa.array(seen[at], pa.int64()), pa.array(np.zeros(len(at)), pa.int64())],
-            names=["g", "other", "toxic"])
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(seen[at], pa.int64())], names=["at", "n"])
 
-    schema = "g bigint, other bigint, toxic bigint"
-    toxic = sample.filter("label = 1").mapInArrow(count, schema)
-    others = sample.filter("label = 0").mapInArrow(clean, schema)
-    counts = materialize(
-        toxic.union(others).groupBy("g").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
-        .filter("toxic >= 3"), "groups")
-    base = totals[1] / (totals[0] + totals[1])
-    both = F.col("toxic") + F.col("other")
-    share = F.col("toxic") / both
-    # Chernoff's bound on so many toxic ones of ``both`` by chance.
-    evidence = F.col("toxic") * F.log(share / base) + F.when(
-        share < 1, F.col("other") * F.log((1 - share) / (1 - base))).otherwise(0)
-    found = (
-        counts.filter(F.col("toxic") >= LEAST_SHARE * totals[1])
-        .withColumn("lift", F.col("toxic") / totals[1] * totals[0] / (F.col("other") + 0.5))
-        .withColumn("evidence", evidence)
-        .filter((F.col("lift") >= LIFT) & (F.col("evidence") >= np.log(max(1, counts.count()) / 0.01)))
-        .orderBy(F.col("evidence").desc(), "g")
-        .limit(GROUPS)
-    )
-    return np.array([r["g"] for r in found.select("g").collect()], np.int64)
-
-
-def _carriers(sample: DataFrame, telling: np.ndarray, share: dict[int, float]) -> DataFrame:
-    """Training words: of toxic texts those with a telling group, of others any, a hashed share of each."""
-    flag = np.zeros(FEATURES, bool)
-    flag[telling] = True
-    shared = sample.sparkSession.sparkContext.broadcast(np.packbits(flag))
+    others = sample.filter("label = 0").mapInArrow(clean, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    other = np.zeros(len(unit), np.int64)
+    other[others.column(0).to_numpy()] = others.column(1).to_numpy()
+    share = toxic / (toxic + other)
+    # Chernoff's bound on so many toxic ones by chance.
+    evidence = toxic * np.log(share / base) + other * np.log(np.maximum(1 - share, 1e-300) / (1 - base))
+    keep = (share > base) & (evidence >= least)
+    lift = np.log(toxic / totals[1] * totals[0] / (other + 0.5))
+    keep &= lift > 0
+    return Telling(unit[keep], lift[keep], evidence[keep])
+
+
+def _carriers(sample: DataFrame, telling: Telling, share: dict[int, float]) -> DataFrame:
+    """Training words: of toxic texts those that tell most in their text, of others any, a hashed share of each."""
+    shared = sample.sparkSession.sparkContext.broadcast(telling)
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flag = np.unpackbits(shared.value).astype(bool)
         for block in blocks(batches, "text"):
             p = words_of(block.data, block.offsets)
             if len(p.text) == 0:
                 continue
             label = _labels(block)[p.text]
-            told = np.zeros(len(p.text), bool)
-            for at, feature, _ in subsequences(p.symbols, p.word):
-                told[p.word[at[flag[feature]]]] = True
-                break
+            lift = shared.value.of_words(p)
+            most = np.zeros(block.hi - block.lo)
+            np.maximum.at(most, p.text, lift)
+            told = (lift > 0) & (lift >= most[p.text] - CLOSE)
             bounds = np.searchsorted(p.word, np.arange(len(p.text) + 1))
             weight = np.add.reduceat(p.symbols.astype(np.int64) * (np.arange(len(p.symbols)) % 9973 + 1), bounds[:-1])
             lot = (weight * 2654435761 % (1 << 32)) / (1 << 32)
@@ -284,17 +313,18 @@ def _joined(words: Iterable[bytes]) -> Words:
 
 
 def landmark_words(
-    words: list[tuple[bytes, int]], telling: np.ndarray, hard: list[bytes], most: int = LANDMARKS
+    words: list[tuple[bytes, int]], telling: Telling, hard: list[bytes], most: int = LANDMARKS
 ) -> Words:
-    """For each telling group the shortest word that holds it, then the hard words of other texts, then
-    any of their words."""
-    order = sorted({w for w, _ in words if len(w) >= 4}, key=lambda w: (len(w), w))
-    by_group: dict[int, bytes] = {}
-    for w in order:
-        s = np.frombuffer(w, np.uint8).astype(np.int64)
-        for g in (s[:-3] << 15) | (s[1:-2] << 10) | (s[2:-1] << 5) | s[3:]:
-            by_group.setdefault(int(g), w)
-    chosen = dict.fromkeys(by_group[g] for g in telling.tolist() if g in by_group)
+    """For each telling unit, those with the most evidence first, the shortest word of toxic texts that holds
+    it, then the hard words of other texts, then any of their words."""
+    toxic = sorted({w for w, y in words if y == 1 and len(w) >= 4}, key=lambda w: (len(w), w))
+    by_unit: dict[int, bytes] = {}
+    if toxic:
+        word, unit = units(_joined(toxic))
+        for i in np.argsort(word, kind="stable").tolist():
+            by_unit.setdefault(int(unit[i]), toxic[word[i]])
+    order = np.argsort(-telling.evidence, kind="stable")
+    chosen = dict.fromkeys(by_unit[u] for u in telling.unit[order].tolist() if u in by_unit)
     chosen = dict.fromkeys(list(chosen)[: most // 2])
     others = sorted({w for w, y in words if y == 0 and len(w) >= 4}, key=lambda w: (zlib.crc32(w), w))
     chosen.update(dict.fromkeys(hard[: most // 3]))
@@ -436,8 +466,8 @@ def fit(
     flat = Model(np.zeros(FEATURES, np.float32), 0.0, 0.0, float(np.log((base + 1e-6) / (1 - base + 1e-6))))
     if len(totals) < 2:
         return flat
-    telling = telling_groups(sample, totals)
-    if len(telling) == 0:
+    telling = telling_units(sample, totals)
+    if len(telling.unit) == 0:
         return flat
     # A word is some six bytes long; toxic texts name a few telling words each.
     size = sample.filter("label = 0").agg(F.sum(F.octet_length("text"))).head()[0] / 6
@@ -457,8 +487,7 @@ def fit(
         x = nystrom.features(_joined(w for w, _ in words))
         v, bias = svm(x, np.array([y for _, y in words]), np.sqrt([train[w] for w in words]))
         weights = nystrom.weights(v)
-        # A toxic text without any toxic word teaches nothing.
-        top = [r for r in _highest(sample, weights, bias).collect() if r["label"] == 0 or r["margin"] > 0]
+        top = _highest(sample, weights, bias).collect()
         worst: dict[bytes, float] = {}
         for r in top:
             w = bytes(r["symbols"])

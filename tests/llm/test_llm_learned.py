@@ -172,6 +172,29 @@ def test_toxicity(spark):
     assert kept.columns == docs.columns
 
 
+def test_toxic_words_of_a_smaller_language_are_learnt(spark):
+    """Word starts made of parts that clean words hold as well; clean texts of the language stay clean."""
+    r = random.Random(5)
+    parts = ["ach", "lich", "keit", "ung", "ber", "ver", "schen", "heit", "ein", "zu"]
+    docs, labels, _ = labelled(spark, 1200)
+    rows, extra = [], []
+    for i in range(5000, 5400):
+        words = ["".join(r.choice(parts) for _ in range(r.randrange(1, 4))) for _ in range(60)]
+        words = [w for w in words if not w.startswith(("achlich", "achkeit"))]
+        toxic = int(i % 8 == 0)
+        for _ in range(3 * toxic):
+            words.insert(r.randrange(len(words)), r.choice(["achlich", "achkeit"]) + r.choice(parts))
+        rows.append((i, " ".join(words)))
+        extra.append((i, toxic, 1, "x", "y"))
+    docs = docs.union(docs_frame(spark, rows))
+    model = toxicity.fit(docs, labels.union(spark.createDataFrame(extra, LABELS)))
+    scores = {x["doc_id"]: x["score"] >= 0.5 for x in toxicity.score(docs_frame(spark, rows), model).collect() if x["held_out"]}
+    bad = [scores[i] for i, y, *_ in extra if i in scores and y]
+    good = [scores[i] for i, y, *_ in extra if i in scores and not y]
+    assert len(bad) >= 5 and sum(bad) >= 0.8 * len(bad)
+    assert sum(good) <= 0.05 * len(good)
+
+
 def test_kernel_sum_equals_table():
     """The table of weights gives the same as kernel values against landmarks."""
     words = [bytes([28, *(ord(c) - 96 for c in w)]) for w in ["idiot", "moron", "idle", "thing", "worthless", "more"]]
