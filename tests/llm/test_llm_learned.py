@@ -1,5 +1,6 @@
 """Similarity, benchmark and trained operators, and the pipeline, on small tables."""
 
+import math
 import random
 import re
 import sys
@@ -76,6 +77,18 @@ def test_pruning_keeps_similar_pairs():
     assert len(ngram_join.survivors(zero, low, least, at * 0, at)) <= 40
 
 
+def test_pruning_loss_summed_over_all_looks():
+    """The exact chance that a pair at the threshold is pruned at any look, as stated in the README."""
+    step, n = ngram_join.STEP, np.arange(ngram_join.STEP + 1)
+    p = ngram_join.THRESHOLD + (1 - ngram_join.THRESHOLD) / 256
+    ways = np.array([math.comb(step, k) for k in n.tolist()])
+    alive = np.ones(1)
+    for enough in ngram_join.least_matches(ngram_join.THRESHOLD, ngram_join.TOLERANCE):
+        alive = np.convolve(alive, ways * p**n * (1 - p) ** (step - n))
+        alive[:enough] = 0
+    assert 8e-5 < 1 - alive.sum() < 9e-5
+
+
 def test_similar_texts_empty(spark):
     assert ngram_join.similar_texts(docs_frame(spark, [])).count() == 0
 
