@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.labelled import held_out, labelled_sample
-from siltstone.llm.textbytes import Block, blocks
+from siltstone.llm.textbytes import Block, blocks, mix
 from siltstone.scratch import materialize
 
 SPAN = 7
@@ -179,11 +179,15 @@ def text_margins(weights: np.ndarray, bias: float, p: Words, texts: int) -> np.n
     return np.where(np.isneginf(out), bias, out)
 
 
-def _labels(block: Block) -> np.ndarray:
-    column = block.batch.column(block.batch.schema.get_field_index("label"))
+def _column(block: Block, name: str) -> np.ndarray:
+    column = block.batch.column(block.batch.schema.get_field_index(name))
     return np.asarray(column.to_pylist()[block.lo : block.hi])
 
 
+def _labels(block: Block) -> np.ndarray:
+    return _column(block, "label")
+
+
 def units(p: Words) -> tuple[np.ndarray, np.ndarray]:
     """(word, unit) of all four neighbouring symbols and of all longer word starts up to ``LONGEST_START``."""
     none = np.zeros(0, np.int64)
@@ -290,12 +294,25 @@ def _carriers(sample: DataFrame, telling: Telling, share: dict[int, float]) -> D
             np.maximum.at(most, p.text, lift)
             told = (lift > 0) & (lift >= most[p.text] - CLOSE)
             bounds = np.searchsorted(p.word, np.arange(len(p.text) + 1))
-            weight = np.add.reduceat(p.symbols.astype(np.int64) * (np.arange(len(p.symbols)) % 9973 + 1), bounds[:-1])
-            lot = (weight * 2654435761 % (1 << 32)) / (1 << 32)
+            lot = _lots(p, bounds, _column(block, "lot"), label)
             keep = np.flatnonzero(np.where(label == 1, told & (lot < share[1]), lot < share[0]))
             yield _rows(p, bounds, keep, label)
 
-    return sample.mapInArrow(words, "symbols binary, label int").groupBy("symbols", "label").count()
+    drawn = sample.withColumn("lot", F.xxhash64("id")).mapInArrow(words, "symbols binary, label int")
+    counts = drawn.groupBy("symbols", "label").count()
+    order = [F.xxhash64("symbols", "label"), "symbols"]
+    return counts.filter("label = 0").orderBy(*order).limit(2 * WORDS).union(
+        counts.filter("label = 1").orderBy(*order).limit(2 * WORDS))
+
+
+def _lots(p: Words, bounds: np.ndarray, ids: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """From 0 to 1 by id, word and label alone, wherever the word stands."""
+    place = np.arange(len(p.symbols)) - bounds[p.word]
+    with np.errstate(over="ignore"):
+        power = np.cumprod(np.full(LONGEST_WORD + 1, 0x9E3779B97F4A7C15, np.uint64))
+        h = np.add.reduceat(p.symbols.astype(np.uint64) * power[place], bounds[:-1])
+        h = mix(mix(h + label.astype(np.uint64)) + ids.astype(np.uint64)[p.text])
+    return (h >> np.uint64(11)).astype(np.float64) / (1 << 53)
 
 
 def _rows(p: Words, bounds: np.ndarray, keep: np.ndarray, label: np.ndarray) -> pa.RecordBatch:
@@ -472,7 +489,7 @@ def fit(
     # A word is some six bytes long; toxic texts name a few telling words each.
     size = sample.filter("label = 0").agg(F.sum(F.octet_length("text"))).head()[0] / 6
     share = {0: min(1.0, WORDS / max(1, size)), 1: min(1.0, WORDS / (10 * totals[1]))}
-    rows = _carriers(sample, telling, share).limit(4 * WORDS).collect()
+    rows = _carriers(sample, telling, share).collect()
     train = {(bytes(r["symbols"]), r["label"]): r["count"] for r in rows}
     if len({y for _, y in train}) < 2:
         return flat

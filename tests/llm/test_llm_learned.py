@@ -208,6 +208,15 @@ def test_toxic_words_of_a_smaller_language_are_learnt(spark):
     assert sum(good) <= 0.05 * len(good)
 
 
+def test_drawn_words_do_not_depend_on_partitions(spark):
+    docs, labels, _ = labelled(spark, 300)
+    sample = labelled_sample(docs, labels, "toxic", toxicity.PER_CLASS)
+    telling = toxicity.telling_units(sample, {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()})
+    one, many = (sorted((bytes(r["symbols"]), r["label"], r["count"]) for r in toxicity._carriers(x, telling, {0: 0.2, 1: 0.5}).collect())
+                 for x in (sample.coalesce(1).orderBy("id"), sample.repartition(5, "text")))
+    assert one == many and {y for _, y, _ in one} == {0, 1}
+
+
 def test_kernel_sum_equals_table():
     """The table of weights gives the same as kernel values against landmarks."""
     words = [bytes([28, *(ord(c) - 96 for c in w)]) for w in ["idiot", "moron", "idle", "thing", "worthless", "more"]]
