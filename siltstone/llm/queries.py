@@ -10,6 +10,7 @@ from siltstone.llm import (
     decontamination,
     exact_dedup,
     line_dedup,
+    merkle,
     ngram_join,
     quality,
     suffix_array,
@@ -112,3 +113,61 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
     )
+
+
+@query("""
+  WITH RECURSIVE crc AS (
+    SELECT [list_reduce(list_prepend(i::UBIGINT, range(8)::UBIGINT[]),
+              lambda c, b: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END)
+            FOR i IN range(256)] AS t),
+  d AS (
+    SELECT doc_id, source,
+           CASE WHEN list_reduce(list_prepend(4294967295::UBIGINT, [ascii(x)::UBIGINT FOR x IN string_split(doc_id::VARCHAR, '')]),
+                                 lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)::BIGINT])) % 2 = 1
+                THEN replace(text, chr(10), '') ELSE text END AS now,
+           coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+             || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+           coalesce(strlen(text) || ':' || text, '-') AS tail
+    FROM documents, crc),
+  leaves AS (
+    SELECT doc_id, source, sha256(head || tail) AS leaf, sha256(head || coalesce(strlen(now) || ':' || now, '-')) AS present FROM d),
+  placed AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p FROM leaves),
+  up(source, lvl, l) AS (
+    SELECT source, 0, list(leaf ORDER BY p) FROM placed GROUP BY source
+    UNION ALL
+    SELECT source, lvl + 1, [sha256(array_to_string(l[3 * i + 1:3 * i + 3], '')) FOR i IN range((len(l) + 2) // 3)]
+    FROM up WHERE len(l) > 1),
+  subs AS (
+    SELECT source, l[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS g FROM up WHERE len(l) = 1),
+  top(lvl, l) AS (
+    SELECT 0, list(subroot ORDER BY g) FROM subs
+    UNION ALL
+    SELECT lvl + 1, [sha256(array_to_string(l[3 * i + 1:3 * i + 3], '')) FOR i IN range((len(l) + 2) // 3)]
+    FROM top WHERE len(l) > 1),
+  steps AS (
+    SELECT doc_id, leaf, placed.source, p, lvl, l, p // (3::BIGINT ** lvl)::BIGINT AS node
+    FROM placed JOIN up ON placed.source IS NOT DISTINCT FROM up.source WHERE len(l) > 1
+    UNION ALL
+    SELECT doc_id, leaf, placed.source, p, 100 + lvl, l, g // (3::BIGINT ** lvl)::BIGINT
+    FROM placed JOIN subs ON placed.source IS NOT DISTINCT FROM subs.source, top WHERE len(l) > 1),
+  sides AS (
+    SELECT source, p, lvl, array_to_string(l[node - node % 3 + 1:node], '') AS before,
+           array_to_string(l[node + 2:node - node % 3 + 3], '') AS after
+    FROM steps),
+  paths AS (
+    SELECT source, p, string_agg(before || after, '' ORDER BY lvl) AS proof, list(before || '|' || after ORDER BY lvl) AS path
+    FROM sides GROUP BY source, p),
+  folded AS (
+    SELECT placed.doc_id, leaf, subroot, (SELECT l[1] FROM top WHERE len(l) = 1) AS root,
+           sha256(coalesce(proof, '')) AS proof_sha256,
+           list_reduce(list_prepend(present, coalesce(path, [])), lambda h, s: sha256(split_part(s, '|', 1) || h || split_part(s, '|', 2)))
+             AS folded_root
+    FROM placed JOIN subs ON placed.source IS NOT DISTINCT FROM subs.source
+    LEFT JOIN paths ON placed.source IS NOT DISTINCT FROM paths.source AND placed.p = paths.p)
+  SELECT *, folded_root = root AS verified FROM folded
+""")
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(2)) == 0
+    rows = merkle.verified(table(spark, sf_dir, "documents"), {"text": F.replace("text", F.lit("\n"), F.lit(""))}, tampered)
+    return rows.withColumn("proof_sha256", F.sha2(merkle.proof_text(F.col("path")), 256)).drop("path")
