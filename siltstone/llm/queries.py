@@ -13,6 +13,7 @@ from siltstone.llm import (
     merkle,
     ngram_join,
     quality,
+    spelling,
     suffix_array,
     token_files,
     toxicity,
@@ -171,3 +172,48 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(2)) == 0
     rows = merkle.verified(table(spark, sf_dir, "documents"), {"text": F.replace("text", F.lit("\n"), F.lit(""))}, tampered)
     return rows.withColumn("proof_sha256", F.sha2(merkle.proof_text(F.col("path")), 256)).drop("path")
+
+
+@query("""
+  WITH RECURSIVE crc AS (
+    SELECT [list_reduce(list_prepend(i::UBIGINT, range(8)::UBIGINT[]),
+              lambda c, b: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END)
+            FOR i IN range(256)] AS t),
+  runs AS (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+    GROUP BY ALL),
+  marked AS (
+    SELECT run, n, xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT,
+             list_transform(range(1, 2 * strlen(coalesce(doc_id::VARCHAR, '') || ':' || run), 2),
+               lambda i: ('0x' || substr(hex(coalesce(doc_id::VARCHAR, '') || ':' || run), i, 2))::UBIGINT)),
+             lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)::BIGINT]))) AS h
+    FROM runs, crc),
+  words AS (
+    SELECT CASE WHEN h % 97 = 0 THEN run[:(h % length(run))::BIGINT] || run[(h % length(run))::BIGINT + 2:] ELSE run END AS word,
+           sum(n)::BIGINT AS n
+    FROM marked GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3),
+  cut AS (
+    SELECT word, n, length(word) AS len, p, word[:p] || word[p + 2:] AS rest
+    FROM (SELECT word, n, unnest(range(length(word))) AS p FROM words)),
+  pairs AS (
+    SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.p = b.p AND a.rest = b.rest AND a.len = b.len AND a.word <> b.word
+    UNION
+    SELECT a.word, b.word, b.n FROM words a JOIN cut b ON a.word = b.rest
+    UNION
+    SELECT b.word, a.word, a.n FROM words a JOIN cut b ON a.word = b.rest),
+  best AS (
+    SELECT word, count(*) AS n_near, max(near_n) AS best_n, min(near ORDER BY near_n DESC, near) FILTER (WHERE near_n = top) AS best
+    FROM (SELECT *, max(near_n) OVER (PARTITION BY word) AS top FROM pairs) GROUP BY word),
+  forms AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * w.n THEN best END AS form,
+           CASE WHEN best_n >= 2 * w.n THEN best_n END AS form_n
+    FROM words w LEFT JOIN best USING (word)),
+  walk(word, last, depth) AS (
+    SELECT word, word, 0 FROM forms
+    UNION ALL
+    SELECT walk.word, forms.form, depth + 1 FROM walk JOIN forms ON walk.last = forms.word WHERE forms.form IS NOT NULL)
+  SELECT forms.*, ends.root FROM forms JOIN (SELECT word, max_by(last, depth) AS root FROM walk GROUP BY word) ends USING (word)
+""")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
