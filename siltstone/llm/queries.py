@@ -9,6 +9,7 @@ from siltstone.llm import (
     bpe,
     decontamination,
     exact_dedup,
+    html_text,
     line_dedup,
     merkle,
     ngram_join,
@@ -217,3 +218,9 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.fit(pages))

@@ -74,7 +74,7 @@ def variants(seed, docs, bases, letters="abcdé"):
 def test_variants(spark, monkeypatch, group):
     # With groups of five every window is cut down to one code point.
     monkeypatch.setattr(spelling, "GROUP", group)
-    rows = variants(group, 60, 40)
+    rows = variants(1024, 60, 40)
     want = brute(counts(rows))
     assert run(spark, rows) == want
     assert any(r[3] != r[5] and r[3] for r in want), "no chain of forms in the sample"
