@@ -184,6 +184,9 @@ class _Builder(HTMLParser):
 def parse(html: str, truth: str | None = None) -> Tree:
     """The tree of a page; ``truth`` names an attribute that labels an element and what is below it."""
     b = _Builder(truth)
+    last = html.rfind("<")
+    if last >= 0 and ">" not in html[last:] and re.match("[a-zA-Z/!?]", html[last + 1 : last + 2]):
+        html = html[:last]  # a page cut off inside a tag
     b.feed(html)
     b.close()
     b._pop_to(0)

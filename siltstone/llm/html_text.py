@@ -109,8 +109,7 @@ class _Layout:
 
     def __init__(self, r: random.Random, main: list[str], other: list[str]):
         self.r, self.main = r, main
-        words = " ".join(main + other).split()
-        self.words = words or ["text"]
+        self.words = " ".join(other).split() or ["text"]
         self.named = r.random() < 0.75  # attributes tell what a part is
         self.semantic = r.random() < 0.4  # elements do
 
@@ -216,7 +215,10 @@ def lessons(html: str) -> list[tuple[Tree, list[int], float]]:
         return out
     r = random.Random(zlib.crc32(html.encode()))
     for _ in range(LAYOUTS):
-        fresh = parse(_Layout(r, main, other).page(), _TRUTH)
+        # Some articles are a few words long.
+        words = " ".join(main).split()
+        held = [" ".join(words[: r.randint(1, 12)])] if r.random() < 0.2 else main
+        fresh = parse(_Layout(r, held, main + other).page(), _TRUTH)
         out.append((fresh, fresh.truth, 1.0))
     return out
 
