@@ -11,9 +11,10 @@ from pyspark.sql import types as T
 from siltstone.config import RunConfig
 from siltstone.functions.names import label_folder
 from siltstone.operators.worklist import folder_state
-from siltstone.schemas import BRONZE_SCHEMA, LEDGER_SCHEMA, RAW_SCHEMA
+from siltstone.schemas import BRONZE_SCHEMA, LEDGER_SCHEMA, UNFIT
 from siltstone.scratch import materialize
-from siltstone.sources.json_folders import list_folders, scan_period
+from siltstone.sources.fields import noted_fields, record_columns, row_schema
+from siltstone.sources.json_folders import list_folders, period_lines
 from siltstone.sources.listing import partition_values
 from siltstone.sources.tables import add_columns, append_batch, ensure_table, read_path, refresh_partitions
 
@@ -35,7 +36,7 @@ def processed_folders(
     if lost:
         paths = [f"{bronze_path}/DTPROC={stamp}" for stamp in lost]
         labels = spark.read.schema(BRONZE_SCHEMA).parquet(*paths).select("PAGE").distinct()
-        folders = folders.union(labels.select(label_folder(cfg.folder_prefix, "PAGE")))
+        folders = folders.union(labels.filter("PAGE IS NOT NULL").select(label_folder(cfg.folder_prefix, "PAGE")))
     return folders
 
 
@@ -47,17 +48,6 @@ def batch_stamp(cfg: RunConfig, used: list[str]) -> str:
     return stamp
 
 
-def raw_schema(spark: SparkSession, raw_root: str) -> T.StructType:
-    """The declared raw fields and, as text, every other field that a landing has noted."""
-    path = f"{raw_root.rstrip('/')}_fields"
-    if not partition_values(spark, path, "stamp"):
-        return RAW_SCHEMA
-    known = {n.lower() for n in RAW_SCHEMA.names}
-    noted = spark.read.schema("field string, stamp string").parquet(path).select("field").distinct().collect()
-    extra = {r[0].lower(): r[0] for r in sorted(noted, reverse=True) if r[0].lower() not in known}
-    return T.StructType([*RAW_SCHEMA.fields, *(T.StructField(extra[k], T.StringType()) for k in sorted(extra))])
-
-
 def bronze_run(
     spark: SparkSession,
     cfg: RunConfig,
@@ -74,9 +64,10 @@ def bronze_run(
     pruned by the semi join (dynamic partition pruning) and not read.
 
     The ledger is written after the append, so a failed append leaves the folders pending. Fields that the
-    table lacks are added to it; without ``schema`` they are those noted by the landing.
+    table lacks are added to it; without ``schema`` they are those noted by the landing. Values that fit no
+    column are kept in ``UNFIT``.
     """
-    schema = raw_schema(spark, raw_root) if schema is None else schema
+    schema = row_schema(spark, noted_fields(spark, raw_root)) if schema is None else schema
     period = period or cfg.period
     landed = list_folders(spark, raw_root, period).select("folder")
     processed = processed_folders(spark, cfg, ledger_path, bronze_path, period)
@@ -85,14 +76,14 @@ def bronze_run(
     total, count = state.agg(F.count(F.lit(1)), F.count_if(F.col("processed") == 0)).first()
     if count:
         stamp = batch_stamp(cfg, partition_values(spark, bronze_path, "DTPROC"))
-        rows = scan_period(spark, raw_root, period, schema)
+        lines = period_lines(spark, raw_root, period)
         if count < total:
-            rows = rows.join(pending, "folder", "left_semi")
-        stamped = rows.drop("period", "folder").withColumn("DTPROC", F.lit(stamp))
+            lines = lines.join(pending, "folder", "left_semi")
+        stamped = record_columns(spark, lines, schema).withColumn("DTPROC", F.lit(stamp))
         append_batch(stamped, bronze_path, "DTPROC")
         entry = pending.select("folder", F.lit(period).alias("period"), F.lit(stamp).alias("DTPROC"))
         append_batch(entry, ledger_path, "DTPROC")
-    table_schema = T.StructType([*schema.fields, BRONZE_SCHEMA["DTPROC"]])
+    table_schema = T.StructType([*schema.fields, BRONZE_SCHEMA[UNFIT], BRONZE_SCHEMA["DTPROC"]])
     table = ensure_table(spark, name, bronze_path, table_schema, "DTPROC")
     have = {c.lower() for c in table.columns}
     add_columns(spark, name, [f for f in table_schema if f.name.lower() not in have])

@@ -250,8 +250,8 @@ def landing_after_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw_ingestion(spark, RUNS[0], f"{base}/landing", f"{base}/whole")
     schema = T.StructType([*RAW_SCHEMA.fields, *PARTITIONS.fields])
     whole = scan_paths(spark, f"{base}/whole", schema)
-    ranges = read_path(spark, f"{base}/whole_ranges")
-    ranges.write.partitionBy("stamp").parquet(f"{base}/raw_ranges")
+    ranges = read_path(spark, f"{base}/whole_pages")
+    ranges.write.partitionBy("stamp").parquet(f"{base}/raw_pages")
     last = ranges.agg(F.max("last_page")).first()[0]
     ends = folder_last_page("folder") == last
     write_folders(whole.filter(ends), f"{base}/raw")
@@ -342,3 +342,39 @@ def gold_keys_across_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     drop_database(spark, db)
     out = read_path(spark, f"{base}/keys", schema)
     return out.select("event_id", "run", F.col("k").cast("long").alias("k"), F.col("two_dict_k").alias("second_k"), F.col("Name").alias("Name"))
+
+
+@query("""
+  SELECT event_id, user_id AS id, event_type AS autor,
+         CASE WHEN event_id % 4 = 3 THEN 'other ' || event_id END AS second_autor,
+         CASE WHEN event_id % 5 = 0 THEN 'no number' END AS wrong_id,
+         CASE WHEN event_id % 2 = 0 THEN 'event ' || event_id END AS titulo, event_type || ' page' AS own_page
+  FROM (SELECT * REPLACE (CASE WHEN event_id % 5 <> 0 THEN user_id END AS user_id) FROM events)
+""")
+def landing_fields_in_any_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items that spell a field in several cases, have one twice, a mistyped id, and a field named like a column of the layers.
+
+    Every value arrives in bronze: in the field's column, or as text in UNFIT.
+    """
+    base = new_folder(spark, "cases")
+    db = new_database(spark, base)
+    records = feed_records(spark, sf_dir)
+    n = F.col("produto_id").cast("long")
+    name = F.element_at(F.array(F.lit("autor"), F.lit("Autor"), F.lit("AUTOR"), F.lit("autor")), (n % 4 + 1).cast("int"))
+    item = F.concat(
+        F.lit("{"), F.when(n % 5 == 0, F.lit('"id":"no number"')).otherwise(F.concat(F.lit('"id":'), F.col("id").cast("string"))),
+        F.lit(',"produto_id":"'), "produto_id", F.lit('","'), name, F.lit('":"'), "destaque", F.lit('"'),
+        F.when(n % 4 == 3, F.concat(F.lit(',"AUTOR":"other '), "produto_id", F.lit('"'))).otherwise(F.lit("")),
+        F.when(n % 2 == 0, F.concat(F.lit(',"Titulo":"'), "titulo", F.lit('"'))).otherwise(F.lit("")),
+        F.lit(',"Page":"'), "destaque", F.lit(' page"}'))
+    pages = records.select("page", item.alias("item")).groupBy("page").agg(F.array_join(F.collect_list("item"), ",").alias("items"))
+    text = F.concat(F.lit('{"page":'), F.col("page").cast("string"), F.lit(f',"totalPages":{last_page(records)},"items":['), "items", F.lit("]}"))
+    pages.select(text).write.text(f"{base}/landing")
+    raw_ingestion(spark, RUNS[0], f"{base}/landing", f"{base}/raw")
+    bronze_run(spark, RUNS[0], f"{base}/raw", f"{base}/bronze", f"{base}/ledger", f"{db}.bronze")
+    schema = spark.table(f"{db}.bronze").schema
+    drop_database(spark, db)
+    unfit = F.from_json("UNFIT", "map<string,string>")
+    return read_path(spark, f"{base}/bronze", schema).select(
+        F.col("produto_id").cast("long").alias("event_id"), "id", "autor", unfit["AUTOR"].alias("second_autor"),
+        unfit["id"].alias("wrong_id"), "titulo", F.col("item_Page").alias("own_page"))

@@ -75,7 +75,11 @@ RECORD_SCHEMA = T.StructType(
     [T.StructField(f, T.LongType() if f == "id" else T.StringType()) for f in RECORD_FIELDS]
 )
 RAW_SCHEMA = T.StructType([*RECORD_SCHEMA.fields, T.StructField("PAGE", T.StringType())])
-BRONZE_SCHEMA = T.StructType([*RAW_SCHEMA.fields, T.StructField("DTPROC", T.StringType())])
+# Values of a landed item that no column holds, as a JSON object; a line that is no object, as it is.
+UNFIT = "UNFIT"
+BRONZE_SCHEMA = T.StructType(
+    [*RAW_SCHEMA.fields, T.StructField(UNFIT, T.StringType()), T.StructField("DTPROC", T.StringType())]
+)
 SILVER_SCHEMA = _schema(SILVER_COLUMNS)
 GOLD_BASE_SCHEMA = SILVER_SCHEMA
 LEDGER_SCHEMA = T.StructType(
@@ -87,7 +91,7 @@ LEDGER_SCHEMA = T.StructType(
 CORRUPT = "__corrupt"
 
 
-def envelope_schema(record: T.StructType = RECORD_SCHEMA) -> T.StructType:
+def envelope_schema(record: T.DataType = RECORD_SCHEMA) -> T.StructType:
     """Page envelope: page number, page count, the records of the page, the text if malformed."""
     return T.StructType(
         [

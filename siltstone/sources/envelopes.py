@@ -10,11 +10,13 @@ from pyspark.sql import types as T
 
 from siltstone.schemas import CORRUPT, RECORD_SCHEMA, envelope_schema
 
+ITEM_TEXT = T.StringType()
+
 
 def read_envelopes(
     spark: SparkSession,
     path: str | Sequence[str],
-    record: T.StructType = RECORD_SCHEMA,
+    record: T.DataType = RECORD_SCHEMA,
     multi_line: bool = False,
 ) -> DataFrame:
     """One row per page. Without ``multi_line`` a file holds one page per line and splits.
@@ -26,24 +28,20 @@ def read_envelopes(
     return reader.json(path, multiLine=multi_line)
 
 
-def landed_record(
-    spark: SparkSession, path: str | Sequence[str], record: T.StructType = RECORD_SCHEMA, multi_line: bool = False
-) -> T.StructType:
-    """``record`` and, as text, every other field that the landed items have.
+def read_pages(spark: SparkSession, path: str | Sequence[str], multi_line: bool = False) -> DataFrame:
+    """One row per page with its ``items`` as the texts they came as, whatever fields they have.
 
-    One pass over the landing, in which Spark merges the fields of all pages.
+    Next to them stand their number, the names of their fields, each once, and in ``bad`` the text of a page that is no
+    envelope, does not say its number, or has an item that is no object.
     """
-    found = spark.read.option("columnNameOfCorruptRecord", CORRUPT).json(path, multiLine=multi_line).schema
-    items = found["items"].dataType if "items" in found.names else None
-    element = items.elementType if isinstance(items, T.ArrayType) else None
-    names = element.names if isinstance(element, T.StructType) else []
-    known = {n.lower() for n in record.names}
-    return T.StructType([*record.fields, *(T.StructField(n, T.StringType()) for n in names if n.lower() not in known)])
-
-
-def bad_page() -> F.Column:
-    """True for a page that did not parse as declared or does not say its number."""
-    return F.col(CORRUPT).isNotNull() | F.col("page").isNull()
+    pages = read_envelopes(spark, path, ITEM_TEXT, multi_line)
+    item = F.coalesce("items", F.array())
+    wrong = F.exists(item, lambda i: i.isNotNull() & F.json_object_keys(i).isNull())
+    bad = F.col(CORRUPT).isNotNull() | F.col("page").isNull() | wrong
+    names = F.array_distinct(F.flatten(F.transform(item, lambda i: F.coalesce(F.json_object_keys(i), F.array()))))
+    return pages.select(
+        "page", "totalPages", "items", F.array_size(item).cast("long").alias("n_items"), names.alias("fields"),
+        F.when(bad, F.coalesce(F.col(CORRUPT), F.to_json(F.struct("page", "totalPages", "items")))).alias("bad"))
 
 
 def flatten_items(envelopes: DataFrame, *carry: str) -> DataFrame:

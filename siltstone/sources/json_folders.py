@@ -33,6 +33,24 @@ def write_folders(df: DataFrame, root: str) -> None:
     )
 
 
+def write_lines(df: DataFrame, root: str) -> None:
+    """The same for rows whose ``value`` is the JSON text of a row already."""
+    (
+        df.select("value", "period", "folder")
+        .hint("rebalance", "period", "folder")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("period", "folder")
+        .text(root)
+    )
+
+
+def period_lines(spark: SparkSession, root: str, period: str) -> DataFrame:
+    """The lines of one period's folders as they are, with ``period`` and ``folder`` columns."""
+    full = T.StructType([T.StructField("value", T.StringType()), *PARTITIONS.fields])
+    return spark.read.schema(full).option("basePath", root).text(f"{root}/period={period}")
+
+
 def scan_paths(
     spark: SparkSession, paths: str | Sequence[str], schema: T.StructType = RAW_SCHEMA
 ) -> DataFrame:
@@ -59,7 +77,7 @@ def list_folders(spark: SparkSession, root: str, period: str | None = None) -> D
     level = "" if period is None else "/{" + f"period={period},{period}" + "}"
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     try:
-        files = reader.option("pathGlobFilter", "*.json*").load(root + level)
+        files = reader.load(root + level)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from siltstone import RunConfig
 from siltstone.plans import bronze as bronze_plan
+from siltstone.plans import landing
 from siltstone.plans.bronze import bronze_run
 from siltstone.plans.gold import save_gold, silver_range
 from siltstone.plans.landing import raw_ingestion
 from siltstone.plans.silver import save_silver, silver_start
 from siltstone.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
+from siltstone.sources import fields
 from siltstone.sources.json_folders import list_folders, scan_period
 from siltstone.sources.tables import ensure_table, read_path
 from siltstone.streaming.ingest import ingest_stream
@@ -276,3 +278,102 @@ def test_stream_upsert_keeps_the_newest(layers, spark):
             upsert_stream(stream, f"{layers.db}.newest", path, spark.read.parquet(source).schema,
                           ["id"], order, f"{layers.root}/cp").awaitTermination()
     assert rows(layers.table("newest")) == [(1, "d", 3, "y"), (2, "c", 1, "y")]
+
+
+# fields
+
+
+def land_text(layers, spark, run, *pages):
+    folder = Path(layers.root, f"landing_{run.stamp}")
+    folder.mkdir()
+    (folder / "pages.json").write_text("\n".join(pages))
+    return raw_ingestion(spark, run, str(folder), layers.raw)
+
+
+def test_no_value_of_a_landed_item_is_lost(layers, spark):
+    land_text(layers, spark, cfg(1),
+              '{"page":1,"totalPages":2,"items":[{"id":1,"autor":"a"},{"id":2,"Autor":"b","AUTOR":"c"},{"id":"x9","Titulo":"t"}]}',
+              '{"page":2,"totalPages":2,"items":[{"id":"7","autor":"","imagens":{"a":[1.50]}},{"PAGE":"own","unfit":1,"dtproc":[2]},null]}')
+    layers.load_bronze(cfg(1))
+    bronze = layers.table("bronze")
+    assert bronze.columns == [*BRONZE_SCHEMA.names[:-2], "autor", "item_dtproc", "item_PAGE", "item_unfit", "UNFIT", "DTPROC"]
+    got = bronze.select("id", "titulo", "autor", "imagens", "item_PAGE", "item_unfit", "item_dtproc", "UNFIT", "PAGE")
+    label = "1 - to - 2 - 20240110_120000"
+    assert rows(got) == sorted([
+        (1, None, "a", None, None, None, None, None, label), (2, None, "b", None, None, None, None, '{"AUTOR":"c"}', label),
+        (None, "t", None, None, None, None, None, '{"id":"x9"}', label), (7, None, "", '{"a":[1.5]}', None, None, None, None, label),
+        (None, None, None, None, "own", "1", "[2]", None, label), (None, None, None, None, None, None, None, None, label)], key=repr)
+    # A later landing spells the field otherwise: same column.
+    land_text(layers, spark, cfg(2), '{"page":2,"totalPages":2,"items":[{"id":8,"AUTOR":"d"}]}')
+    layers.load_bronze(cfg(2))
+    assert layers.table("bronze").columns == bronze.columns
+    assert rows(layers.table("bronze").filter("id = 8").select("autor", "UNFIT")) == [("d", None)]
+
+
+def test_fields_beyond_the_limit_and_lines_that_are_no_json(spark):
+    lines = spark.createDataFrame([('{"id":1,"b":"","z":5}',), ('{"id"',), (" ",)], "value string")
+    got = fields.record_columns(spark, lines, fields.row_schema(spark, ["b"]))
+    assert rows(got.select("id", "b", "UNFIT")) == sorted([(1, "", '{"z":"5"}'), (None, None, '{"id"')], key=repr)
+
+
+def test_items_that_are_no_objects_make_a_page_malformed(layers, spark):
+    page = '{"page":1,"totalPages":1,"items":[{"id":1},5]}'
+    with pytest.raises(ValueError, match="1 malformed"):
+        land_text(layers, spark, cfg(1), page)
+    assert list_folders(spark, layers.raw).count() == 0
+
+
+def test_case_sensitive_names_stay_apart(spark):
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        lines = spark.createDataFrame([('{"autor":"a","Autor":"b"}',)], "value string")
+        got = fields.record_columns(spark, lines, fields.row_schema(spark, ["autor", "Autor"]))
+        assert rows(got.select("autor", "Autor", "UNFIT")) == [("a", "b", None)]
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+
+
+# gaps
+
+
+def lose(layers, *folders):
+    for name in folders:
+        path = next(Path(layers.raw).rglob(f"folder={name}"))
+        for file in path.iterdir():
+            file.unlink()
+        path.rmdir()
+
+
+def test_a_gap_stays_open_until_its_pages_have_landed(layers, spark):
+    pages = {p: [item(p)] for p in range(1, 41)}
+    layers.land(cfg(1), pages)
+    lose(layers, "feedpage_11_to_20_20240110_120000")
+    # The next landing lacks pages 13 to 17, though its group is labelled with them.
+    some = {p: i for p, i in pages.items() if not 13 <= p <= 17}
+    assert layers.land(cfg(2), some) == 11
+    assert ("202402", "feedpage_11_to_20_20240210_120000") in rows(list_folders(spark, layers.raw))
+    assert layers.land(cfg(3), {p: i for p, i in pages.items() if p != 15}) == 13
+    assert layers.land(cfg(4), pages) == 15
+    assert layers.land(cfg(5), pages) == 40
+    landed = scan_period(spark, layers.raw, "202404").union(scan_period(spark, layers.raw, "202403"))
+    assert {r[0] for r in landed.select("id").collect()} >= set(range(13, 18))
+
+
+def test_closed_runs_are_not_looked_at_again(layers, spark, monkeypatch):
+    pages = {p: [item(p)] for p in range(1, 12)}
+    layers.land(cfg(1), pages)
+    layers.land(cfg(2), pages)
+    layers.land(cfg(3), pages)
+    seen = []
+    monkeypatch.setattr(landing, "list_folders", lambda spark, root, period: seen.append(period) or list_folders(spark, root, period))
+    assert landing.first_gap(spark, layers.raw, "feedpage") is None and seen == ["202403"]
+    assert landing.first_gap(spark, layers.raw, "feedpage") is None and seen == ["202403"]
+
+
+def test_uncovered_ranges(spark):
+    def ranges(*pairs):
+        return spark.createDataFrame(list(pairs), "from_page bigint, to_page bigint")
+
+    got = landing.uncovered(ranges((1, 10), (20, 30), (40, 50)), ranges((2, 3), (3, 5), (7, 7), (10, 22), (24, 24), (24, 35), (39, 60)))
+    assert rows(got) == [(1, 1), (23, 23), (6, 6), (8, 9)]
+    assert rows(landing.uncovered(ranges((5, 6)), ranges((1, 2)))) == [(5, 6)]
