@@ -21,7 +21,7 @@ from siltstone.operators.bounds import lower_bound, read_bound
 from siltstone.operators.columns import rename_cast
 from siltstone.operators.latest import latest_per_key, total_order
 from siltstone.operators.merge import split_null_keys
-from siltstone.schemas import PUBLICATION_FORMAT, RENAMES, SILVER_SCHEMA
+from siltstone.schemas import PUBLICATION_FORMAT, RENAMES, SILVER_SCHEMA, STAMP_LENGTH
 from siltstone.sources.listing import partition_values
 from siltstone.sources.tables import append_batch, ensure_table, read_table, save_merged
 
@@ -41,9 +41,11 @@ def silver_start(
 
 def newest_first(df: DataFrame) -> list[Column]:
     """Batch stamp, then landing stamp and page end (one batch can hold a page twice), then
-    publication time, then every other column, so the kept row never depends on timing."""
+    publication time, then every other column, so the kept row never depends on timing.
+
+    What follows the stamp in ``DTPROC`` numbers the micro-batches of one streamed load, which say nothing about age."""
     first = [
-        F.col("DTPROC").desc(),
+        F.left("DTPROC", F.lit(STAMP_LENGTH)).desc(),
         label_stamp("PAGE").desc(),
         label_last_page("PAGE").desc(),
         F.try_to_timestamp("data_publicacao", F.lit(PUBLICATION_FORMAT)).desc(),

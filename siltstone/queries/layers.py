@@ -25,6 +25,7 @@ from siltstone.queries.registry import drop_database, new_database, query, table
 from siltstone.schemas import BRONZE_SCHEMA, RAW_SCHEMA, RECORD_FIELDS
 from siltstone.scratch import new_folder
 from siltstone.sources.json_folders import PARTITIONS, scan_paths, write_folders
+from siltstone.sources.listing import child_names, remove_path
 from siltstone.sources.tables import ensure_table, read_path, save_merged
 from siltstone.streaming.ingest import ingest_stream
 from siltstone.streaming.upsert import upsert_stream
@@ -175,14 +176,46 @@ def stream_ingest_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The JSON folders as a stream; a second start finds nothing new."""
     root, _ = run_layers(spark, sf_dir, "raw")
     base = new_folder(spark, "stream")
+    db = new_database(spark, base)
     for _ in range(2):
         ingest_stream(
-            spark, RUNS[1], f"{root}/*/*", f"{base}/bronze", f"{base}/checkpoint"
+            spark, RUNS[1], f"{root}/*/*", f"{base}/bronze", f"{base}/checkpoint", f"{db}.bronze", root
         ).awaitTermination()
+    drop_database(spark, db)
     rows = read_path(spark, f"{base}/bronze", BRONZE_SCHEMA)
     return rows.select(F.col("PAGE").alias("label"), "id", "produto_id", "imagens")
 
 
+@query(f"""
+  WITH {_LANDED}
+  SELECT {_TYPED}, TIMESTAMP '2024-03-05 12:00:00' AS "dateIngestion", '202403' AS dt, 1::BIGINT AS n_read
+  FROM raw {_NEWEST}
+""")
+def stream_medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed folders streamed to bronze in two runs of several micro-batches, read by silver after each: the rows of the
+    batch jobs. The last micro-batch of the first run is replayed by the second."""
+    base = new_folder(spark, "streamed")
+    db = new_database(spark, base)
+    records = feed_records(spark, sf_dir)
+    total = last_page(records)
+    for cfg, pages in zip(RUNS, ((total + 1) // 2, total)):
+        landing = f"{base}/landing_{cfg.stamp}"
+        envelopes(records.filter(F.col("page") <= pages), pages).write.json(landing)
+        raw_ingestion(spark, cfg, landing, f"{base}/raw")
+        streamed = (f"{base}/raw/*/*", f"{base}/bronze", f"{base}/checkpoint", f"{db}.bronze", f"{base}/raw")
+        ingest_stream(spark, cfg, *streamed).awaitTermination()
+        if cfg is RUNS[0]:
+            # As if the driver had been lost before the checkpoint knew that its last batch was done.
+            commits = f"{base}/checkpoint/commits"
+            remove_path(spark, f"{commits}/{max((int(n) for n in child_names(spark, commits) if n.isdigit()), default=0)}")
+        save_silver(spark, cfg, f"{db}.bronze", f"{db}.silver", f"{base}/silver")
+    bronze = spark.table(f"{db}.bronze")
+    n_read = bronze.groupBy("PAGE", "produto_id").count().agg(F.max("count")).first()[0]
+    schema = spark.table(f"{db}.silver").schema
+    drop_database(spark, db)
+    return _shown(read_path(spark, f"{base}/silver", schema)).withColumn("n_read", F.lit(n_read).cast("bigint"))
+
+
 @query("""
   SELECT user_id, event_id, event_type, strftime(ts, '%Y%m%d') AS dt FROM events
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1

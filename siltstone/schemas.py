@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 # Source field names, target names, target types and comments.
 PUBLICATION_FORMAT = "dd/MM/yyyy HH:mm:ss"
 STAMP_FORMAT = "yyyyMMdd_HHmmss"
+STAMP_LENGTH = 15
 
 RECORD_FIELDS = [
     "id",

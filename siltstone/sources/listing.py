@@ -17,6 +17,18 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in files.listStatus(folder)]
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder and those above it; one that is there stays."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or a folder and what is in it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def partition_values(spark: SparkSession, path: str, partition: str) -> list[str]:
     """Values of the first partition level of a table's path."""
     start = f"{partition}="

@@ -1,4 +1,4 @@
-"""JSON folders to bronze as a stream: each file once, remembered by the checkpoint."""
+"""JSON folders to bronze as a stream: each file once, each micro-batch a partition that silver reads."""
 
 from __future__ import annotations
 
@@ -8,27 +8,43 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from siltstone.config import RunConfig
-from siltstone.functions.stamps import current_run_stamp
-from siltstone.schemas import RAW_SCHEMA
+from siltstone.schemas import BRONZE_SCHEMA, UNFIT
+from siltstone.sources.fields import noted_fields, record_columns, row_schema
+from siltstone.sources.listing import child_names, make_folder
+from siltstone.sources.tables import add_columns, ensure_table, refresh_partitions
 
 
 def raw_stream(
     spark: SparkSession,
     glob: str,
-    schema: T.StructType = RAW_SCHEMA,
     max_files: int | None = 10,
     max_bytes: str | None = None,
 ) -> DataFrame:
-    """Stream of the JSON files below a wildcard, at most ``max_files`` per micro-batch.
+    """Stream of the JSON lines (``value``) below a wildcard, at most ``max_files`` per micro-batch.
 
     For a large feed give ``max_bytes`` (such as ``"500g"``) and no file limit.
     """
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     elif max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(glob)
+    return reader.text(glob).select("value")
+
+
+def batch_partition(spark: SparkSession, notes: str, query_id: str, batch_id: int, stamp: str) -> str:
+    """The DTPROC of a micro-batch: the run's stamp and the batch's number, chosen once.
+
+    The choice is noted, as the name of an empty folder, before the batch is written. A batch that is replayed by a later run
+    finds the note and replaces its own partition, whatever that run's stamp is.
+    """
+    start = f"{query_id}.{batch_id}="
+    noted = [name for name in child_names(spark, notes) if name.startswith(start)]
+    if noted:
+        return min(noted).removeprefix(start)
+    value = f"{stamp}.{batch_id:08d}"
+    make_folder(spark, f"{notes}/{start}{value}")
+    return value
 
 
 def ingest_stream(
@@ -37,20 +53,38 @@ def ingest_stream(
     glob: str,
     bronze_path: str,
     checkpoint: str,
-    schema: T.StructType = RAW_SCHEMA,
+    name: str,
+    raw_root: str | None = None,
+    schema: T.StructType | None = None,
     max_bytes: str | None = None,
 ) -> StreamingQuery:
-    """Append all files not seen before, then stop.
+    """Append all files not seen before to the bronze table ``name``, then stop.
 
-    The file sink commits each micro-batch once, and the batch stamp is replayed with the
-    batch. A bronze path is fed either by this stream or by the batch job, not by both.
+    Each micro-batch is written to the partition of its own stamp, which replaces what an earlier attempt at the same batch has
+    written, and is registered then: readers by name, silver among them, see whole batches only. Micro-batches of one
+    run count as one load where the newest row of an id is chosen.
+
+    Columns are those of ``schema``, or the declared ones and the fields that landings under ``raw_root`` have noted;
+    all other values are kept in ``UNFIT``. The batch job may follow the stream, and the other way round when
+    the stream's checkpoint is new to none of the files; not both at once.
     """
-    rows = raw_stream(spark, glob, schema, cfg.folders_per_batch, max_bytes)
-    return (
-        rows.withColumn("DTPROC", current_run_stamp(cfg.zone))
-        .writeStream.format("parquet")
-        .partitionBy("DTPROC")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(bronze_path)
-    )
+    if schema is None:
+        schema = row_schema(spark, noted_fields(spark, raw_root) if raw_root else [])
+    full = T.StructType([*schema.fields, BRONZE_SCHEMA[UNFIT], BRONZE_SCHEMA["DTPROC"]])
+    table = ensure_table(spark, name, bronze_path, full, "DTPROC")
+    have = {c.lower() for c in table.columns}
+    add_columns(spark, name, [f for f in full if f.name.lower() not in have])
+    notes = f"{bronze_path.rstrip('/')}_batches"
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        query_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        stamp = batch_partition(session, notes, query_id, batch_id, cfg.stamp)
+        rows = record_columns(session, batch, schema)
+        rows.write.mode("overwrite").parquet(f"{bronze_path}/DTPROC={stamp}")
+        # In the caller's session, which may have listed the files of an earlier attempt.
+        refresh_partitions(spark, name, "DTPROC", [stamp])
+
+    lines = raw_stream(spark, glob, cfg.folders_per_batch, max_bytes)
+    writer = lines.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
