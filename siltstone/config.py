@@ -12,7 +12,8 @@ class RunConfig:
     """Every clock value of a run comes from ``run_ts``, so a run can be repeated exactly.
 
     ``pages_per_folder`` and ``folders_per_batch`` shape file counts only; raise them with
-    the volume of the feed.
+    the volume of the feed. A job puts the small files of a partition that it wrote together
+    when there are ``small_files`` of them.
     """
 
     run_ts: datetime
@@ -20,6 +21,7 @@ class RunConfig:
     folder_prefix: str = "feedpage"
     pages_per_folder: int = 10
     folders_per_batch: int = 10
+    small_files: int = 32
     lookback_days: int = 7
 
     def __post_init__(self) -> None:

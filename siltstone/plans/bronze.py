@@ -16,7 +16,8 @@ from siltstone.scratch import materialize
 from siltstone.sources.fields import noted_fields, record_columns, row_schema
 from siltstone.sources.json_folders import list_folders, period_lines
 from siltstone.sources.listing import partition_values
-from siltstone.sources.tables import add_columns, append_batch, ensure_table, read_path, refresh_partitions
+from siltstone.sources.swaps import partitions_of
+from siltstone.sources.tables import add_columns, append_batch, compact, ensure_table, read_path, refresh_partitions
 
 
 def processed_folders(
@@ -32,9 +33,10 @@ def processed_folders(
     if known:
         ledger = read_path(spark, ledger_path, LEDGER_SCHEMA)
         folders = ledger.filter(F.col("period") == period).select("folder")
-    lost = sorted(set(partition_values(spark, bronze_path, "DTPROC")) - set(known))
+    batches = partitions_of(spark, bronze_path, "DTPROC")
+    lost = sorted(set(batches) - set(known))
     if lost:
-        paths = [f"{bronze_path}/DTPROC={stamp}" for stamp in lost]
+        paths = [f"{bronze_path}/{batches[stamp]}" for stamp in lost]
         labels = spark.read.schema(BRONZE_SCHEMA).parquet(*paths).select("PAGE").distinct()
         folders = folders.union(labels.filter("PAGE IS NOT NULL").select(label_folder(cfg.folder_prefix, "PAGE")))
     return folders
@@ -75,7 +77,7 @@ def bronze_run(
     pending = state.filter("processed = 0").select("folder")
     total, count = state.agg(F.count(F.lit(1)), F.count_if(F.col("processed") == 0)).first()
     if count:
-        stamp = batch_stamp(cfg, partition_values(spark, bronze_path, "DTPROC"))
+        stamp = batch_stamp(cfg, list(partitions_of(spark, bronze_path, "DTPROC")))
         lines = period_lines(spark, raw_root, period)
         if count < total:
             lines = lines.join(pending, "folder", "left_semi")
@@ -89,4 +91,5 @@ def bronze_run(
     add_columns(spark, name, [f for f in table_schema if f.name.lower() not in have])
     if count:
         refresh_partitions(spark, name, "DTPROC", [stamp])
+        compact(spark, name, bronze_path, "DTPROC", [stamp], least=cfg.small_files)
     return count

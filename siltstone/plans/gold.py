@@ -14,13 +14,17 @@ from siltstone.functions.stamps import instant_day_between, month_start, wall_cl
 from siltstone.operators.bounds import read_bound
 from siltstone.operators.map_pivot import json_columns_to_maps, known_names, map_pivot
 from siltstone.schemas import GOLD_BASE_SCHEMA
-from siltstone.sources.tables import ensure_table, read_table, save_merged
+from siltstone.sources.swaps import tracked_range
+from siltstone.sources.tables import compact, ensure_table, read_table, save_merged, table_path
 
 
 def gold_start(cfg: RunConfig, gold: DataFrame, silver: DataFrame) -> date:
-    """Month start of gold's newest ingestion, of silver's oldest when gold is empty."""
-    for frame, pick in ((gold, F.max), (silver, F.min)):
-        day = frame.agg(wall_clock(pick("dateIngestion"), cfg.zone).cast("date").alias("d"))
+    """Month start of gold's newest ingestion, of silver's oldest when gold is empty.
+
+    Both come as one row with the range of a table's ingestion times, which its summaries hold.
+    """
+    for frame, pick in ((gold, "hi"), (silver, "lo")):
+        day = frame.select(wall_clock(pick, cfg.zone).cast("date").alias("d"))
         start = read_bound(day.select(month_start("d").alias("start")), "start")
         if start is not None:
             return start
@@ -72,6 +76,11 @@ def save_gold(
     """
     silver = read_table(spark, silver_name)
     gold = ensure_table(spark, name, path, GOLD_BASE_SCHEMA, "dt")
-    chosen = silver_range(silver, cfg, gold_start(cfg, gold, silver))
+    ingested = tracked_range(gold, path, "dt", "dateIngestion")
+    source = tracked_range(silver, table_path(spark, silver_name), "dt", "dateIngestion")
+    chosen = silver_range(silver, cfg, gold_start(cfg, ingested, source))
     rows = gold_rows(chosen, cfg, json_columns, mode, max_keys, gold.schema)
-    return save_merged(rows, name, path, GOLD_BASE_SCHEMA, ["id", "dt"], own=[cfg.period])
+    keys, tracked = ["id", "dt"], ["dateIngestion"]
+    written = save_merged(rows, name, path, GOLD_BASE_SCHEMA, keys, own=[cfg.period], tracked=tracked)
+    compact(spark, name, path, "dt", written, least=cfg.small_files, keys=keys, tracked=tracked)
+    return written

@@ -12,7 +12,7 @@ from siltstone.scratch import materialize
 from siltstone.sources.envelopes import read_pages
 from siltstone.sources.fields import note_fields
 from siltstone.sources.json_folders import list_folders, newest_folders, write_lines
-from siltstone.sources.listing import partition_values
+from siltstone.sources.listing import make_folder, partition_values
 from siltstone.sources.tables import append_batch
 
 
@@ -67,15 +67,16 @@ def raw_ingestion(
     items = F.when(F.col("page") >= resume, F.col("items")).alias("items")
     pages = read_pages(spark, landing_path, multi_line).select("page", "totalPages", items, "n_items", "fields", "bad")
     pages = materialize(pages, "pages")
-    n_bad = pages.agg(F.count("bad")).first()[0]
+    is_good = F.col("bad").isNull()
+    n_bad, total, last = pages.agg(
+        F.count("bad"), F.max(F.when(is_good, F.col("totalPages"))), F.max(F.when(is_good, F.col("page")))).first()
     if reject_path is not None:
         bad = pages.filter("bad IS NOT NULL").select("page", F.col("bad").alias("text"), F.lit(cfg.stamp).alias("stamp"))
         append_batch(bad, reject_path, "stamp")
     elif n_bad:
         raise ValueError(f"{n_bad} malformed pages in {landing_path}; name a reject path to go on without them")
-    good = pages.filter("bad IS NULL")
-    counts = good.groupBy("page").agg(F.sum("n_items").alias("n_items"), F.max("totalPages").alias("total_pages"))
-    total, last = counts.agg(F.max("total_pages"), F.max("page")).first()
+    good = pages.filter(is_good)
+    counts = good.groupBy("page").agg(F.sum("n_items").alias("n_items"))
     if total is not None and n_bad:
         # A rejected last page closes no group, so the last good one does.
         total = min(total, last)
@@ -148,12 +149,10 @@ def first_gap(spark: SparkSession, raw_root: str, prefix: str) -> int | None:
     for period in sorted(periods):
         listed = list_folders(spark, raw_root, period)
         there = listed if there is None else there.unionByName(listed)
-    held = materialize(notes.join(there, ["period", "folder"], "left_semi"), "held")
-    lost = notes.join(there, ["period", "folder"], "left_anti")
-    gaps = materialize(uncovered(lost, held), "gaps")
-    first = gaps.agg(F.min("from_page")).first()[0]
-    done = stamps if first is None else []
-    if done:
-        marks = spark.createDataFrame([(0, s) for s in done], "closed int, stamp string")
-        append_batch(marks, closed_path, "stamp")
+    lost = materialize(notes.join(there, ["period", "folder"], "left_anti"), "lost")
+    held = notes.join(there, ["period", "folder"], "left_semi")
+    first = None if lost.isEmpty() else uncovered(lost, held).agg(F.min("from_page")).first()[0]
+    if first is None:
+        for stamp in stamps:
+            make_folder(spark, f"{closed_path}/stamp={stamp}")
     return first

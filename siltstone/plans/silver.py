@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,30 +14,30 @@ from siltstone.functions.stamps import (
     month_start,
     parse_date,
     parse_instant,
-    stamp_day,
     stamp_text_between,
     wall_clock,
 )
-from siltstone.operators.bounds import lower_bound, read_bound
+from siltstone.operators.bounds import read_bound
 from siltstone.operators.columns import rename_cast
 from siltstone.operators.latest import latest_per_key, total_order
 from siltstone.operators.merge import split_null_keys
 from siltstone.schemas import PUBLICATION_FORMAT, RENAMES, SILVER_SCHEMA, STAMP_LENGTH
 from siltstone.sources.listing import partition_values
-from siltstone.sources.tables import append_batch, ensure_table, read_table, save_merged
+from siltstone.sources.swaps import tracked_range
+from siltstone.sources.tables import append_batch, compact, ensure_table, read_table, save_merged
 
 
-def silver_start(
-    spark: SparkSession, cfg: RunConfig, silver: DataFrame | None, bronze: DataFrame
-) -> date:
-    """Month start of silver's newest ingestion; of bronze's oldest batch when silver is empty."""
-    if silver is not None:
-        newest = silver.agg(wall_clock(F.max("dateIngestion"), cfg.zone).cast("date").alias("d"))
-        start = read_bound(newest.select(month_start("d").alias("start")), "start")
-        if start is not None:
-            return start
-    oldest = bronze.agg(lower_bound(None, stamp_day(F.min("DTPROC"))).alias("start"))
-    return read_bound(oldest, "start") or cfg.default_start
+def silver_start(cfg: RunConfig, ingested: DataFrame, batches: Sequence[str]) -> date:
+    """Month start of silver's newest ingestion; of bronze's oldest batch when silver is empty.
+
+    ``ingested`` is one row with the range of silver's ingestion times, ``batches`` are the stamps of bronze: both are
+    metadata, no column is scanned for the bound.
+    """
+    newest = ingested.select(wall_clock("hi", cfg.zone).cast("date").alias("d"))
+    start = read_bound(newest.select(month_start("d").alias("start")), "start")
+    if start is not None:
+        return start
+    return date(int(batches[0][:4]), int(batches[0][4:6]), 1) if batches else cfg.default_start
 
 
 def newest_first(df: DataFrame) -> list[Column]:
@@ -99,11 +100,12 @@ def save_silver(
     """
     bronze = read_table(spark, bronze_name)
     silver = ensure_table(spark, name, path, SILVER_SCHEMA, "dt")
-    start = silver_start(spark, cfg, silver, bronze)
+    batches = batches_of(spark, bronze_name)
+    start = silver_start(cfg, tracked_range(silver, path, "dt", "dateIngestion"), batches)
     ledger_path = ledger_path or f"{path.rstrip('/')}_batches"
     taken = set(partition_values(spark, ledger_path, "DTPROC"))
     upto = f"{cfg.run_date:%Y%m%d}_999999"
-    missing = [b for b in batches_of(spark, bronze_name) if b not in taken and b <= upto]
+    missing = [b for b in batches if b not in taken and b <= upto]
     if taken and missing:
         day = missing[0][:8]
         start = min(start, date(int(day[:4]), int(day[4:6]), int(day[6:])))
@@ -113,7 +115,9 @@ def save_silver(
         append_batch(typed_rows(rejects, cfg, "DTPROC"), reject_path, "DTPROC")
     rows = silver_rows(bronze, cfg, start)
     # Newest per id: unique by construction.
-    written = save_merged(rows, name, path, SILVER_SCHEMA, ["id"], own=[cfg.period], unique_source=True)
+    tracked = ["dateIngestion"]
+    written = save_merged(rows, name, path, SILVER_SCHEMA, ["id"], own=[cfg.period], unique_source=True, tracked=tracked)
+    compact(spark, name, path, "dt", written, least=cfg.small_files, keys=["id"], tracked=tracked)
     if missing:
         entries = spark.createDataFrame([(b, cfg.stamp) for b in missing], "DTPROC string, run string")
         append_batch(entries, ledger_path, "DTPROC")

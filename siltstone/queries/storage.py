@@ -178,7 +178,7 @@ def evolved_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_PER_DAY)
 def compacted_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Many small files per partition rewritten at the advisory size."""
+    """Many small files per partition put together, by their sizes."""
     path = new_folder(spark, "compacted")
     db = new_database(spark, path)
     name = f"{db}.daily"

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltstone.operators.columns import quoted
 from siltstone.schemas import RAW_SCHEMA, UNFIT
 from siltstone.sources.listing import partition_values
 from siltstone.sources.tables import append_batch
@@ -65,45 +66,43 @@ def record_columns(spark: SparkSession, lines: DataFrame, schema: T.StructType,
     ``PAGE`` is the last key of that name, which the landing appends to an item's own. Rows whose keys are
     exactly the columns' names take a short way: one look into the map for each column.
     """
-    fold = F.lower if _fold(spark, "A") == "a" else (lambda c: c)
+    # As SQL text, which the session parses at once: there are several expressions for every column.
+    fold = (lambda text: f"lower({text})") if _fold(spark, "A") == "a" else (lambda text: text)
     reserved = {_fold(spark, r) for r in RESERVED}
     items = [f for f in schema.fields if f.name != "PAGE"]
-    source = {f.name: f.name.removeprefix("item_") if _fold(spark, f.name.removeprefix("item_")) in reserved else f.name for f in items}
-    key = {f.name: _fold(spark, source[f.name]) for f in items}
-
-    rows = lines.filter(F.trim("value") != "").select(F.from_json("value", "map<string,string>").alias("m"), "value", *carry)
-    keys = F.map_keys("m")
-    plain = F.array(F.lit("PAGE"), *[F.lit(source[f.name]) for f in items if source[f.name] == f.name])
-    rows = rows.withColumn("odd", (F.size(F.array_except(keys, plain)) > 0) | (F.size(keys) != F.size(F.array_distinct(keys))))
-    from_end = F.array_position(F.reverse(keys), "PAGE")
-    entries = F.map_entries("m")
-    others = F.filter(entries, lambda e, i: i + from_end != F.size(entries))
-    rows = rows.withColumn("rest", F.when(F.col("odd"), others))
-    page = F.try_element_at(F.filter(entries, lambda e: e["key"] == "PAGE"), F.lit(-1))["value"]
-    page = F.when(F.col("odd"), page).otherwise(F.col("m")["PAGE"])
-
-    def text(field: T.StructField) -> Column:
+    bare = [f.name.removeprefix("item_") for f in items]
+    source = [b if _fold(spark, b) in reserved else f.name for b, f in zip(bare, items)]
+    plain = ["PAGE", *(n for n, f in zip(source, items) if n == f.name)]
+
+    def look(field: T.StructField, name: str) -> str:
         """The exact name's first value, else that of another spelling."""
-        same = F.filter("rest", lambda e: (fold(e["key"]) == key[field.name]) & e["value"].isNotNull())
-        exact = F.filter(same, lambda e: e["key"] == source[field.name])
-        found = F.coalesce(F.try_element_at(exact, F.lit(1)), F.try_element_at(same, F.lit(1)))["value"]
-        usual = F.col("m")[source[field.name]] if source[field.name] == field.name else F.lit(None).cast("string")
-        return F.when(F.col("odd"), found).otherwise(usual)
-
-    rows = rows.withColumn("texts", F.struct(*[text(f).alias(f"c{i}") for i, f in enumerate(items)]))
-    texts = [F.col(f"texts.c{i}") for i in range(len(items))]
-    values = [t if isinstance(f.dataType, T.StringType) else t.try_cast(f.dataType) for f, t in zip(items, texts)]
+        first = "try_element_at(filter(rest, e -> {} AND e.value IS NOT NULL), 1).value"
+        exact, same = f"e.key = {_literal(name)}", f"{fold('e.key')} = {_literal(_fold(spark, name))}"
+        usual = f"m[{_literal(name)}]" if name == field.name else "CAST(NULL AS string)"
+        return f"CASE WHEN odd THEN coalesce({first.format(exact)}, {first.format(same)}) ELSE {usual} END"
+
+    rows = lines.filter(F.trim("value") != "").select(F.expr("from_json(value, 'map<string,string>')").alias("m"), "value", *carry)
+    rows = rows.selectExpr(
+        "*", f"size(array_except(map_keys(m), array({', '.join(map(_literal, plain))}))) > 0 "
+        "OR size(map_keys(m)) != size(array_distinct(map_keys(m))) AS odd")
+    # The last key of that name is the landing's own.
+    rows = rows.selectExpr(
+        "*", "CASE WHEN odd THEN filter(map_entries(m), (e, i) -> i + array_position(reverse(map_keys(m)), 'PAGE') != size(m)) END AS rest",
+        "CASE WHEN odd THEN try_element_at(filter(map_entries(m), e -> e.key = 'PAGE'), -1).value ELSE m['PAGE'] END AS page")
+    rows = rows.selectExpr("*", *[f"{look(f, n)} AS c{i}" for i, (f, n) in enumerate(zip(items, source))])
+    strict = [(i, f) for i, f in enumerate(items) if not isinstance(f.dataType, T.StringType)]
+    typed = {f.name: f"try_cast(c{i} AS {f.dataType.simpleString()})" for i, f in strict}
+    misfit = " OR ".join(f"(c{i} IS NOT NULL AND {typed[f.name]} IS NULL)" for i, f in strict) or "false"
     # A text counts as held when its column has a value.
-    held = F.map_from_arrays(
-        F.array(*[F.lit(key[f.name]) for f in items]),
-        F.array(*[F.when(v.isNotNull(), t) for v, t in zip(values, texts)]))
-    strict = [t.isNotNull() & v.isNull() for f, v, t in zip(items, values, texts) if not isinstance(f.dataType, T.StringType)]
-    misfit = F.lit(False)
-    for one in strict:
-        misfit = misfit | one
-    mine = lambda k, v: v.isNull() | ((k == "PAGE") & v.eqNullSafe(page)) | v.eqNullSafe(F.try_element_at(held, fold(k)))
-    left = F.map_filter("m", lambda k, v: ~mine(k, v))
-    unfit = F.when(F.col("m").isNull(), F.col("value"))
-    unfit = unfit.when(F.col("odd") | misfit, F.when(F.size(left) > 0, F.to_json(left)))
-    by_name = {f.name: v.alias(f.name) for f, v in zip(items, values)} | {"PAGE": page.alias("PAGE")}
-    return rows.select(*[by_name[n] for n in schema.names], unfit.alias(UNFIT), *carry)
+    held = ", ".join(
+        f"{_literal(_fold(spark, n))}, " + (f"IF({typed[f.name]} IS NULL, NULL, c{i})" if f.name in typed else f"c{i}")
+        for i, (f, n) in enumerate(zip(items, source)))
+    rows = rows.selectExpr("*", f"CASE WHEN odd OR {misfit} THEN map({held}) END AS held")
+    left = f"map_filter(m, (k, v) -> v IS NOT NULL AND NOT (k = 'PAGE' AND v <=> page) AND NOT (v <=> try_element_at(held, {fold('k')})))"
+    unfit = f"CASE WHEN m IS NULL THEN value WHEN held IS NOT NULL AND size({left}) > 0 THEN to_json({left}) END AS {UNFIT}"
+    by_name = {f.name: f"{typed.get(f.name, f'c{i}')} AS {quoted(f.name)}" for i, f in enumerate(items)}
+    return rows.selectExpr(*[by_name.get(n, f"page AS {n}") for n in schema.names], unfit, *map(quoted, carry))
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

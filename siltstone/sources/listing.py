@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -23,12 +25,42 @@ def make_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that has its name only when it is whole; an error if there is one of that name."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}.tmp")
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = files.create(draft)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if files.exists(target) or not files.rename(draft, target):
+        files.delete(draft, False)
+        raise FileExistsError(path)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a file or a folder and what is in it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the visible entries of a folder, as Spark reads them."""
+    return [name for name in child_names(spark, path) if name[:1] not in ("_", ".")]
+
+
 def partition_values(spark: SparkSession, path: str, partition: str) -> list[str]:
     """Values of the first partition level of a table's path."""
     start = f"{partition}="

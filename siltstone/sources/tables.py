@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.operators.columns import conform, named, quoted, spelled_as
 from siltstone.operators.merge import merge_upsert, require_unique
 from siltstone.scratch import materialize
-from siltstone.sources.listing import partition_values
+from siltstone.sources import swaps
+from siltstone.sources.listing import data_files
+
+#: Size of a file that compaction aims at.
+FILE_BYTES = 128 << 20
 
 
 def create_database(spark: SparkSession, db: str, location: str | None = None) -> None:
@@ -29,6 +34,11 @@ def path_schema(spark: SparkSession, path: str, merge: bool = True) -> T.StructT
 
     Without ``merge`` one file footer is read instead of all.
     """
+    listing = swaps.current(spark, path)
+    if listing.number:
+        folders = [f"{path}/{f}" for f in swaps.partitions_of(spark, path, listing.partition, listing).values()]
+        found = spark.read.option("mergeSchema", merge).parquet(*folders).schema if folders else T.StructType()
+        return found if listing.partition in found.names else found.add(listing.partition, T.StringType())
     try:
         return spark.read.option("mergeSchema", merge).parquet(path).schema
     except AnalysisException as error:
@@ -37,12 +47,23 @@ def path_schema(spark: SparkSession, path: str, merge: bool = True) -> T.StructT
         raise
 
 
+def table_path(spark: SparkSession, name: str) -> str:
+    """Where the files of a registered table are."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
+    return rows[-1]["data_type"].rstrip("/")
+
+
 def has_table(spark: SparkSession, path: str) -> bool:
     return path_schema(spark, path, merge=False) is not None
 
 
 def read_path(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Scan by path. With ``schema`` no file is opened for inference and text partitions stay text."""
+    """Scan by path. With ``schema`` no file is opened for inference and text partitions stay text.
+
+    Of a merged table the partitions in force are read, all of one state.
+    """
+    if swaps.current(spark, path).number:
+        return swaps.scan_current(spark, path, path_schema(spark, path) if schema is None else schema)
     if schema is None:
         return spark.sql(f"SELECT * FROM parquet.{quoted(path)}")
     return spark.read.schema(schema).parquet(path)
@@ -75,7 +96,7 @@ def ensure_table(
     """The table, registered over ``path`` if the catalog does not know it.
 
     On registration over existing files the columns of earlier runs are found in their
-    footers (once); afterwards the catalog holds the schema.
+    footers (once); afterwards the catalog holds the schema. An exchange of partitions that was cut short is finished.
     """
     if not table_exists(spark, name):
         db = name.rpartition(".")[0]
@@ -87,8 +108,11 @@ def ensure_table(
         names = {fold(n) for n in schema.names}
         extra = [f for f in found or [] if fold(f.name) not in names]
         create_external(spark, name, path, T.StructType([*schema.fields, *extra]), partition)
-        if found is not None:
+        if swaps.current(spark, path).number:
+            swaps.set_locations(spark, name, path, partition, swaps.partitions_of(spark, path, partition))
+        elif found is not None:
             refresh_partitions(spark, name)
+    swaps.finish_swap(spark, name, path, partition)
     return spark.table(name)
 
 
@@ -133,37 +157,58 @@ def append_batch(df: DataFrame, path: str, partition: str) -> None:
     _write_partitions(df, path, partition)
 
 
-def compact(spark: SparkSession, name: str, path: str, partition: str, values: Sequence[str]) -> None:
-    """Rewrite the files of the given partitions at the advisory size."""
-    rows = spark.table(name).filter(named(partition).isin(list(values)))
-    staged = materialize(rows, "compact", split_by=partition)
-    apply_partitions(staged, name, path, partition, values)
-
+def small_file_bins(
+    spark: SparkSession, name: str, path: str, partition: str, values: Sequence[str], target: int = FILE_BYTES, least: int = 4
+) -> DataFrame:
+    """``partition, file, size, bin``: files below half the target size, where a partition has ``least`` of them or more.
 
-def apply_partitions(
-    staged: DataFrame,
-    name: str,
-    path: str,
-    partition: str,
-    values: Sequence[str],
-    may_be_empty: Sequence[str] = (),
-) -> None:
-    """Make the partitions ``values`` hold exactly their staged rows; others are not touched.
+    A bin holds files of about the target size together: its number is the running size over the target, so bins need no more
+    than one ordering of a partition's small files. Sizes come from the file listing, no file is opened.
+    """
+    folders = swaps.partitions_of(spark, path, partition)
+    chosen = [f"{path}/{folders[v]}" for v in values if v in folders]
+    kind = "path string, modificationTime timestamp, length long, content binary"
+    if not chosen:
+        return spark.createDataFrame([], f"{quoted(partition)} string, file string, size bigint, bin bigint")
+    files = spark.read.schema(kind).format("binaryFile").option("recursiveFileLookup", True).load(chosen)
+    value = F.regexp_extract("path", f"/{re.escape(partition)}=([^/]*)/[^/]*$", 1)
+    files = files.select(F.url_decode(value).alias(partition), F.col("path").alias("file"), F.col("length").alias("size"))
+    small = files.filter(F.col("size") < target // 2)
+    many = small.groupBy(partition).count().filter(F.col("count") >= least).select(partition)
+    order = Window.partitionBy(partition).orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("size").over(order), F.lit(0))
+    return small.join(many, partition, "left_semi").withColumn("bin", F.floor(before / F.lit(target)).cast("bigint"))
+
+
+def compact(
+    spark: SparkSession, name: str, path: str, partition: str, values: Sequence[str],
+    target: int = FILE_BYTES, least: int = 4, keys: Sequence[str] = (), tracked: Sequence[str] = (),
+) -> list[str]:
+    """Put the small files of the given partitions together, about ``target`` bytes to a file; returns the partitions changed.
 
-    Dynamic overwrite leaves a partition without new rows as it was, so those of
-    ``may_be_empty`` that got none are emptied. The call may be repeated with the same staged
-    rows, for instance after a lost driver.
+    A partition whose small files are fewer than ``least`` is left. The rows of a changed one are written once to new
+    files, one task for each bin of small files; its large files are read in full size.
     """
-    spark = staged.sparkSession
-    _write_partitions(staged, path, partition)
-    if may_be_empty:
-        candidates = staged.filter(named(partition).isin(list(may_be_empty))).select(partition)
-        filled = {r[0] for r in candidates.distinct().collect()}
-        for value in sorted(set(may_be_empty) - filled):
-            empty = staged.drop(partition).limit(0)
-            empty.write.mode("overwrite").parquet(f"{path}/{partition}={value}")
-    written = set(partition_values(spark, path, partition))
-    refresh_partitions(spark, name, partition, [v for v in values if v in written])
+    folders = swaps.partitions_of(spark, path, partition)
+    values = [v for v in values if v in folders and len(data_files(spark, f"{path}/{folders[v]}")) >= least]
+    if not values:
+        return []
+    bins = materialize(small_file_bins(spark, name, path, partition, values, target, least), "bins")
+    changed = sorted(r[0] for r in bins.select(partition).distinct().collect())
+    if not changed:
+        return []
+    rows = spark.table(name).filter(named(partition).isin(changed))
+    columns = rows.columns
+    listed = bins.select(F.regexp_extract("file", "[^/]*$", 0).alias("__small"), F.col(partition).alias("__of"), F.col("bin").alias("__bin"))
+    rows = rows.withColumn("__file", F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), "[^/]*$", 0)))
+    same = (F.col("__file") == F.col("__small")) & (named(partition) == F.col("__of"))
+    met = rows.join(listed, same, "left")
+    # A large file is a bin of its own.
+    spread = met.withColumn("__at", F.coalesce(F.col("__bin").cast("string"), F.col("__file")))
+    packed = spread.hint("rebalance", partition, "__at").select(*map(named, columns))
+    folders = swaps.write_version(packed, path, partition, False, keys, tracked)
+    swaps.swap(spark, name, path, partition, folders)
+    return changed
 
 
 def _touched(
@@ -192,6 +237,7 @@ def save_merged(
     partition: str = "dt",
     own: Sequence[str] | None = None,
     unique_source: bool = False,
+    tracked: Sequence[str] = (),
 ) -> list[str]:
     """Upsert ``source`` into the table and return the partitions rewritten.
 
@@ -200,11 +246,11 @@ def save_merged(
 
     ``own`` names the partitions the source rows go to, if the caller knows them. When no
     target row can match, because the table or (with the partition in the key) these
-    partitions are new, the rows are written in one pass.
+    partitions are new, nothing of the target is read.
 
-    Otherwise only partitions that hold a matched key or receive a row are read in full and
-    rewritten; they are found from the key columns alone. The merged rows are complete in
-    the shared folder before the table is touched.
+    Otherwise only partitions that hold a matched key or receive a row are read in full. They are found from the key
+    columns of those that can hold a key of the source by their summary (``swaps.py``); no other partition is opened. The
+    merged rows are written once and take effect by metadata. The summary keeps the range of ``tracked`` columns.
     """
     spark = source.sparkSession
     target = ensure_table(spark, name, path, schema, partition)
@@ -214,21 +260,26 @@ def save_merged(
         require_unique(source, keys)
     add_columns(spark, name, [f for f in source.schema if f.name not in target.columns])
     target = spark.table(name)
-    existing = set(partition_values(spark, path, partition))
+    existing = set(swaps.partitions_of(spark, path, partition))
     if own is not None and not (existing & set(own) if partition in keys else existing):
-        apply_partitions(conform(source, target.schema), name, path, partition, own)
-        return sorted(own)
-
-    if unique_source:
-        source = materialize(source, "source")
-    own, others = _touched(source, target, keys, partition)
-    # Tables made by this function hold a key once.
-    rows = merge_upsert(target.filter(named(partition).isin(own + others)), source, keys, unique_target=True)
-    values = sorted(own + others)
-    split_by = partition if len(values) > 1 else None
-    staged = materialize(conform(rows, target.schema), "merged", split_by)
-    apply_partitions(staged, name, path, partition, values, may_be_empty=others)
-    return values
+        rows, others = source, []
+        own = sorted(own)
+    else:
+        if unique_source:
+            source = materialize(source, "source")
+        if partition not in keys:
+            possible = swaps.partitions_with_keys(source, target.schema, path, partition, keys)
+            own, others = _touched(source, target.filter(named(partition).isin(possible)), keys, partition)
+        else:
+            own, others = _touched(source, target, keys, partition)
+        # Tables made by this function hold a key once.
+        rows = merge_upsert(target.filter(named(partition).isin(own + others)), source, keys, unique_target=True)
+    rows = conform(rows, target.schema)
+    folders = swaps.write_version(rows, path, partition, len(own + others) > 1, keys, tracked)
+    emptied = {v: "" for v in others if v not in folders}
+    if folders or emptied:
+        swaps.swap(spark, name, path, partition, folders | emptied)
+    return sorted(own + others)
 
 
 def merge_into(source: DataFrame, name: str, keys: Sequence[str]) -> None:

@@ -40,6 +40,8 @@ def upsert_stream(
         rivals = keyed.unionByName(conform(held, batch.schema))
         newest = latest_per_key(rivals, keys, order(rivals)).unionByName(keyless)
         save_merged(newest, name, path, schema, keys, partition, unique_source=True)
+        # The caller's session may have listed the folders that were exchanged.
+        stream.sparkSession.catalog.refreshTable(name)
 
     return (
         stream.writeStream.foreachBatch(upsert)

@@ -197,15 +197,26 @@ def test_rows_without_id_are_added_each_run_or_rejected(layers, spark):
     assert spark.read.parquet(rejects).count() == 2
 
 
-def test_silver_start(layers, spark, folder):
-    bronze = spark.createDataFrame([("20231215_101010",), ("20240105_101010",)], "DTPROC string")
-    silver = ensure_table(spark, f"{layers.db}.s", f"{folder}/s", SILVER_SCHEMA, "dt")
-    run = cfg(1)
-    assert silver_start(spark, run, silver, bronze) == date(2023, 12, 1)
-    assert silver_start(spark, run, None, bronze.limit(0)) == date(2024, 1, 3)
+def test_silver_start(spark):
+    run, batches = cfg(1), ["20231215_101010", "20240105_101010"]
+    none = spark.createDataFrame([(None,)], "hi timestamp")
+    assert silver_start(run, none, batches) == date(2023, 12, 1)
+    assert silver_start(run, none, []) == date(2024, 1, 3)
     # 01:00 UTC on 1 February is still January on the feed's clock
-    late = spark.createDataFrame([(datetime(2024, 2, 1, 1, tzinfo=timezone.utc),)], "dateIngestion timestamp")
-    assert silver_start(spark, run, late, bronze) == date(2024, 1, 1)
+    late = spark.createDataFrame([(datetime(2024, 2, 1, 1, tzinfo=timezone.utc),)], "hi timestamp")
+    assert silver_start(run, late, batches) == date(2024, 1, 1)
+
+
+def test_jobs_put_small_files_together(layers, spark):
+    layers.land(cfg(1, pages_per_folder=1), {p: [item(p)] for p in range(1, 13)})
+    layers.load_bronze(cfg(1, small_files=4))
+    assert len(list(Path(layers.bronze).rglob("_v/*/DTPROC=*/*.parquet"))) == 1
+    assert layers.load_bronze(cfg(1, hour=16)) == 0
+    assert layers.table("bronze").count() == 12
+    layers.load_silver(cfg(1, small_files=2))
+    assert layers.table("silver").count() == 12
+    lost = f"{layers.root}/lost_ledger"
+    assert bronze_run(spark, cfg(1, hour=17), layers.raw, layers.bronze, lost, f"{layers.db}.bronze") == 0
 
 
 def test_gold_has_a_row_per_id_and_month_and_a_column_per_key(layers, spark):

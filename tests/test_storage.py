@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from siltstone.schemas import RAW_SCHEMA, SILVER_SCHEMA
 from siltstone.scratch import materialize, new_folder, scratch_root
-from siltstone.sources import json_folders, tables
+from siltstone.sources import json_folders, swaps, tables
+from siltstone.sources.listing import child_names
 from siltstone.sources.envelopes import flatten_items, parse_records, read_envelopes
 
 DAILY = T.StructType(
@@ -133,30 +134,144 @@ def test_merge_leaves_other_partitions_untouched(spark, db, folder):
     name, path = f"{db}.news", f"{folder}/news"
     save = lambda data: tables.save_merged(daily(spark, data), name, path, DAILY, ["id", "dt"])
     save([(1, "a", "202401"), (None, "n", "202402")])
-    before = {p: p.stat().st_mtime_ns for p in data_files(f"{path}/dt=202401")}
+    before = swaps.current(spark, path).folders["202401"]
+    files = {p: p.stat().st_mtime_ns for p in data_files(f"{path}/{before}")}
     assert save([(1, "a2", "202402"), (None, "n2", "202402")]) == ["202402"]
-    assert {p: p.stat().st_mtime_ns for p in data_files(f"{path}/dt=202401")} == before
+    assert swaps.current(spark, path).folders["202401"] == before
+    assert {p: p.stat().st_mtime_ns for p in data_files(f"{path}/{before}")} == files
     assert rows(spark.table(name)) == sorted(
         [(1, "a", "202401"), (1, "a2", "202402"), (None, "n", "202402"), (None, "n2", "202402")], key=repr)
 
 
-def test_staged_rows_can_be_applied_again(spark, db, folder):
+def test_merged_rows_are_written_once(spark, db, folder):
     name, path = f"{db}.news", f"{folder}/news"
-    tables.save_merged(daily(spark, [(1, "a", "202401"), (2, "b", "202402")]), name, path, DAILY, ["id"])
-    staged = materialize(daily(spark, [(1, "A", "202402"), (2, "b", "202402")]), "staged")
-    for _ in range(2):
-        tables.apply_partitions(staged, name, path, "dt", ["202401", "202402"], may_be_empty=["202401"])
-        assert rows(spark.table(name)) == [(1, "A", "202402"), (2, "b", "202402")]
+    save = lambda data: tables.save_merged(daily(spark, data), name, path, DAILY, ["id"], unique_source=True)
+    save([(k, "a", "202401") for k in range(50)])
+    save([(7, "b", "202402")])
+    versions = {f.split("/")[1] for f in swaps.current(spark, path).folders.values()}
+    assert len(versions) == 1 and set(child_names(spark, f"{path}/_v")) >= versions
+    # Every file is in a version folder: nothing was copied into place.
+    assert {p.relative_to(path).parts[0] for p in data_files(path)} == {"_v", "_k"}
 
 
-def test_compaction_keeps_rows_in_fewer_files(spark, db, folder):
+class Lost(Exception):
+    pass
+
+
+def test_driver_lost_between_two_partitions(spark, db, folder, monkeypatch):
+    name, path = f"{db}.news", f"{folder}/news"
+    save = lambda data: tables.save_merged(daily(spark, data), name, path, DAILY, ["id"])
+    save([(1, "a", "202401"), (2, "b", "202402"), (3, "c", "202403")])
+    reader = tables.read_path(spark, path, DAILY)
+    want = [(1, "A", "202404"), (2, "B", "202404"), (3, "c", "202403")]
+    real, seen = type(spark).sql, []
+
+    def sql(self, text, *args, **options):
+        if text.startswith("ALTER TABLE") and len(seen) == 2:
+            raise Lost
+        seen.extend([1] if text.startswith("ALTER TABLE") else [])
+        return real(self, text, *args, **options)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(spark), "sql", sql)
+        with pytest.raises(Lost):
+            save([(1, "A", "202404"), (2, "B", "202404")])
+    # Two of three partitions follow in the catalog; by path all of them took effect at once, and a reader from before can end.
+    assert rows(spark.table(name)) != want
+    assert rows(tables.read_path(spark, path, DAILY)) == want
+    assert rows(reader) == [(1, "a", "202401"), (2, "b", "202402"), (3, "c", "202403")]
+    tables.ensure_table(spark, name, path, DAILY, "dt")
+    assert rows(spark.table(name)) == want
+    tables.drop_registration(spark, name)
+    assert rows(tables.ensure_table(spark, name, path, DAILY, "dt")) == want
+
+
+def test_driver_lost_before_the_exchange_changes_nothing(spark, db, folder, monkeypatch):
+    name, path = f"{db}.news", f"{folder}/news"
+    save = lambda data: tables.save_merged(daily(spark, data), name, path, DAILY, ["id"])
+    save([(1, "a", "202401")])
+    with monkeypatch.context() as patch:
+        patch.setattr(swaps, "write_text", lambda *args: (_ for _ in ()).throw(Lost))
+        with pytest.raises(Lost):
+            save([(1, "A", "202402")])
+    assert rows(spark.table(name)) == rows(tables.read_path(spark, path, DAILY)) == [(1, "a", "202401")]
+    save([(1, "B", "202402")])
+    save([(1, "C", "202402")])
+    assert rows(spark.table(name)) == [(1, "C", "202402")]
+    # Folders of the lost attempt and of older states are gone.
+    assert len(child_names(spark, f"{path}/_v")) == 2 == len(child_names(spark, f"{path}/_k"))
+
+
+def test_table_from_before_the_lists_is_taken_over(spark, db, folder):
+    name, path = f"{db}.news", f"{folder}/news"
+    old = [(1, "a", "202401"), (2, "b", "202402")]
+    daily(spark, old).write.partitionBy("dt").parquet(path)
+    assert rows(tables.ensure_table(spark, name, path, DAILY, "dt")) == old
+    save = lambda data: tables.save_merged(daily(spark, data), name, path, DAILY, ["id"])
+    assert save([(1, "A", "202403")]) == ["202401", "202403"]
+    want = [(1, "A", "202403"), (2, "b", "202402")]
+    assert rows(spark.table(name)) == rows(tables.read_path(spark, path, DAILY)) == want
+    save([(3, "c", "202403")])
+    assert not Path(path, "dt=202401").exists() and Path(path, "dt=202402").exists()
+    assert rows(spark.table(name)) == [*want, (3, "c", "202403")]
+
+
+def test_merge_opens_only_partitions_that_can_hold_a_key(spark, db, folder, monkeypatch):
+    name, path = f"{db}.news", f"{folder}/news"
+    months = [f"2024{m:02d}" for m in range(1, 7)]
+    first = [(m * 100_000 + k, "a", month) for m, month in enumerate(months) for k in range(20)]
+    tables.save_merged(daily(spark, first), name, path, DAILY, ["id"])
+    opened = []
+    real = tables._touched
+    monkeypatch.setattr(tables, "_touched", lambda source, target, *rest: opened.append(target) or real(source, target, *rest))
+    got = tables.save_merged(daily(spark, [(200_003, "b", "202407"), (999_999_999, "n", "202407")]), name, path, DAILY, ["id"])
+    assert got == ["202403", "202407"]
+    assert {Path(f).parent.name for f in opened[0].inputFiles()} == {"dt=202403"}
+    assert rows(spark.table(name).filter("id in (200003, 999999999)")) == [(200_003, "b", "202407"), (999_999_999, "n", "202407")]
+
+
+@pytest.mark.parametrize("kind", ["string", "int"])
+def test_summaries_of_other_keys(spark, db, folder, kind):
+    name, path = f"{db}.news", f"{folder}/news"
+    schema = T.StructType([T.StructField("id", T.StringType() if kind == "string" else T.IntegerType()), *DAILY.fields[1:]])
+    save = lambda data: tables.save_merged(
+        daily(spark, data).withColumn("id", F.col("id").cast("string" if kind == "string" else "bigint")), name, path, schema, ["id"])
+    save([(-5, "a", "202401"), (5, "b", "202402"), (None, "n", "202402")])
+    assert save([(-5, "A", "202403")]) == ["202401", "202403"]
+    assert sorted(r[0] for r in spark.table(name).filter("id is not null").select("v").collect()) == ["A", "b"]
+
+
+def test_range_of_a_tracked_column(spark, db, folder):
+    name, path = f"{db}.news", f"{folder}/news"
+    daily(spark, [(9, "old", "202312")]).write.partitionBy("dt").parquet(path)
+    table = tables.ensure_table(spark, name, path, DAILY, "dt")
+    assert rows(swaps.tracked_range(table, path, "dt", "v")) == [("old", "old")]
+    tables.save_merged(daily(spark, [(1, "a", "202401"), (2, "z", "202402")]), name, path, DAILY, ["id"], tracked=["v"])
+    both = swaps.tracked_range(spark.table(name), path, "dt", "v")
+    assert rows(both) == [("a", "z")]
+    read = both.inputFiles()
+    assert all("/_k/" in f or "/dt=202312/" in f for f in read) and any("/_k/" in f for f in read)
+    assert rows(swaps.tracked_range(spark.table(name), path, "dt", "id")) == [(1, 9)]
+
+
+def test_compaction_puts_small_files_together(spark, db, folder):
     name, path = f"{db}.news", f"{folder}/news"
-    df = spark.range(200).select("id", F.lit("v").alias("v"), F.lit("202401").alias("dt"))
-    df.repartition(12).write.partitionBy("dt").parquet(path)
+    small = spark.range(200).select("id", F.lit("v").alias("v"), F.lit("202401").alias("dt"))
+    small.repartition(200, "id").write.partitionBy("dt").parquet(path)
+    large = spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"), F.lit("202401").alias("dt"))
+    large.coalesce(1).write.mode("append").partitionBy("dt").parquet(path)
     tables.ensure_table(spark, name, path, DAILY, "dt")
-    assert len(data_files(path)) == 12
-    tables.compact(spark, name, path, "dt", ["202401"])
-    assert len(data_files(path)) == 1 and spark.table(name).count() == 200
+    n = len(data_files(path))
+    assert n > 100
+    size = 1 << 20
+    bins = tables.small_file_bins(spark, name, path, "dt", ["202401"], size)
+    assert bins.count() == n - 1 and bins.agg(F.max("bin")).first()[0] <= 1
+    before = rows(spark.table(name).groupBy("dt").agg(F.count("*"), F.sum(F.hash("id", "v"))))
+    assert tables.compact(spark, name, path, "dt", ["202401", "202402"], size) == ["202401"]
+    now = data_files(f"{path}/{swaps.current(spark, path).folders['202401']}")
+    assert len(now) <= 12
+    assert rows(spark.table(name).groupBy("dt").agg(F.count("*"), F.sum(F.hash("id", "v")))) == before
+    assert tables.compact(spark, name, path, "dt", ["202401"], size, least=len(now) + 1) == []
 
 
 def test_batch_append_is_repeatable(spark, folder):
