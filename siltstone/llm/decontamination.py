@@ -12,10 +12,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.llm.names import unused
 from siltstone.scratch import materialize
 
 #: Fixed masks: offsets of the words that count. Any five-word run of equal words is hit by the first.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 4, 6), (0, 2, 3, 5, 6), (0, 1, 4, 5, 7))
+#: Masks for items of fewer than ``SHORT`` words, which need not keep five words of a mask: with a fifth of the words
+#: substituted, one of these still hits at some place (from ``SHORT`` words on one of ``MASKS`` does).
+SHORT_MASKS = ((0, 1, 2), (0, 1, 3))
+SHORT = 12
 WINDOW = 25
 SIMILARITY = 0.8
 #: Seeds of the benchmark are broadcast up to so many rows of 32 bytes; beyond, both sides are shuffled.
@@ -27,14 +32,14 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", -1), "")
 
 
-def seeds_of(rows: DataFrame, *keep: str) -> DataFrame:
+def seeds_of(rows: DataFrame, masks: tuple[tuple[int, ...], ...], *keep: str) -> DataFrame:
     """For each word of the column ``words`` and each mask a row of ``keep``, ``at``, ``mask`` and ``seed``.
 
     The words are exploded beside their array and hashed from it, which Spark compiles into one
     loop. Where a mask reaches beyond the text its seed covers fewer words.
     """
     words, at = F.col("words"), F.col("at")
-    hashes = [F.xxhash64(F.lit(m), *[F.get(words, at + F.lit(o)) for o in mask]) for m, mask in enumerate(MASKS)]
+    hashes = [F.xxhash64(F.lit(m), *[F.get(words, at + F.lit(o)) for o in mask]) for m, mask in enumerate(masks)]
     return (
         rows.select(*keep, "words", F.posexplode("words").alias("at", "__word"))
         .select(*keep, "at", F.posexplode(F.array(*hashes)).alias("mask", "seed"))
@@ -63,12 +68,15 @@ def matches(
         benchmark.select(F.col(item_id_column).alias("item"), words_of(F.col(item_text_column)).alias("item_words"))
         .filter(F.size("item_words") > 0)
         .withColumn("item_row", F.monotonically_increasing_id()), "items")
-    size, at = F.col("n"), F.col("at")
-    reach = F.element_at(F.array(*[F.lit(m[-1]) for m in MASKS]), F.col("mask") + 1)
+    size, at, mask = F.col("n"), F.col("at"), F.col("mask")
+    short = not items.filter(F.size("item_words").between(len(MASKS[0]), SHORT - 1)).isEmpty()
+    masks = MASKS + SHORT_MASKS if short else MASKS
+    reach = F.element_at(F.array(*[F.lit(m[-1]) for m in masks]), mask + 1)
+    own = (mask < len(MASKS)) | size.between(len(MASKS[0]), SHORT - 1)
     item_seeds = (
-        seeds_of(items.select("item_row", F.size("item_words").alias("n"), F.col("item_words").alias("words")), "item_row", "n")
+        seeds_of(items.select("item_row", F.size("item_words").alias("n"), F.col("item_words").alias("words")), masks, "item_row", "n")
         # Whole masks only, but for items that are shorter than the first one.
-        .filter((at + reach < size) | ((size < len(MASKS[0])) & (at == 0) & (F.col("mask") == 0)))
+        .filter(((at + reach < size) & own) | ((size < len(MASKS[0])) & (at == 0) & (mask == 0)))
         .select("item_row", "seed", at.alias("item_at"))
         .distinct()
     )
@@ -77,7 +85,7 @@ def matches(
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = docs.select(F.col(id_column).alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     hits = (
-        seeds_of(rows.select("id", "text_hash", words_of(F.col("text")).alias("words")), "id", "text_hash")
+        seeds_of(rows.select("id", "text_hash", words_of(F.col("text")).alias("words")), masks, "id", "text_hash")
         .join(item_seeds, "seed")
         .select("id", "text_hash", "item_row", (F.col("at") - F.col("item_at")).alias("shift"))
         .distinct()
@@ -109,7 +117,8 @@ def contaminated(
     """One row per document and benchmark item found in it: ids, ``similarity`` and ``at``, the
     document's word where the item starts (below 0 if the item's start is cut off).
 
-    Null and empty texts and items contain nothing. Items shorter than five words are found only in
+    An item is found where at least 0.8 of its words (of a window of 25 in a longer one) stand in their places, for
+    every such pattern of substitutions in items of up to 25 words. Null and empty texts and items contain nothing. Items shorter than five words are found only in
     documents that are nothing but them. Rows that repeat an id are read together: the row of the
     best match counts. Null ids take part and come back as null. Other columns are not read.
     """
@@ -128,8 +137,9 @@ def drop_contaminated(
     item_text_column: str = "text",
 ) -> DataFrame:
     """The documents in which no benchmark item is found, with all their columns."""
+    gone_id, gone_hash = unused(docs, "__gone"), unused(docs, "__gone_hash")
     gone = matches(docs, benchmark, id_column, text_column, item_id_column, item_text_column).select(
-        F.col("id").alias("__gone"), F.col("text_hash").alias("__gone_hash")).distinct()
+        F.col("id").alias(gone_id), F.col("text_hash").alias(gone_hash)).distinct()
     text_hash = F.xxhash64(F.coalesce(docs[text_column], F.lit("")))
-    on = docs[id_column].eqNullSafe(F.col("__gone")) & (text_hash == F.col("__gone_hash"))
+    on = docs[id_column].eqNullSafe(F.col(gone_id)) & (text_hash == F.col(gone_hash))
     return docs.join(materialize(gone, "gone"), on, "left_anti")

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.llm.names import unused
 from siltstone.scratch import materialize
 
 RUNS = 64
@@ -90,9 +91,9 @@ def drop_copies(
 ) -> DataFrame:
     """The documents that ``exact_groups`` keeps, with all their columns."""
     groups = exact_groups(docs, id_column, text_column, keep)
-    gone = groups.filter(~F.col("kept")).select(F.col(id_column).alias("__gone"),
-                                                 F.col("text_sha256").alias("__gone_digest"))
+    gone_id, gone_digest = unused(docs, "__gone"), unused(docs, "__gone_digest")
+    gone = groups.filter(~F.col("kept")).select(F.col(id_column).alias(gone_id), F.col("text_sha256").alias(gone_digest))
     digest = F.sha2(F.coalesce(docs[text_column], F.lit("")), 256)
     # One null-safe condition on id and one on digest: an id may repeat with another text.
-    on = docs[id_column].eqNullSafe(F.col("__gone")) & (digest == F.col("__gone_digest"))
+    on = docs[id_column].eqNullSafe(F.col(gone_id)) & (digest == F.col(gone_digest))
     return docs.join(gone.distinct(), on, "left_anti")

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.components import components
+from siltstone.llm.names import unused
 from siltstone.llm.textbytes import blocks, mix, rolling, words
 from siltstone.scratch import materialize
 
@@ -378,5 +379,6 @@ def _verifier(least: np.ndarray, threshold: float) -> Callable[[Iterator[pa.Reco
 def drop_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents whose id is the ``group_id`` of their group, with all their columns."""
     gone = similar_texts(docs, id_column, text_column).filter(F.col("group_id") != F.col(id_column))
-    gone = gone.select(F.col(id_column).alias("__gone")).distinct()
-    return docs.join(gone, docs[id_column] == F.col("__gone"), "left_anti")
+    gone_id = unused(docs, "__gone")
+    gone = gone.select(F.col(id_column).alias(gone_id)).distinct()
+    return docs.join(gone, docs[id_column] == F.col(gone_id), "left_anti")

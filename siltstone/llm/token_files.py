@@ -17,6 +17,7 @@ document from the position of a one in the high part, found by counts kept for e
 from __future__ import annotations
 
 import binascii
+import re
 import struct
 from array import array
 from collections.abc import Iterator
@@ -111,7 +112,7 @@ _encoders: dict[str, tuple] = {}
 
 
 def _encoder(path: str) -> tuple:
-    """The tokenizer of a worker process and its cache of pre-tokens."""
+    """The tokenizer of a worker process, its cache of pre-tokens, its added tokens and a pattern that finds them."""
     if path not in _encoders:
         import os
 
@@ -119,15 +120,42 @@ def _encoder(path: str) -> tuple:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        _encoders[path] = (tokenizer, {})
+        added = {t.content.encode(): i for i, t in tokenizer.get_added_tokens_decoder().items()}
+        cuts = re.compile(b"(" + b"|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + b")") if added else None
+        _encoders[path] = (tokenizer, {}, added, cuts)
     return _encoders[path]
 
 
 def token_ids(path: str, data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
-    """Ids of every text of a block. A byte-level tokenizer encodes each pre-token by itself, so each
+    """Ids of every text of a block.
+
+    Where a text holds the string of one of the file's added tokens, that is the token's id, and the text on either side is encoded
+    by itself, as the library does.
+    """
+    _, _, added, cuts = _encoder(path)
+    raw = data.tobytes()
+    if cuts is None or not cuts.search(raw):
+        yield from _piece_ids(path, data, offsets)
+        return
+    parts: list[bytes] = []
+    counts = []
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+        # Every second part is an added token.
+        split = cuts.split(raw[a:b])
+        parts += split
+        counts.append(len(split))
+    plain = [b"" if k % 2 else p for n, first in zip(counts, np.cumsum([0, *counts]).tolist()) for k, p in enumerate(parts[first : first + n])]
+    ends = np.cumsum([0, *map(len, plain)])
+    found = _piece_ids(path, np.frombuffer(b"".join(plain), np.uint8), ends)
+    for n, first in zip(counts, np.cumsum([0, *counts]).tolist()):
+        ids = [next(found) if k % 2 == 0 else (next(found), np.array([added[parts[first + k]]], "<u4"))[1] for k in range(n)]
+        yield np.concatenate(ids).astype("<u4")
+
+
+def _piece_ids(path: str, data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
+    """Ids of texts without added tokens. A byte-level tokenizer encodes each pre-token by itself, so each
     distinct pre-token is given to it once."""
-    tokenizer, cache = _encoder(path)
+    tokenizer, cache, _, _ = _encoder(path)
     if len(data) == 0:
         yield from [np.zeros(0, "<u4")] * (len(offsets) - 1)
         return

@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 #: Columns with the names that the operators use inside.
-CLASHES = "id string, text_hash string, key string, words string, size string, class string, rep string, at string, gone string, label string, score string, ids string, hash string, mark string, shift string, item string"
+CLASHES = "id string, text_hash string, key string, words string, size string, class string, rep string, at string, gone string, label string, score string, ids string, hash string, mark string, shift string, item string, __gone string, __gone_digest string, __gone_hash string"
 _EXTRA = tuple("x" for _ in CLASHES.split(","))
 DOCS = f"doc_id bigint, text string, {CLASHES}"
 

@@ -109,8 +109,7 @@ def test_token_files(spark, folder):
 
     path = tokenizer_path("byte_bpe_50k.json")
     known = Tokenizer.from_file(path)
-    known.encode_special_tokens = True
-    rows = edge_cases() + [(20, "a <|endoftext|> b")]
+    rows = edge_cases() + [(20, "a <|endoftext|> b"), (21, "<|endoftext|>"), (22, "x<|endoftext|><|endoftext|>\n<|endoftext|"), (23, "é <|endoftext|>é")]
     manifest = token_files.write_files(docs_frame(spark, rows), path, folder, file_ids=500)
     assert manifest.count() > 2
     got = [(r["doc_id"], r["n_tokens"], r["ids_crc32"], r["start"]) for r in token_files.read_files(manifest, folder).collect()]

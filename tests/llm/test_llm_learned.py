@@ -1,6 +1,7 @@
 """Similarity, benchmark and trained operators, and the pipeline, on small tables."""
 
 import math
+import itertools
 import random
 import re
 import sys
@@ -133,6 +134,30 @@ def test_contaminated(spark):
     assert decontamination.contaminated(docs_frame(spark, rows), bench.filter("item_id < 0")).count() == 0
 
 
+def test_masks_hit_every_pattern_of_substitutions():
+    for n in range(5, 26):
+        masks = decontamination.MASKS + (decontamination.SHORT_MASKS if n < decontamination.SHORT else ())
+        places = [{a + o for o in m} for m in masks for a in range(n - m[-1])]
+        for wrong in itertools.combinations(range(n), n // 5):
+            assert any(not p & set(wrong) for p in places), (n, wrong)
+
+
+def test_short_items_with_substitutions(spark):
+    items = [(n, " ".join(f"w{n}x{k}" for k in range(n))) for n in (5, 6, 7, 10, 11)]
+    docs, want = [], set()
+    for n, text in items:
+        for wrong in itertools.combinations(range(n), n // 5):
+            words = text.split()
+            for k in wrong:
+                words[k] = "other"
+            docs.append((1000 * n + len(docs), "before it " + " ".join(words) + " and after"))
+            want.add((docs[-1][0], n))
+        docs.append((1000 * n + len(docs), "clean " + " ".join(["other"] * (n // 5 + 1) + text.split()[n // 5 + 1 :])))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontamination.contaminated(docs_frame(spark, docs), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want
+
+
 def test_shuffled_seeds_give_the_same(spark, monkeypatch):
     bench = spark.createDataFrame([(1, prose(300, 40), *"wxyz")], ITEMS)
     monkeypatch.setattr(decontamination, "BROADCAST_SEEDS", 0)
