@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.textbytes import blocks, mix
@@ -406,13 +406,10 @@ def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def decided_sets(sets: DataFrame) -> DataFrame:
     """``k1, k2, edges`` and ``starts``, bits of the repeated starts, of sets that have any."""
-    middle = Window.partitionBy("k1", "k2")
-    counted = (
-        sets.groupBy("k1", "k2", "edges").agg(F.count(F.lit(1)).alias("times"))
-        .withColumn("distinct", F.count(F.lit(1)).over(middle))
-        .filter("times > 1 OR distinct > 1")
-    )
-    counted = materialize(counted, "sets")
+    counted = materialize(sets.groupBy("k1", "k2", "edges").agg(F.count(F.lit(1)).alias("times")), "sets")
+    # Sets of one middle are counted by tasks first, and a middle of very many is joined in parts.
+    several = counted.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("distinct"))
+    counted = materialize(counted.join(several, ["k1", "k2"]).filter("times > 1 OR distinct > 1"), "counted")
     schema = "k1 bigint, k2 bigint, edges binary, starts binary"
     few = (
         counted.filter(F.col("distinct") <= LIMIT).drop("distinct")
