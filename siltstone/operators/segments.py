@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltstone.scratch import materialize
+
 # Fixed value: integer keys per segment. Summary rows are 1 / WIDTH of the key range.
 WIDTH = 1_000_000
 
@@ -47,6 +49,25 @@ def global_row_number(
     )
 
 
+def volume_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_number") -> DataFrame:
+    """1-based position of every row in ``order``, over partitions of even size however the keys lie.
+
+    Spark samples the order and cuts it into ranges of about as many rows; the sorted ranges are written once with each row's
+    place in its file. What stands before a file is summed over one row per file. Rows that tie in ``order`` may have any
+    of their positions.
+    """
+    keys = [c.alias(f"__o{i}") for i, c in enumerate(order)]
+    by = [f"__o{i}" for i in range(len(order))]
+    ranges = df.select("*", *keys).repartitionByRange(*by).sortWithinPartitions(*by).drop(*by)
+    laid = materialize(ranges.withColumn("__at", F.monotonically_increasing_id()), "ordered")
+    file = F.shiftright("__at", 33).alias("__file")
+    counts = laid.groupBy(file).agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("__file", (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first") + 1).alias("__shift"))
+    placed = laid.withColumn("__file", F.shiftright("__at", 33)).join(starts, "__file")
+    return placed.withColumn(name, F.col("__at") + F.col("__shift")).drop("__at", "__file", "__shift")
+
+
 def next_flagged(
     df: DataFrame, key: str, flag: Column, name: str, width: int = WIDTH
 ) -> DataFrame:

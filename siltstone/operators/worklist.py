@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.names import folder_first_page
-from siltstone.operators.segments import WIDTH, floor_div, global_row_number, segment_of
+from siltstone.operators.segments import floor_div, volume_row_number
 
 
 def _presence(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
@@ -35,14 +35,11 @@ def folder_state(landed: DataFrame, processed: DataFrame, name: str) -> DataFram
     return state.select(name, F.col("in_right").cast("int").alias("processed"))
 
 
-def chunk_folders(folders: DataFrame, size: int = 10, width: int = WIDTH) -> DataFrame:
+def chunk_folders(folders: DataFrame, size: int = 10) -> DataFrame:
     """Number the folders by first page and name, and cut the list into chunks of ``size``.
 
-    Names without a page number come first, spread over segments by their hash.
+    Names without a page number come first. Tasks get ranges of about as many folders, wherever their pages lie.
     """
-    page = folder_first_page("folder")
-    unnumbered = F.lit(-1) - F.pmod(F.xxhash64("folder"), F.lit(4096))
-    # The last term never applies; it lets Spark see that the segment is never null.
-    segment = F.coalesce(segment_of(page, width), unnumbered, F.lit(-1))
-    numbered = global_row_number(folders, segment, [page, "folder"], "__n")
+    order = [folder_first_page("folder"), F.col("folder")]
+    numbered = volume_row_number(folders, order, "__n")
     return numbered.withColumn("chunk", floor_div(F.col("__n") - 1, size)).drop("__n")

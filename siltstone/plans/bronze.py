@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from siltstone.config import RunConfig
 from siltstone.functions.names import label_folder
-from siltstone.operators.worklist import folder_state
+from siltstone.operators.worklist import chunk_folders, folder_state
 from siltstone.schemas import BRONZE_SCHEMA, LEDGER_SCHEMA, UNFIT
 from siltstone.scratch import materialize
 from siltstone.sources.fields import noted_fields, record_columns, row_schema
@@ -59,37 +59,56 @@ def bronze_run(
     name: str,
     period: str | None = None,
     schema: T.StructType | None = None,
+    folders_per_load: int | None = None,
 ) -> int:
-    """Append every unprocessed folder of ``period`` in one job; returns their number.
+    """Append every unprocessed folder of ``period``; returns their number.
 
     The folder is a partition column of the raw files, so folders already processed are
     pruned by the semi join (dynamic partition pruning) and not read.
 
-    The ledger is written after the append, so a failed append leaves the folders pending. Fields that the
-    table lacks are added to it; without ``schema`` they are those noted by the landing. Values that fit no
+    One load takes them all, or with ``folders_per_load`` so many at a time, the first pages first. A load is a batch of its
+    own: its rows are appended under its stamp, then its folders are entered in the ledger. So a failed load leaves
+    its folders pending, and a run lost among several repeats none that had been written.
+
+    Fields that the table lacks are added to it; without ``schema`` they are those noted by the landing. Values that fit no
     column are kept in ``UNFIT``.
     """
     schema = row_schema(spark, noted_fields(spark, raw_root)) if schema is None else schema
     period = period or cfg.period
+    table_schema = T.StructType([*schema.fields, BRONZE_SCHEMA[UNFIT], BRONZE_SCHEMA["DTPROC"]])
+    table = ensure_table(spark, name, bronze_path, table_schema, "DTPROC")
+    have = {c.lower() for c in table.columns}
+    add_columns(spark, name, [f for f in table_schema if f.name.lower() not in have])
     landed = list_folders(spark, raw_root, period).select("folder")
     processed = processed_folders(spark, cfg, ledger_path, bronze_path, period)
     state = materialize(folder_state(landed, processed, "folder"), "folders")
     pending = state.filter("processed = 0").select("folder")
     total, count = state.agg(F.count(F.lit(1)), F.count_if(F.col("processed") == 0)).first()
-    if count:
-        stamp = batch_stamp(cfg, list(partitions_of(spark, bronze_path, "DTPROC")))
-        lines = period_lines(spark, raw_root, period)
-        if count < total:
-            lines = lines.join(pending, "folder", "left_semi")
-        stamped = record_columns(spark, lines, schema).withColumn("DTPROC", F.lit(stamp))
-        append_batch(stamped, bronze_path, "DTPROC")
-        entry = pending.select("folder", F.lit(period).alias("period"), F.lit(stamp).alias("DTPROC"))
-        append_batch(entry, ledger_path, "DTPROC")
-    table_schema = T.StructType([*schema.fields, BRONZE_SCHEMA[UNFIT], BRONZE_SCHEMA["DTPROC"]])
-    table = ensure_table(spark, name, bronze_path, table_schema, "DTPROC")
-    have = {c.lower() for c in table.columns}
-    add_columns(spark, name, [f for f in table_schema if f.name.lower() not in have])
-    if count:
-        refresh_partitions(spark, name, "DTPROC", [stamp])
-        compact(spark, name, bronze_path, "DTPROC", [stamp], least=cfg.small_files)
+    loads = 1 if count else 0
+    if folders_per_load is not None and count > folders_per_load:
+        pending = materialize(chunk_folders(pending, folders_per_load), "loads")
+        loads = -(-count // folders_per_load)
+    stamps = []
+    for load in range(loads):
+        folders = pending if loads == 1 else pending.filter(F.col("chunk") == load).select("folder")
+        every = loads == 1 and count == total
+        stamps.append(_load(spark, cfg, raw_root, bronze_path, ledger_path, period, schema, folders, every))
+        refresh_partitions(spark, name, "DTPROC", stamps[-1:])
+    compact(spark, name, bronze_path, "DTPROC", stamps, least=cfg.small_files)
     return count
+
+
+def _load(
+    spark: SparkSession, cfg: RunConfig, raw_root: str, bronze_path: str, ledger_path: str, period: str,
+    schema: T.StructType, folders: DataFrame, every: bool,
+) -> str:
+    """Append the rows of ``folders`` (of all of the period if ``every``) as one batch; returns its stamp."""
+    stamp = batch_stamp(cfg, list(partitions_of(spark, bronze_path, "DTPROC")))
+    lines = period_lines(spark, raw_root, period)
+    if not every:
+        lines = lines.join(folders, "folder", "left_semi")
+    stamped = record_columns(spark, lines, schema).withColumn("DTPROC", F.lit(stamp))
+    append_batch(stamped, bronze_path, "DTPROC")
+    entry = folders.select("folder", F.lit(period).alias("period"), F.lit(stamp).alias("DTPROC"))
+    append_batch(entry, ledger_path, "DTPROC")
+    return stamp

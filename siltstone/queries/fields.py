@@ -220,3 +220,25 @@ def local_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
         stamps.run_stamp(local).alias("local_stamp"),
         stamps.iso_stamp(local).alias("iso_stamp"),
     )
+
+
+@query("SELECT event_id, CAST(epoch(date_trunc('second', ts)) AS BIGINT) + 3 * 3600 AS seconds FROM events")
+def instant_of_local_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text of the feed's wall clock to the instant it names, and back to text, whatever the session's zone is."""
+    zone = "America/Sao_Paulo"
+    text = F.date_format("ts", "dd/MM/yyyy HH:mm:ss")
+    instant = stamps.parse_instant(text, "dd/MM/yyyy HH:mm:ss", zone)
+    events = table(spark, sf_dir, "events").select("event_id", text.alias("text"), instant.alias("instant"))
+    back = F.date_format(stamps.wall_clock("instant", zone), "dd/MM/yyyy HH:mm:ss")
+    return events.filter(back == F.col("text")).select("event_id", F.unix_timestamp("instant").alias("seconds"))
+
+
+@query("SELECT event_id, length(strftime(ts, '%Y%m%d_%H%M%S')) AS length, ts < now()::TIMESTAMP AS earlier, 1::BIGINT AS n_stamps FROM events")
+def stamp_of_the_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stamp of now on the feed's clock: one for all rows of a query, and later than every event's."""
+    now = stamps.current_run_stamp("America/Sao_Paulo")
+    events = table(spark, sf_dir, "events").select("event_id", stamps.run_stamp("ts").alias("own"), now.alias("now"))
+    n_stamps = events.agg(F.count_distinct("now")).first()[0]
+    return events.select(
+        "event_id", F.length("now").alias("length"), (F.col("own") < F.col("now")).alias("earlier"),
+        F.lit(n_stamps).cast("bigint").alias("n_stamps"))

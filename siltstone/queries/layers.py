@@ -22,7 +22,7 @@ from siltstone.plans.landing import raw_ingestion
 from siltstone.plans.silver import save_silver
 from siltstone.queries.feed import FEED_SQL, envelopes, feed_records, last_page
 from siltstone.queries.registry import drop_database, new_database, query, table
-from siltstone.schemas import BRONZE_SCHEMA, RAW_SCHEMA, RECORD_FIELDS
+from siltstone.schemas import BRONZE_SCHEMA, RAW_SCHEMA, RECORD_FIELDS, STAMP_FORMAT
 from siltstone.scratch import new_folder
 from siltstone.sources.json_folders import PARTITIONS, scan_paths, write_folders
 from siltstone.sources.listing import child_names, remove_path
@@ -411,3 +411,30 @@ def landing_fields_in_any_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_path(spark, f"{base}/bronze", schema).select(
         F.col("produto_id").cast("long").alias("event_id"), "id", "autor", unfit["AUTOR"].alias("second_autor"),
         unfit["id"].alias("wrong_id"), "titulo", F.col("item_Page").alias("own_page"))
+
+
+@query(f"""
+  WITH {_LANDED},
+  folders AS (SELECT DISTINCT first_page, last_page FROM raw WHERE run = 1),
+  loads AS (SELECT first_page, (row_number() OVER (ORDER BY first_page) - 1) // 3 AS load FROM folders)
+  SELECT load::BIGINT AS load, count(*) AS n_rows, sum(event_id)::BIGINT AS id_sum FROM raw JOIN loads USING (first_page)
+  WHERE run = 1 GROUP BY load
+""")
+def bronze_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backlog appended three folders at a time: every load a batch of its own, in the order of the pages."""
+    base = new_folder(spark, "backlog")
+    db = new_database(spark, base)
+    records = feed_records(spark, sf_dir)
+    half = (last_page(records) + 1) // 2
+    envelopes(records.filter(F.col("page") <= half), half).write.json(f"{base}/landing")
+    raw_ingestion(spark, RUNS[0], f"{base}/landing", f"{base}/raw")
+    bronze_run(spark, RUNS[0], f"{base}/raw", f"{base}/bronze", f"{base}/ledger", f"{db}.bronze", folders_per_load=3)
+    schema = spark.table(f"{db}.bronze").schema
+    drop_database(spark, db)
+    rows = read_path(spark, f"{base}/bronze", schema)
+    per_load = rows.groupBy("DTPROC").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("produto_id").cast("long")).alias("id_sum"))
+    # A load takes the next second that no batch has.
+    seconds = lambda stamp: F.unix_timestamp(stamp, STAMP_FORMAT)
+    load = seconds(F.col("DTPROC")) - seconds(F.lit(RUNS[0].stamp))
+    return per_load.select(load.alias("load"), "n_rows", "id_sum")

@@ -187,7 +187,7 @@ def chunk_of_ten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A work list in numbered chunks of ten."""
     name = names.folder_name(PREFIX, "l_orderkey", "l_linenumber", run_stamp("l_shipdate"))
     folders = table(spark, sf_dir, "lineitem").select(name.alias("folder")).distinct()
-    return chunk_folders(folders, 10, width=1000).select(
+    return chunk_folders(folders, 10).select(
         names.folder_first_page("folder").alias("first_page"), "folder", "chunk"
     )
 

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.functions import names
+from siltstone.functions.stamps import stamp_text_between
+from siltstone.operators.merge import merge_upsert
 from siltstone.queries.feed import FEED_SQL, feed_records
 from siltstone.queries.registry import drop_database, new_database, query, table
 from siltstone.scratch import materialize, new_folder
-from siltstone.sources import json_folders, tables
+from siltstone.sources import json_folders, swaps, tables
 
 STAMP = "20240201_120000"
 
@@ -199,3 +203,63 @@ def batch_append_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.append_batch(rows, path, "dt")
     tables.append_batch(rows, path, "dt")
     return _per_day(tables.read_path(spark, path, _DAILY))
+
+
+@query("""
+  SELECT event_id, strftime(ts, '%Y%m%d') || '_120000' AS dtproc FROM events
+  WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'
+""")
+def stamp_range_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches appended under a stamp a day; a day range reads the partitions of its stamps only."""
+    path = new_folder(spark, "stamped")
+    events = table(spark, sf_dir, "events").select("event_id", F.concat(F.date_format("ts", "yyyyMMdd"), F.lit("_120000")).alias("dtproc"))
+    tables.append_batch(events, path, "dtproc")
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("dtproc", T.StringType())])
+    return tables.read_path(spark, path, schema).filter(stamp_text_between("dtproc", date(2024, 1, 5), date(2024, 1, 20)))
+
+
+_HALF = "event_id % 3 = 0"
+
+
+@query(f"""
+  SELECT event_id, CASE WHEN {_HALF} THEN 'changed' ELSE event_type END AS event_type,
+         CASE WHEN {_HALF} THEN strftime(ts + INTERVAL 1 DAY, '%Y%m%d') ELSE strftime(ts, '%Y%m%d') END AS dt
+  FROM events
+""")
+def exchange_finished_later(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge that moves rows to the next day, whose driver is lost when the new partitions are in force but the catalog does
+    not know them yet: the next use of the table finishes it."""
+    path = new_folder(spark, "exchange")
+    db = new_database(spark, path)
+    name = f"{db}.daily"
+    tables.save_merged(_daily(spark, sf_dir), name, f"{path}/daily", _DAILY, ["event_id"])
+    moved = F.date_format(F.col("ts") + F.expr("INTERVAL 1 DAY"), "yyyyMMdd")
+    source = table(spark, sf_dir, "events").filter(_HALF).select("event_id", F.lit("changed").alias("event_type"), moved.alias("dt"))
+    merged = merge_upsert(spark.table(name), source, ["event_id"], unique_target=True)
+    folders = swaps.write_version(merged, f"{path}/daily", "dt", True, ["event_id"], [])
+    held = swaps.partitions_of(spark, f"{path}/daily", "dt")
+    swaps.put_in_force(spark, f"{path}/daily", "dt", folders | {v: "" for v in held if v not in folders})
+    rows = tables.ensure_table(spark, name, f"{path}/daily", _DAILY, "dt")
+    out = materialize(rows, "result")
+    drop_database(spark, db)
+    return out
+
+
+@query("""
+  SELECT strftime(date_trunc('month', min(ts)), '%Y-%m-%d') AS oldest, strftime(date_trunc('month', max(ts)), '%Y-%m-%d') AS newest
+  FROM events
+""")
+def bounds_from_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month starts of a merged table's oldest and newest stamp, from the summaries beside its partitions."""
+    path = new_folder(spark, "bounds")
+    db = new_database(spark, path)
+    name = f"{db}.daily"
+    schema = T.StructType([*_DAILY.fields[:-1], T.StructField("ts", T.TimestampNTZType()), _DAILY.fields[-1]])
+    events = table(spark, sf_dir, "events")
+    rows = events.select("event_id", "event_type", "ts", F.date_format("ts", "yyyyMMdd").alias("dt"))
+    tables.save_merged(rows, name, f"{path}/daily", schema, ["event_id"], unique_source=True, tracked=["ts"])
+    found = swaps.tracked_range(spark.table(name), f"{path}/daily", "dt", "ts")
+    out = materialize(found.select(
+        F.trunc("lo", "MM").cast("string").alias("oldest"), F.trunc("hi", "MM").cast("string").alias("newest")), "result")
+    drop_database(spark, db)
+    return out

@@ -160,11 +160,16 @@ def swap(spark: SparkSession, name: str, path: str, partition: str, folders: dic
     The list in force decides. A driver lost before it is written leaves the table as it was, one lost after it leaves the
     catalog to ``finish_swap``.
     """
+    put_in_force(spark, path, partition, folders)
+    finish_swap(spark, name, path, partition)
+
+
+def put_in_force(spark: SparkSession, path: str, partition: str, folders: dict[str, str]) -> None:
+    """Write the next list, in which the partitions are in ``folders``."""
     before = current(spark, path)
     body = {"partition": partition, "folders": before.folders | folders, "pending": sorted(folders)}
     make_folder(spark, f"{path}/{LISTS}")
     write_text(spark, f"{path}/{LISTS}/{before.number + 1:08d}.json", json.dumps(body))
-    finish_swap(spark, name, path, partition)
 
 
 def finish_swap(spark: SparkSession, name: str, path: str, partition: str) -> None:

@@ -140,6 +140,27 @@ def test_failed_append_leaves_the_folders_pending(layers, monkeypatch):
     assert layers.load_bronze(cfg(1)) == 1
 
 
+def test_backlog_lost_in_one_load_repeats_only_that(layers, spark, monkeypatch):
+    layers.land(cfg(1), {p: [item(p)] for p in range(1, 46)})
+    real, calls = bronze_plan.append_batch, []
+
+    def fail(df, path, partition):
+        calls.append(path)
+        if calls.count(layers.bronze) == 3:
+            raise RuntimeError("lost")
+        real(df, path, partition)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(bronze_plan, "append_batch", fail)
+        with pytest.raises(RuntimeError):
+            layers.load_bronze(cfg(1), folders_per_load=2)
+    assert layers.table("bronze").count() == 40 and layers.table("bronze").agg(F.max("id")).first()[0] == 40
+    assert layers.load_bronze(cfg(2), period="202401", folders_per_load=2) == 1
+    counts = rows(layers.table("bronze").groupBy("DTPROC").count())
+    assert counts == [("20240110_120000", 20), ("20240110_120001", 20), ("20240210_120000", 5)]
+    assert rows(layers.table("bronze").select("id")) == [(k,) for k in sorted(range(1, 46), key=lambda k: repr((k,)))]
+
+
 def test_silver_types_and_keeps_the_newest(layers):
     run = cfg(1)
     layers.land(run, {

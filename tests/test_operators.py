@@ -10,7 +10,7 @@ from siltstone.operators.latest import latest_per_key, total_order
 from siltstone.operators.map_pivot import json_columns_to_maps, map_pivot
 from siltstone.operators.merge import merge_upsert, require_unique, split_null_keys
 from siltstone.operators.paging import page_groups, page_stats, pages_to_fetch, resume_page
-from siltstone.operators.segments import global_row_number, segment_of
+from siltstone.operators.segments import global_row_number, segment_of, volume_row_number
 from siltstone.operators.worklist import chunk_folders, symmetric_difference, unprocessed
 
 
@@ -119,14 +119,14 @@ def test_symmetric_difference_and_work_list(spark):
 
 def test_chunks_hold_ten_each(spark):
     df = spark.createDataFrame([(f"f_{i}_to_{i}_20240101_000000",) for i in range(1, 48)], "folder string")
-    counts = rows(chunk_folders(df, 10, width=7).groupBy("chunk").count())
+    counts = rows(chunk_folders(df, 10).groupBy("chunk").count())
     assert counts == [(0, 10), (1, 10), (2, 10), (3, 10), (4, 7)]
 
 
 def test_names_without_a_page_are_chunked_too(spark):
     names = [f"other{i}" for i in range(25)] + [f"f_{i}_to_{i}_20240101_000000" for i in range(1, 9)]
     df = spark.createDataFrame([(n,) for n in names], "folder string")
-    chunks = chunk_folders(df, 10, width=3)
+    chunks = chunk_folders(df, 10)
     assert rows(chunks.groupBy("chunk").count()) == [(0, 10), (1, 10), (2, 10), (3, 3)]
     assert chunks.filter("chunk < 2 and folder like 'f!_%' escape '!'").count() == 0
 
@@ -273,3 +273,17 @@ def test_pivot_refuses_an_unbounded_key_set(spark):
     with pytest.raises(ValueError, match="more than 2"):
         pivot(spark, ['{"a": 1, "b": 1}', '{"c": 1}'], max_keys=2)
     assert len(pivot(spark, ['{"a": 1, "b": 1}'], max_keys=2).columns) == 3
+
+
+def test_numbers_by_volume(spark):
+    # All on one first page, some without any: tasks still share them, and the numbers are those of one sort.
+    names = [f"feed_1_to_{k}_x{k % 7}" for k in range(3000)] + ["loose", "feed_a_to_b"]
+    df = spark.createDataFrame([(n,) for n in names], "folder string").repartition(5)
+    got = {r["folder"]: r["chunk"] for r in chunk_folders(df, 7).collect()}
+    def page(n):
+        part = n.split("_")
+        return int(part[1]) if len(part) > 1 and part[1].isdigit() else -1
+    assert got == {n: k // 7 for k, n in enumerate(sorted(names, key=lambda n: (page(n), n)))}
+    laid = volume_row_number(df, [F.lit(1), F.col("folder")])
+    assert len({f for f in laid.inputFiles()}) > 1
+    assert volume_row_number(df.limit(0), [F.col("folder")]).count() == 0

@@ -312,6 +312,15 @@ def test_filters_reach_the_scan(spark, folder):
         assert "GreaterThanOrEqual" in plan and "LessThan" in plan
 
 
+def test_a_stamp_range_prunes_partitions(spark):
+    from siltstone.queries.storage import stamp_range_pruned
+
+    scan = stamp_range_pruned(spark, "/root/testdata/sf0.001")
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dtproc" in plan and "dtproc#" in plan and "20240105" in plan
+    assert {Path(f).parent.name for f in scan.inputFiles()} == {f"dtproc=202401{d:02d}_120000" for d in range(5, 21)}
+
+
 def test_small_batch_merge_does_not_shuffle_the_target(spark, folder):
     spark.range(1000).withColumn("v", F.lit("x")).write.parquet(f"{folder}/t")
     source = materialize(spark.range(5).withColumn("v", F.lit("y")), "s")
