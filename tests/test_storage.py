@@ -317,8 +317,9 @@ def test_a_stamp_range_prunes_partitions(spark):
 
     scan = stamp_range_pruned(spark, "/root/testdata/sf0.001")
     plan = scan._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(dtproc" in plan and "dtproc#" in plan and "20240105" in plan
-    assert {Path(f).parent.name for f in scan.inputFiles()} == {f"dtproc=202401{d:02d}_120000" for d in range(5, 21)}
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert ">= 20240105" in filters and "< 20240121" in filters
+    assert scan.select("dtproc").distinct().count() == 16
 
 
 def test_small_batch_merge_does_not_shuffle_the_target(spark, folder):
