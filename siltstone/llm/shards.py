@@ -3,66 +3,110 @@
 from __future__ import annotations
 
 import uuid
+from bisect import bisect_right
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.scratch import materialize
+
 CELLS = 1024
 SHARD_BYTES = 16 << 20
+#: With more weight shards grow instead of becoming more, so what follows from their number has a bound.
+MOST_SHARDS = 1 << 16
 MOST_READERS = 10_000
 
 
-def shard_bounds(rows: DataFrame, key: str, weight: Column, target: int = SHARD_BYTES) -> list[int]:
-    """First keys of the second and later shards, each holding about ``target`` of ``weight``.
+class Shards(NamedTuple):
+    """First keys of the second and later shards, and how a key finds its shard.
 
-    Weights are summed over equal ranges of the key, and a range that is too heavy is divided again, so
-    the bounds are the same however Spark partitions the rows. On the driver: at most ``CELLS``
-    sums of a range at a time, and one bound per shard. Keys are whole numbers; null keys count
-    nowhere and belong to the first shard.
+    ``levels`` has for each level ``id, lo, width, first`` of the cells that are divided: a key of such a cell is in the cell
+    ``first + (key - lo) / width`` of the next level. ``leaves`` is the shard of every cell that is not divided.
     """
-    most = rows.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).head()
-    if most["lo"] is None:
-        return []
-    bounds: list[int] = []
-
-    def divide(lo: int, hi: int, held: int) -> int:
-        """Walk the range; ``held`` is the weight since the last bound."""
-        width = max(1, -(-(hi - lo + 1) // CELLS))
-        cell = F.floor((F.col(key) - F.lit(lo)) / F.lit(width)).cast("long") if width > 1 else F.col(key) - F.lit(lo)
-        sums = (
-            rows.filter((F.col(key) >= lo) & (F.col(key) <= hi))
-            .groupBy(cell.alias("cell")).agg(F.sum(weight).cast("long").alias("w")).orderBy("cell").collect()
-        )
-        for r in sums:
-            start = lo + r["cell"] * width
-            if held and held + r["w"] > target:
-                bounds.append(start)
-                held = 0
-            if r["w"] > 2 * target and width > 1:
-                held = divide(start, min(hi, start + width - 1), held)
-            else:
-                held += r["w"]
-        return held
-
-    divide(int(most["lo"]), int(most["hi"]), 0)
-    return bounds
 
+    bounds: list[int]
+    levels: list[list[tuple[int, int, int, int]]]
+    leaves: list[tuple[int, int]]
 
-def shard_of(key: str, bounds: list[int]) -> Column:
-    """Number of the shard of a key: how many bounds are not above it."""
-    if not bounds:
-        return F.lit(0)
-    known = F.array(*[F.lit(b).cast("long") for b in bounds])
-    return F.coalesce(F.size(F.filter(known, lambda b: b <= F.col(key))), F.lit(0))
 
+def _cell(rows: DataFrame, key: Column, levels: list[list[tuple[int, int, int, int]]]) -> DataFrame:
+    """Rows with the number of the cell, ``__cell``, that their key is in; null keys have none.
 
-def in_shards(rows: DataFrame, key: str, bounds: list[int], *order: str | Column) -> DataFrame:
+    A join on the cell's number for each level. The tables have at most a few rows per shard, of which there are ``MOST_SHARDS``.
+    """
+    spark = rows.sparkSession
+    rows = rows.withColumn("__cell", F.when(key.isNotNull(), F.lit(0).cast("long")))
+    for level in levels:
+        table = F.broadcast(spark.createDataFrame(level, "__cell bigint, __lo bigint, __width bigint, __first bigint"))
+        if len(level) == 1 and level[0][0] == 0:
+            _, lo, width, first = level[0]
+            rows = rows.withColumn("__cell", F.when(key.isNotNull(), F.lit(first) + _quotient(key - F.lit(lo), F.lit(width))))
+            continue
+        inside = F.col("__first") + _quotient(key - F.col("__lo"), F.col("__width"))
+        rows = rows.join(table, "__cell", "left").withColumn("__cell", F.coalesce(inside, F.col("__cell"))).drop("__lo", "__width", "__first")
+    return rows
+
+
+def _quotient(a: Column, b: Column) -> Column:
+    """Whole quotient of longs, which a division would round."""
+    return F.call_function("div", a.cast("long"), b.cast("long"))
+
+
+def plan_shards(rows: DataFrame, key: str, weight: Column, target: int = SHARD_BYTES) -> Shards:
+    """Shards of about ``target`` of ``weight`` each.
+
+    Weights are summed over equal ranges of the key, and all ranges that are too heavy are divided again in one pass, so the number of
+    passes follows from the spread of the keys, not from the number of shards, and the bounds are the same however Spark partitions
+    the rows. Keys and weights are read once. On the driver: a few sums per shard. Keys are whole numbers; null keys count
+    nowhere and belong to the first shard.
+    """
+    narrow = materialize(rows.select(F.col(key).cast("long").alias("k"), weight.cast("long").alias("w")).filter("k IS NOT NULL"), "weights")
+    lo, hi, total = narrow.agg(F.min("k"), F.max("k"), F.sum("w")).first()
+    if lo is None:
+        return Shards([], [], [])
+    target = max(target, -(-total // MOST_SHARDS))
+    divided, after = [(0, lo, hi, total)], 1
+    levels: list[list[tuple[int, int, int, int]]] = []
+    leaves: list[tuple[int, int, int]] = []
+    while divided:
+        level, spans = [], []
+        for cell, a, b, held in divided:
+            parts = max(2 * -(-held // target), CELLS // len(divided), 2)
+            width = max(1, -(-(b - a + 1) // parts))
+            level.append((cell, a, width, after))
+            spans.append((after, a, b, width))
+            after += -(-(b - a + 1) // width)
+        levels.append(level)
+        sums = _cell(narrow, F.col("k"), levels).filter(F.col("__cell") >= spans[0][0]).groupBy("__cell").agg(F.sum("w").alias("w")).collect()
+        firsts = [s[0] for s in spans]
+        divided = []
+        for r in sorted(sums, key=lambda r: r["__cell"]):
+            first, a, b, width = spans[bisect_right(firsts, r["__cell"]) - 1]
+            start = a + (r["__cell"] - first) * width
+            if r["w"] > 2 * target and width > 1:
+                divided.append((r["__cell"], start, min(b, start + width - 1), r["w"]))
+            else:
+                leaves.append((start, r["__cell"], r["w"]))
+    bounds, shard_of, held = [], [], 0
+    for start, cell, w in sorted(leaves):
+        if held and held + w > target:
+            bounds.append(start)
+            held = 0
+        held += w
+        shard_of.append((cell, len(bounds)))
+    return Shards(bounds, levels, shard_of)
+
+
+def in_shards(rows: DataFrame, key: str, shards: Shards, *order: str | Column) -> DataFrame:
     """Rows dealt out by shard, each shard whole in one partition and sorted by ``key, *order``."""
-    return (
-        rows.withColumn("__shard", shard_of(key, bounds))
-        .repartitionByRange(len(bounds) + 1, "__shard")
-        .sortWithinPartitions("__shard", key, *order)
-    )
+    if shards.bounds:
+        leaves = F.broadcast(rows.sparkSession.createDataFrame(shards.leaves, "__cell bigint, __shard int"))
+        dealt = _cell(rows, F.col(key), shards.levels).join(leaves, "__cell", "left").drop("__cell")
+        dealt = dealt.withColumn("__shard", F.coalesce("__shard", F.lit(0)))
+    else:
+        dealt = rows.withColumn("__shard", F.lit(0))
+    return dealt.repartitionByRange(len(shards.bounds) + 1, "__shard").sortWithinPartitions("__shard", key, *order)
 
 
 def one_each(manifest: DataFrame) -> DataFrame:

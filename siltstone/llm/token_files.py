@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.bpe import code_points, pretoken_starts
-from siltstone.llm.shards import FileSet, in_shards, one_each, shard_bounds
+from siltstone.llm.shards import FileSet, in_shards, one_each, plan_shards
 from siltstone.llm.textbytes import blocks
 from siltstone.scratch import materialize, new_folder
 
@@ -195,7 +195,7 @@ def write_files(
     texts; an empty table gives no file. Ids must be whole numbers.
     """
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    bounds = shard_bounds(rows, "id", F.octet_length("text") + 64)
+    planned = plan_shards(rows, "id", F.octet_length("text") + 64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = FileSet(folder)
@@ -226,7 +226,7 @@ def write_files(
             yield close()
 
     schema = "file string, shard bigint, number bigint, n_ids bigint, n_docs bigint, crc32 bigint"
-    dealt = in_shards(rows.withColumn("order", F.sha2("text", 256)), "id", bounds, "order").select("id", "text", F.col("__shard").cast("long").alias("__shard"))
+    dealt = in_shards(rows.withColumn("order", F.sha2("text", 256)), "id", planned, "order").select("id", "text", F.col("__shard").cast("long").alias("__shard"))
     return materialize(dealt.mapInArrow(run, schema), "manifest")
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.exact_dedup import exact_groups
-from siltstone.llm.shards import SHARD_BYTES, FileSet, in_shards, one_each, shard_bounds
+from siltstone.llm.shards import SHARD_BYTES, FileSet, in_shards, one_each, plan_shards
 from siltstone.scratch import materialize, new_folder
 
 ROLL_BYTES = 16 << 20
@@ -128,7 +128,7 @@ def write_archives(
         .select(F.col("id").alias("copy"), F.col("keep_id").alias("refers_to"), F.col("text_sha256").alias("copy_hash"))
         .distinct()
     )
-    bounds = shard_bounds(rows, "id", F.octet_length("payload") + 512, shard_bytes)
+    planned = plan_shards(rows, "id", F.octet_length("payload") + 512, shard_bytes)
     # A copy's mark travels to its shard with the pages and comes before them, instead of a join
     # that would shuffle the payloads once more.
     marks = copies.select(F.col("copy").alias("id"), F.col("copy_hash").alias("hash"), F.lit(True).alias("mark"), "refers_to")
@@ -165,7 +165,7 @@ def write_archives(
         if parts:
             yield close()
 
-    dealt = in_shards(every, "id", bounds, "hash", F.col("mark").desc_nulls_last(), "url").withColumn("__shard", F.col("__shard").cast("long"))
+    dealt = in_shards(every, "id", planned, "hash", F.col("mark").desc_nulls_last(), "url").withColumn("__shard", F.col("__shard").cast("long"))
     return materialize(dealt.mapInArrow(run, _MANIFEST), "manifest")
 
 

@@ -17,7 +17,8 @@ from samples import DOCS, docs_frame, edge_cases, prose  # noqa: E402
 from siltstone.llm import bpe, exact_dedup, line_dedup, suffix_array, token_files, warc  # noqa: E402
 from siltstone.llm.components import components  # noqa: E402
 from siltstone.llm.registry import tokenizer_path  # noqa: E402
-from siltstone.llm.shards import shard_bounds  # noqa: E402
+from siltstone.llm import shards  # noqa: E402
+from siltstone.llm.shards import in_shards, plan_shards  # noqa: E402
 
 
 def same(df, want, columns):
@@ -130,9 +131,37 @@ def test_shard_bounds_follow_the_rows(spark):
     from pyspark.sql import functions as F
 
     rows = spark.createDataFrame([(i, 15) for i in [0, 1, 2, 3, 10**15, 10**15 + 1, 10**15 + 2]], "k bigint, w int")
-    assert shard_bounds(rows.repartition(3), "k", F.col("w"), target=20) == shard_bounds(rows.coalesce(1), "k", F.col("w"), target=20)
-    assert len(shard_bounds(rows, "k", F.col("w"), target=20)) >= 3
-    assert shard_bounds(rows.filter("k < 0"), "k", F.col("w")) == []
+    planned = plan_shards(rows.repartition(3), "k", F.col("w"), target=20)
+    assert planned == plan_shards(rows.coalesce(1), "k", F.col("w"), target=20)
+    assert planned.bounds == [1, 2, 3, 10**15, 10**15 + 1, 10**15 + 2]
+    got = {r["k"]: r["__shard"] for r in in_shards(rows, "k", planned).collect()}
+    assert got == {k: n for n, k in enumerate(sorted(got))}
+    assert plan_shards(rows.filter("k < 0"), "k", F.col("w")).bounds == []
+
+
+@pytest.mark.parametrize("keys", [64, 4096])
+def test_passes_do_not_grow_with_the_shards(spark, keys):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(keys).select((F.col("id") * 7 - 100).alias("k"), F.lit(10).alias("w"))
+    tracker, group = spark.sparkContext.statusTracker(), f"shards{keys}"
+    spark.sparkContext.setJobGroup(group, group)
+    planned = plan_shards(rows, "k", F.col("w"), target=10)
+    jobs = len(tracker.getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 16 and len(planned.bounds) == keys - 1
+    nulls = rows.union(spark.createDataFrame([(None, 1)], "k bigint, w int"))
+    dealt = in_shards(nulls, "k", planned)
+    assert {r["k"]: r["__shard"] for r in dealt.collect()} == {None: 0} | {7 * i - 100: i for i in range(keys)}
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and len(plan) < 20_000
+
+
+def test_shards_grow_beyond_their_number(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(shards, "MOST_SHARDS", 8)
+    assert 4 <= len(plan_shards(spark.range(1000), "id", F.lit(1), target=1).bounds) <= 16
 
 
 # --- Line dedup
