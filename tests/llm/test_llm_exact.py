@@ -29,6 +29,25 @@ def sha(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
+# --- Repeated passages
+
+
+def test_planted_passages_by_length(spark):
+    """Passages of over 50 words: those of 400 bytes go, whole; shorter ones and clean texts stay as they are."""
+    rows, want = [], {}
+    for k in range(40):
+        passage = prose(5000 + k, 52 if k % 2 else 95)
+        size = len(passage.encode())
+        assert size < 390 if k % 2 else size > 420
+        for copy in range(3):
+            # Surroundings differ, so that nothing beside the passage repeats.
+            rows.append((3 * k + copy, f"{prose(9000 + 3 * k + copy, 60)}|{k}.{copy}|{passage}|{copy}.{k}|{prose(20000 + 3 * k + copy, 60)}"))
+            want[3 * k + copy] = 0 if k % 2 else size + 2
+    rows += [(1000 + k, prose(40000 + k, 150)) for k in range(40)]
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in suffix_array.remove_repeats(docs_frame(spark, rows)).collect()}
+    assert got == {i: (want.get(i, 0), int(want.get(i, 0) > 0)) for i, _ in rows}
+
+
 # --- Exact dedup
 
 

@@ -1,7 +1,7 @@
 """Similarity, benchmark and trained operators, and the pipeline, on small tables."""
 
-import math
 import itertools
+import math
 import random
 import re
 import sys
@@ -324,6 +324,31 @@ def test_pipeline(spark):
         assert len(got[i]["ids"]) == 4 * got[i]["n_tokens"]
 
 
+def test_pipeline_on_edge_cases(spark, folder):
+    """Nulls, empty and repeated rows, copies, a very long text, clashing columns; then an empty table."""
+    import hashlib
+
+    import corpus_pipeline
+
+    rows = edge_cases()
+    item = " ".join(rows[0][1].split()[:20])
+    docs_frame(spark, rows).write.parquet(f"{folder}/full/documents.parquet")
+    docs_frame(spark, []).write.parquet(f"{folder}/empty/documents.parquet")
+    for part in ("full", "empty"):
+        spark.createDataFrame([(i, i % 2, 0) for i in range(1, 12)] + [(None, 1, 1)], "doc_id bigint, quality int, toxic int").write.parquet(
+            f"{folder}/{part}/labels.parquet")
+        spark.createDataFrame([(1, item), (2, None), (None, "")], "item_id bigint, text string").write.parquet(f"{folder}/{part}/benchmark.parquet")
+    got = [(r["doc_id"], r["decoded_sha256"]) for r in corpus_pipeline.run(spark, f"{folder}/full").collect()]
+    # Of equal texts the largest id stays, of alike ones the smallest; texts with the item go.
+    text = {i: t or "" for i, t in rows if i is not None}
+    found = {d for _, d in got}
+    assert hashlib.sha256(rows[0][1].encode()).hexdigest() not in found
+    assert {hashlib.sha256(text[i].encode()).hexdigest() for i in (9, 8, 12, 13)} <= found
+    # A row that repeats id and text is the same document twice, and both stay.
+    assert len(set(got)) == len(found) and len(got) - len(found) <= 1 and found <= {hashlib.sha256((t or "").encode()).hexdigest() for _, t in rows}
+    assert corpus_pipeline.run(spark, f"{folder}/empty").count() == 0
+
+
 @pytest.mark.skipif(not SF_DIR.exists(), reason="no test tables")
 def test_queries_match_sql(spark):
     import duckdb
