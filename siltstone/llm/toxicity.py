@@ -38,6 +38,8 @@ FEATURES = 1 << (4 * _BITS)
 _OTHER, _START = 27, 28
 
 #: Bounds of the training: labelled texts of each label, words of each label, landmarks.
+#: Text that a task looks at at once; what is kept per word of it takes some hundred times that.
+_BLOCK_BYTES = 1 << 19
 PER_CLASS = {0: 4_000, 1: 2_500}
 WORDS = 10_000
 LANDMARKS = 384
@@ -241,7 +243,7 @@ def telling_units(sample: DataFrame, totals: dict[int, int]) -> Telling:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", _BLOCK_BYTES):
             unit, often = np.unique(_text_units(block)[1], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(unit, pa.int64()), pa.array(often, pa.int64())], names=["u", "n"])
 
@@ -260,7 +262,7 @@ def telling_units(sample: DataFrame, totals: dict[int, int]) -> Telling:
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit = shared.value
         seen = np.zeros(len(unit), np.int64)
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", _BLOCK_BYTES):
             mine = _text_units(block)[1]
             at = np.minimum(np.searchsorted(unit, mine), len(unit) - 1)
             seen += np.bincount(at[unit[at] == mine], minlength=len(unit))
@@ -284,7 +286,7 @@ def _carriers(sample: DataFrame, telling: Telling, share: dict[int, float]) -> D
     shared = sample.sparkSession.sparkContext.broadcast(telling)
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", _BLOCK_BYTES):
             p = words_of(block.data, block.offsets)
             if len(p.text) == 0:
                 continue
@@ -446,7 +448,7 @@ def _highest(sample: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = shared.value
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", _BLOCK_BYTES):
             label, texts = _labels(block), block.hi - block.lo
             p = words_of(block.data, block.offsets)
             m = word_margins(weights, bias, p) if len(p.text) else np.zeros(0)
@@ -559,7 +561,7 @@ def drop_toxic(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows come back a block at a time, so neither side holds a batch of long texts twice.
-        for block in blocks(batches, text_column, 1 << 20):
+        for block in blocks(batches, text_column, _BLOCK_BYTES):
             keep = pa.array(_scores(shared.value, block) < threshold)
             yield block.batch.slice(block.lo, block.hi - block.lo).filter(keep)
 
