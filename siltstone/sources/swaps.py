@@ -78,7 +78,9 @@ def scan_current(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def key_bucket(keys: Sequence[tuple[str, T.DataType]]) -> Column:
-    """Bucket of a key: neighbours for one whole number, else a hash. Null keys have none."""
+    """Bucket of a key: neighbours for one whole number, else a hash. Null keys have none; without key columns there is one."""
+    if not keys:
+        return F.lit(0).cast("long")
     if len(keys) == 1 and isinstance(keys[0][1], (T.LongType, T.IntegerType, T.ShortType)):
         key = named(keys[0][0]).cast("long")
         return F.floor(key / F.lit(float(KEYS_PER_BUCKET))).cast("long")

@@ -65,8 +65,8 @@ def ingest_stream(
     run count as one load where the newest row of an id is chosen.
 
     Columns are those of ``schema``, or the declared ones and the fields that landings under ``raw_root`` have noted;
-    all other values are kept in ``UNFIT``. The batch job may follow the stream, and the other way round when
-    the stream's checkpoint is new to none of the files; not both at once.
+    all other values are kept in ``UNFIT``. The batch job may follow the stream, whose batches it finds. A stream does not
+    know which folders the batch job took, so it must not follow it on the same folders.
     """
     if schema is None:
         schema = row_schema(spark, noted_fields(spark, raw_root) if raw_root else [])
