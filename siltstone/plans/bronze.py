@@ -88,11 +88,18 @@ def bronze_run(
     if folders_per_load is not None and count > folders_per_load:
         pending = materialize(chunk_folders(pending, folders_per_load), "loads")
         loads = -(-count // folders_per_load)
-    stamps = []
+    stamps, used = [], list(partitions_of(spark, bronze_path, "DTPROC"))
+    staged = None
+    if loads > 1:
+        # The period is read and parsed once, its rows stored by load; a load then reads only its own files.
+        lines = period_lines(spark, raw_root, period).join(pending, "folder")
+        staged = materialize(record_columns(spark, lines, schema, "chunk"), "staged", split_by="chunk")
     for load in range(loads):
         folders = pending if loads == 1 else pending.filter(F.col("chunk") == load).select("folder")
         every = loads == 1 and count == total
-        stamps.append(_load(spark, cfg, raw_root, bronze_path, ledger_path, period, schema, folders, every))
+        rows = None if staged is None else staged.filter(F.col("chunk") == load).drop("chunk")
+        stamps.append(_load(spark, cfg, raw_root, bronze_path, ledger_path, period, schema, folders, every, used, rows))
+        used.append(stamps[-1])
         refresh_partitions(spark, name, "DTPROC", stamps[-1:])
     compact(spark, name, bronze_path, "DTPROC", stamps, least=cfg.small_files)
     return count
@@ -100,14 +107,19 @@ def bronze_run(
 
 def _load(
     spark: SparkSession, cfg: RunConfig, raw_root: str, bronze_path: str, ledger_path: str, period: str,
-    schema: T.StructType, folders: DataFrame, every: bool,
+    schema: T.StructType, folders: DataFrame, every: bool, used: list[str], rows: DataFrame | None = None,
 ) -> str:
-    """Append the rows of ``folders`` (of all of the period if ``every``) as one batch; returns its stamp."""
-    stamp = batch_stamp(cfg, list(partitions_of(spark, bronze_path, "DTPROC")))
-    lines = period_lines(spark, raw_root, period)
-    if not every:
-        lines = lines.join(folders, "folder", "left_semi")
-    stamped = record_columns(spark, lines, schema).withColumn("DTPROC", F.lit(stamp))
+    """Append the rows of ``folders`` (of all of the period if ``every``) as one batch; returns its stamp.
+
+    ``used`` are the batch stamps of the table; ``rows``, if given, are those of ``folders`` parsed already.
+    """
+    stamp = batch_stamp(cfg, used)
+    if rows is None:
+        lines = period_lines(spark, raw_root, period)
+        if not every:
+            lines = lines.join(folders, "folder", "left_semi")
+        rows = record_columns(spark, lines, schema)
+    stamped = rows.withColumn("DTPROC", F.lit(stamp))
     append_batch(stamped, bronze_path, "DTPROC")
     entry = folders.select("folder", F.lit(period).alias("period"), F.lit(stamp).alias("DTPROC"))
     append_batch(entry, ledger_path, "DTPROC")

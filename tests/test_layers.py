@@ -161,6 +161,21 @@ def test_backlog_lost_in_one_load_repeats_only_that(layers, spark, monkeypatch):
     assert rows(layers.table("bronze").select("id")) == [(k,) for k in sorted(range(1, 46), key=lambda k: repr((k,)))]
 
 
+def test_backlog_reads_the_period_once_for_all_loads(layers, monkeypatch):
+    layers.land(cfg(1), {p: [item(p)] for p in range(1, 46)})
+    real, calls = bronze_plan.period_lines, []
+
+    def count(*args):
+        calls.append(args)
+        return real(*args)
+
+    monkeypatch.setattr(bronze_plan, "period_lines", count)
+    assert layers.load_bronze(cfg(1), folders_per_load=2) == 5
+    assert len(calls) == 1
+    counts = rows(layers.table("bronze").groupBy("DTPROC").count())
+    assert counts == [("20240110_120000", 20), ("20240110_120001", 20), ("20240110_120002", 5)]
+
+
 def test_silver_types_and_keeps_the_newest(layers):
     run = cfg(1)
     layers.land(run, {
