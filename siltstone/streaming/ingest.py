@@ -32,18 +32,24 @@ def raw_stream(
     return reader.text(glob).select("value")
 
 
-def batch_partition(spark: SparkSession, notes: str, query_id: str, batch_id: int, stamp: str) -> str:
+def batch_partition(
+    spark: SparkSession, notes: str, query_id: str, batch_id: int, stamp: str, known: list[str] | None = None
+) -> str:
     """The DTPROC of a micro-batch: the run's stamp and the batch's number, chosen once.
 
     The choice is noted, as the name of an empty folder, before the batch is written. A batch that is replayed by a later run
-    finds the note and replaces its own partition, whatever that run's stamp is.
+    finds the note and replaces its own partition, whatever that run's stamp is. ``known``, the notes listed when the stream
+    started, spares a listing per batch; a new note is added to it.
     """
     start = f"{query_id}.{batch_id}="
-    noted = [name for name in child_names(spark, notes) if name.startswith(start)]
+    names = child_names(spark, notes) if known is None else known
+    noted = [name for name in names if name.startswith(start)]
     if noted:
         return min(noted).removeprefix(start)
     value = f"{stamp}.{batch_id:08d}"
     make_folder(spark, f"{notes}/{start}{value}")
+    if known is not None:
+        known.append(f"{start}{value}")
     return value
 
 
@@ -75,11 +81,13 @@ def ingest_stream(
     have = {c.lower() for c in table.columns}
     add_columns(spark, name, [f for f in full if f.name.lower() not in have])
     notes = f"{bronze_path.rstrip('/')}_batches"
+    # Listed once per start: only this stream adds notes while it runs.
+    known = list(child_names(spark, notes))
 
     def append(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         query_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
-        stamp = batch_partition(session, notes, query_id, batch_id, cfg.stamp)
+        stamp = batch_partition(session, notes, query_id, batch_id, cfg.stamp, known)
         rows = record_columns(session, batch, schema)
         rows.write.mode("overwrite").parquet(f"{bronze_path}/DTPROC={stamp}")
         # In the caller's session, which may have listed the files of an earlier attempt.

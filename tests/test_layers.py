@@ -16,6 +16,7 @@ from siltstone.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
 from siltstone.sources import fields
 from siltstone.sources.json_folders import list_folders, scan_period
 from siltstone.sources.tables import ensure_table, read_path
+from siltstone.streaming import ingest as ingest_module
 from siltstone.streaming.ingest import ingest_stream
 from siltstone.streaming.upsert import upsert_stream
 
@@ -338,6 +339,23 @@ def test_replayed_micro_batch_keeps_its_partition(layers, spark):
     assert rows(spark.table(name).groupBy("DTPROC").count()) == [("20240110_120000.00000000", 5)]
 
 
+def test_stream_lists_its_batch_notes_once_per_start(layers, spark, monkeypatch):
+    run = cfg(1, pages_per_folder=1, folders_per_batch=1)
+    layers.land(run, {p: [item(p)] for p in range(1, 6)})
+    path, name = f"{layers.root}/streamed", f"{layers.db}.streamed"
+    real, listed = ingest_module.child_names, []
+
+    def count(session, folder):
+        listed.append(folder)
+        return real(session, folder)
+
+    monkeypatch.setattr(ingest_module, "child_names", count)
+    ingest_stream(spark, run, f"{layers.raw}/*/*", path, f"{layers.root}/checkpoint", name).awaitTermination()
+    assert listed == [f"{path}_batches"]
+    assert rows(spark.table(name).groupBy("DTPROC").count()) == [
+        (f"20240110_120000.{n:08d}", 1) for n in range(5)]
+
+
 def test_stream_upsert_keeps_the_newest(layers, spark):
     path, source = f"{layers.root}/newest", f"{layers.root}/in"
     schema = "id long, v string, t int, dt string"
