@@ -388,6 +388,33 @@ def test_stream_lists_its_batch_notes_once_per_start(layers, spark, monkeypatch)
         (f"20240110_120000.{n:08d}", 1) for n in range(5)]
 
 
+def test_trigger_of_several_batches_writes_a_partition_for_each(layers, spark, monkeypatch):
+    monkeypatch.setattr(ingest_module, "TRIGGERS", 1, raising=False)
+    options = {"pages_per_folder": 1, "folders_per_batch": 2}
+    layers.land(cfg(1, **options), {p: [item(p)] for p in range(1, 6)})
+    path, name, checkpoint = f"{layers.root}/streamed", f"{layers.db}.streamed", Path(layers.root, "checkpoint")
+
+    def start(run):
+        query = ingest_stream(spark, run, f"{layers.raw}/*/*", path, str(checkpoint), name)
+        query.awaitTermination()
+        return [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+
+    # Two of the three batches fill a trigger.
+    assert start(cfg(1, **options)) == [4, 1]
+    once = rows(spark.table(name).select("DTPROC", "id"))
+    assert rows(spark.table(name).groupBy("DTPROC").count()) == [
+        ("20240110_120000.00000000.0000", 2), ("20240110_120000.00000000.0001", 2), ("20240110_120000.00000001.0000", 1)]
+    for file in (checkpoint / "commits").iterdir():
+        file.unlink()
+    # A replay divides the files as the first attempt did, whatever its own run says.
+    start(cfg(2, folders_per_batch=1))
+    assert rows(spark.table(name).select("DTPROC", "id")) == once
+    assert rows(spark.table(name).select("id")) == [(p,) for p in range(1, 6)]
+    layers.land(cfg(2), {p: [item(p)] for p in range(1, 7)})
+    assert start(cfg(2, folders_per_batch=10)) == [2]
+    assert "20240210_120000.00000002" in {r.DTPROC for r in spark.table(name).select("DTPROC").distinct().collect()}
+
+
 def test_stream_upsert_keeps_the_newest(layers, spark):
     path, source = f"{layers.root}/newest", f"{layers.root}/in"
     schema = "id long, v string, t int, dt string"
